@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from boardlake.plans.views import with_views
 
-_MODULES = ["read_queries"]
+_MODULES = ["read_queries", "sync_queries"]
 
 
 def _loaded():

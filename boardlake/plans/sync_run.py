@@ -28,6 +28,7 @@ from boardlake.operators.upsert import (
     upsert_issues,
 )
 from boardlake.schemas import DIRECTORY_ENTITIES
+from boardlake.session import staged
 from boardlake.sources.landing import company_records, page_records, with_shape
 
 TARGET = ["profile", "company_id"]
@@ -35,7 +36,7 @@ TARGET = ["profile", "company_id"]
 
 @dataclass(frozen=True)
 class SyncResult:
-    """New tables, entity steps and company results of a run; all of them lazy frames."""
+    """New tables, entity steps and company results of a run, as frames over the staged batches."""
 
     tables: dict[str, DataFrame]
     entities: DataFrame
@@ -87,9 +88,12 @@ def sync_run(
     stored rows and records its error. Without the company record the company's other pages are
     ignored; without its issues, its threads are. ``started_at`` is the run stamp of ``max_stamp``.
     A response of unknown shape counts as failed: taking it for an empty listing would prune everything.
+
+    The plan and the projected batches are staged, so that payloads are parsed and redacted once
+    although upserts, counts, cursors and threads all need them. The stored tables are not.
     """
     stamp = F.lit(started_at)
-    plan = plan_sync(dedupe_targets(targets), tables["sync_state"], full, since)
+    plan = staged(plan_sync(dedupe_targets(targets), tables["sync_state"], full, since), "plan")
     landed = pages.join(plan.select(*TARGET, "api_base", "mode", "since"), TARGET)
     arrival = ["page_no", "item"]
     new = dict(tables)
@@ -98,42 +102,47 @@ def sync_run(
     # Company records.
     own = landed.filter(F.col("entity") == "companies")
     records = company_records(own).join(plan.select(*TARGET, "api_base"), TARGET)
-    batch = project_records(records, "companies", stamp, F.col("api_base"), keep=["profile"])
+    records = records.withColumnRenamed("company_id", "target_company")
+    batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company"]), "companies")
+    counts = batch.select("profile", F.col("target_company").alias("company_id"))
+    batch = batch.drop("target_company")
     new["companies"] = upsert(tables["companies"], batch.drop("profile"), ["id"], ["raw_json"])
     answered = F.bool_or(F.col("error").isNull())
-    company = own.groupBy(*TARGET).agg(F.when(~answered, F.max("error")).alias("error"))
-    steps.append(_step(company, "companies", _counts(records)))
+    company = staged(own.groupBy(*TARGET).agg(F.when(~answered, F.max("error")).alias("error")), "answers")
+    steps.append(_step(company, "companies", _counts(counts)))
     alive = company.filter(F.col("error").isNull()).select(*TARGET)
 
     # Directory tables: complete listings, stale rows pruned.
     for entity in DIRECTORY_ENTITIES:
         listing = with_shape(landed.filter(F.col("entity") == entity)).join(alive, TARGET, "left_semi")
-        outcome = _outcomes(listing)
+        outcome = staged(_outcomes(listing), "outcomes")
         good = outcome.filter(F.col("error").isNull()).select(*TARGET)
         records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "payload"))
-        batch = project_records(records.drop("company_id"), entity, stamp, keep=["profile", *arrival])
-        merged = upsert(tables[entity], _unique(batch, arrival), ["id"])
+        records = records.withColumnRenamed("company_id", "target_company")
+        batch = staged(project_records(records, entity, stamp, keep=["profile", "target_company", *arrival]), entity)
+        counts = _counts(batch.select("profile", F.col("target_company").alias("company_id")))
+        merged = upsert(tables[entity], _unique(batch.drop("target_company"), arrival), ["id"])
         runs = good.select("company_id").distinct().withColumn("started_at", stamp)
         pruned = stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
         new[entity] = prune_stale(merged, runs)
-        steps.append(_step(outcome, entity, _counts(records), pruned))
+        steps.append(_step(outcome, entity, counts, pruned))
 
     # Issues.
     listing = with_shape(landed.filter(F.col("entity") == "issues")).join(alive, TARGET, "left_semi")
-    outcome = _outcomes(listing)
+    outcome = staged(_outcomes(listing), "outcomes")
     good = outcome.filter(F.col("error").isNull()).select(*TARGET)
     records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "since", "payload"))
     records = records.withColumnRenamed("company_id", "target_company")
     batch = project_records(records, "issues", stamp, keep=["profile", "target_company", "since", *arrival])
     moment, bound = instant(F.col("updated_at")), instant(F.col("since"))
     batch = batch.filter(bound.isNull() | moment.isNull() | (moment >= bound))
-    flagged = detect_changes(tables["issues"], batch)
+    flagged = staged(detect_changes(tables["issues"], batch), "issues")
     target = [F.col("profile"), F.col("target_company").alias("company_id")]
     listed = flagged.groupBy(*target).agg(
         F.count(F.lit(1)).alias("count"), F.count_if("changed").alias("issues_changed")
     )
     changed = flagged.filter("changed").select("id", "company_id").distinct()
-    merged = upsert_issues(tables["issues"], _unique(batch.drop("target_company", "since"), arrival))
+    merged = upsert_issues(tables["issues"], _unique(flagged.drop("target_company", "since", "changed"), arrival))
     complete = plan.filter(F.col("mode") == "full").join(good, TARGET, "left_semi")
     runs = complete.select("company_id").distinct().withColumn("started_at", stamp)
     pruned = stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
@@ -142,7 +151,7 @@ def sync_run(
     steps.append(issue_step)
     kept_comments = drop_orphans(tables["comments"], issues, pruned.select("company_id"))
     old_cursors = plan.join(good, TARGET, "left_semi").select(*TARGET, "cursor")
-    cursors = advance_cursor(old_cursors, batch.select(*target, "updated_at"), TARGET)
+    cursors = advance_cursor(old_cursors, flagged.select(*target, "updated_at"), TARGET)
 
     # Threads of changed and active issues, of every issue in full runs.
     in_full = plan.groupBy("company_id").agg(F.bool_or(F.col("mode") == "full").alias("_full"))
@@ -150,10 +159,11 @@ def sync_run(
     wanted = hydration_candidates(scoped, changed, comments, F.col("_full"))
     threads = with_shape(landed.filter(F.col("entity") == "comments")).join(good, TARGET, "left_semi")
     threads = threads.drop("api_base", "mode", "since").join(wanted.select("issue_id"), "issue_id", "left_semi")
-    read = threads.groupBy(*TARGET, "issue_id").agg(F.max("error").alias("error"))
+    read = staged(threads.groupBy(*TARGET, "issue_id").agg(F.max("error").alias("error")), "threads")
     hydrated = read.filter(F.col("error").isNull()).select("issue_id").distinct().withColumn("at", stamp)
-    fetched = page_records(threads.join(hydrated.select("issue_id"), "issue_id", "left_semi").select("profile", "page_no", "payload"))
-    fetched = project_records(fetched, "comments", stamp, keep=["profile", *arrival])
+    pages_read = landed.filter(F.col("entity") == "comments").join(hydrated.select("issue_id"), "issue_id", "left_semi")
+    fetched = page_records(pages_read.select("profile", "page_no", "payload"))
+    fetched = staged(project_records(fetched, "comments", stamp, keep=["profile", *arrival]), "comments")
     new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched, arrival))
     new["issues"] = stamp_threads(issues, hydrated)
     tally = read.groupBy(*TARGET).agg(

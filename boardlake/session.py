@@ -13,6 +13,7 @@ def local_session(app: str = "boardlake", cores: int | str = 8, **conf: str) ->
     """A session for tests and benches. On a cluster the submitted settings apply instead."""
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(cores if str(cores).isdigit() else 8),
         "spark.sql.adaptive.enabled": "true",
@@ -53,6 +54,13 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def staged(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it back, for results that several plans use."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasting is off."""
     return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
