@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
 from boardlake.operators.index import TextIndex
-from boardlake.operators.reads import equals, keep_if, status_in, with_columns_of
+from boardlake.operators.reads import equals, keep_if, status_in
 from boardlake.session import is_small
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
 
@@ -87,10 +87,11 @@ def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     shuffled by the cut token and AQE splits frequent ones.
     """
     lengths = terms.agg(F.collect_set(F.length("term")).alias("lengths")).scalar()
-    fitting = F.filter(lengths, lambda n: n <= F.length("token"))
-    offered = postings.withColumn("_cut", F.explode(F.transform(fitting, lambda n: F.substr("token", F.lit(1), n))))
+    measured = postings.withColumn("_lengths", lengths)
+    fitting = F.filter("_lengths", lambda n: n <= F.length("token"))
+    offered = measured.withColumn("_cut", F.explode(F.transform(fitting, lambda n: F.substr("token", F.lit(1), n))))
     fits = (F.col("_cut") == F.col("term")) & (F.col("is_prefix") | (F.col("token") == F.col("term")))
-    return offered.join(terms, fits).drop("_cut")
+    return offered.join(terms, fits).drop("_cut", "_lengths")
 
 
 def phrase_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
@@ -329,23 +330,17 @@ def in_order(hits: DataFrame) -> DataFrame:
 
 
 def scan_matches(rows: DataFrame, weights: dict[str, float], text: str, key: str = "id") -> DataFrame:
-    """Ids of rows holding every word of one query, found by scanning the texts without an index."""
-    parsed = parse_queries(query_frame(rows.sparkSession, text)).collect()[0].words
-    source = with_columns_of(rows, list(weights)).select(F.col(key).alias("doc_id"), *[tokenize(F.col(c)).alias(c) for c in weights])
-
-    def fits(token: Column, term: str, prefix: bool) -> Column:
-        return F.coalesce(token.startswith(term) if prefix else token == term, F.lit(False))
-
-    def holds(column: str, word) -> Column:
-        last = len(word.terms) - 1
-        return F.exists(
-            F.sequence(F.lit(0), F.greatest(F.size(column) - 1, F.lit(0))),
-            lambda at: reduce(
-                lambda a, b: a & b,
-                [fits(F.get(column, at + k), t, word.is_prefix and k == last) for k, t in enumerate(word.terms)],
-            ),
-        )
+    """Ids of rows holding every word of one query, found by scanning the texts without an index.
+
+    The tokens of a text are joined by blanks, so that a phrase is a substring with a blank before it.
+    """
+    words = parse_queries(query_frame(rows.sparkSession, text)).collect()[0].words
+    lines = [F.concat(F.lit(" "), F.array_join(tokenize(F.col(c)), " "), F.lit(" ")) for c in weights if c in rows.columns]
+
+    def holds(word) -> Column:
+        phrase = " " + " ".join(word.terms) + ("" if word.is_prefix else " ")
+        return reduce(lambda a, b: a | b, [line.contains(phrase) for line in lines])
 
-    if not parsed:
-        return source.select("doc_id").limit(0)
-    return keep_if(source, *[reduce(lambda a, b: a | b, [holds(c, w) for c in weights]) for w in parsed]).select("doc_id")
+    if not words:
+        return rows.select(F.col(key).alias("doc_id")).limit(0)
+    return keep_if(rows, *[holds(word) for word in words]).select(F.col(key).alias("doc_id"))

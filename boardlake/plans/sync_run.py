@@ -43,9 +43,17 @@ class SyncResult:
     results: DataFrame
 
 
-def _outcomes(pages: DataFrame) -> DataFrame:
-    """Per target: the error of a failed listing, else NULL."""
-    return pages.groupBy(*TARGET).agg(F.max("error").alias("error"))
+def _answers(landed: DataFrame) -> DataFrame:
+    """Per target and listing, in one pass: the error of a failed listing, else NULL.
+
+    A company record is there if any of its answers is good; a listing needs all of its pages.
+    """
+    records = landed.filter(F.col("entity") == "companies")
+    listings = with_shape(landed.filter(~F.col("entity").isin("companies", "comments")))
+    pages = records.unionByName(listings)
+    summed = pages.groupBy(*TARGET, "entity").agg(F.max("error").alias("error"), F.bool_or(F.col("error").isNull()).alias("any"))
+    answered = (F.col("entity") == "companies") & F.col("any")
+    return summed.select(*TARGET, "entity", F.when(~answered, F.col("error")).alias("error"))
 
 
 def _counts(records: DataFrame) -> DataFrame:
@@ -99,6 +107,11 @@ def sync_run(
     new = dict(tables)
     steps = []
 
+    answers = staged(_answers(landed), "answers")
+
+    def outcome_of(entity: str) -> DataFrame:
+        return answers.filter(F.col("entity") == entity).drop("entity")
+
     # Company records.
     own = landed.filter(F.col("entity") == "companies")
     records = company_records(own).join(plan.select(*TARGET, "api_base"), TARGET)
@@ -107,16 +120,15 @@ def sync_run(
     counts = batch.select("profile", F.col("target_company").alias("company_id"))
     batch = batch.drop("target_company")
     new["companies"] = upsert(tables["companies"], batch.drop("profile"), ["id"], ["raw_json"])
-    answered = F.bool_or(F.col("error").isNull())
-    company = staged(own.groupBy(*TARGET).agg(F.when(~answered, F.max("error")).alias("error")), "answers")
+    company = outcome_of("companies")
     steps.append(_step(company, "companies", _counts(counts)))
     alive = company.filter(F.col("error").isNull()).select(*TARGET)
 
     # Directory tables: complete listings, stale rows pruned.
     for entity in DIRECTORY_ENTITIES:
-        listing = with_shape(landed.filter(F.col("entity") == entity)).join(alive, TARGET, "left_semi")
-        outcome = staged(_outcomes(listing), "outcomes")
+        outcome = outcome_of(entity).join(alive, TARGET, "left_semi")
         good = outcome.filter(F.col("error").isNull()).select(*TARGET)
+        listing = landed.filter(F.col("entity") == entity)
         records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "payload"))
         records = records.withColumnRenamed("company_id", "target_company")
         batch = staged(project_records(records, entity, stamp, keep=["profile", "target_company", *arrival]), entity)
@@ -128,9 +140,9 @@ def sync_run(
         steps.append(_step(outcome, entity, counts, pruned))
 
     # Issues.
-    listing = with_shape(landed.filter(F.col("entity") == "issues")).join(alive, TARGET, "left_semi")
-    outcome = staged(_outcomes(listing), "outcomes")
+    outcome = outcome_of("issues").join(alive, TARGET, "left_semi")
     good = outcome.filter(F.col("error").isNull()).select(*TARGET)
+    listing = landed.filter(F.col("entity") == "issues")
     records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "since", "payload"))
     records = records.withColumnRenamed("company_id", "target_company")
     batch = project_records(records, "issues", stamp, keep=["profile", "target_company", "since", *arrival])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,23 @@ def local_session(app: str = "boardlake", cores: int | str = 8, **conf: str) ->
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="boardlake-"), "boardlake.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
