@@ -35,7 +35,7 @@ def secret_scan(tables: dict[str, tuple[DataFrame, str]], tokens: list[str]) ->
 
 
 def redaction_audit(tables: dict[str, DataFrame], raw: str = "raw_json") -> DataFrame:
-    """Rows per entity whose payload still shows an object or array under a withheld key."""
+    """Rows per entity whose payload still shows a value under a withheld key."""
     checks = [
         rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(still_readable(F.col(raw), WITHHELD_KEYS[entity])).alias("unredacted"))
         .select(F.lit(entity).alias("entity"), "rows", "unredacted")

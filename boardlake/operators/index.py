@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,9 +74,15 @@ def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key:
     """Replace the entries of ``changed`` rows and drop those of ``removed`` keys."""
     gone = changed.select(F.col(key).alias("doc_id")).unionByName(removed.select(F.col(key).alias("doc_id"))).distinct()
     new = forward_tokens(changed, list(index.weights), key)
+    return replace_documents(index, gone, new)
+
+
+def replace_documents(index: TextIndex, gone: DataFrame, new: DataFrame) -> TextIndex:
+    """Index without the documents of ``gone`` and with the forward rows of ``new``."""
     forward = index.forward.join(gone, "doc_id", "left_anti").unionByName(new)
     postings = index.postings.join(gone, "doc_id", "left_anti").unionByName(postings_of(new))
-    return TextIndex(forward, postings, index.weights)
+    return TextIndex(forward, postings.select(*index.postings.columns), index.weights)
+
 
 
 def index_stats(index: TextIndex) -> DataFrame:
@@ -91,7 +96,3 @@ def term_stats(index: TextIndex) -> DataFrame:
     """Occurrences and documents per token; reduced per document before documents are counted."""
     per_doc = index.postings.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("hits"))
     return per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
-
-
-def union_postings(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)

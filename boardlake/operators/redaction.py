@@ -100,6 +100,6 @@ def redact_columns(frame: DataFrame, entity: str) -> DataFrame:
 
 
 def still_readable(raw_json: Column, keys: list[str]) -> Column:
-    """Whether redacted text still holds an object or array under one of the keys."""
-    hits = [F.get_json_object(raw_json, f"$.{key}").rlike(r"^\s*[{\[]") for key in keys]
-    return F.coalesce(reduce(lambda a, b: F.coalesce(a, F.lit(False)) | F.coalesce(b, F.lit(False)), hits), F.lit(False))
+    """Whether stored text holds anything but the sentinel under one of the withheld keys."""
+    values = [F.get_json_object(raw_json, f"$.{key}") for key in keys]
+    return reduce(lambda a, b: a | b, [value.isNotNull() & (value != REDACTED) for value in values])

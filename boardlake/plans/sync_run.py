@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.timing import instant
@@ -32,6 +32,8 @@ from boardlake.session import staged
 from boardlake.sources.landing import company_records, page_records, with_shape
 
 TARGET = ["profile", "company_id"]
+LISTINGS = [*DIRECTORY_ENTITIES, "issues"]
+ARRIVAL = ["page_no", "item"]
 
 
 @dataclass(frozen=True)
@@ -43,26 +45,39 @@ class SyncResult:
     results: DataFrame
 
 
-def _answers(landed: DataFrame) -> DataFrame:
-    """Per target and listing, in one pass: the error of a failed listing, else NULL.
+def _control(pages: DataFrame, plan: DataFrame) -> DataFrame:
+    """One row per target: its plan, and for each listing whether it was answered and with what error.
 
-    A company record is there if any of its answers is good; a listing needs all of its pages.
+    A company record is there if any of its answers is good; a listing needs all of its pages. All
+    of it takes one pass over the pages.
     """
-    records = landed.filter(F.col("entity") == "companies")
-    listings = with_shape(landed.filter(~F.col("entity").isin("companies", "comments")))
-    pages = records.unionByName(listings)
-    summed = pages.groupBy(*TARGET, "entity").agg(F.max("error").alias("error"), F.bool_or(F.col("error").isNull()).alias("any"))
-    answered = (F.col("entity") == "companies") & F.col("any")
-    return summed.select(*TARGET, "entity", F.when(~answered, F.col("error")).alias("error"))
+    direct = F.col("entity").isin("companies", "comments")
+    shaped = with_shape(pages.filter(~direct)).unionByName(pages.filter(F.col("entity") == "companies"))
+    facts = []
+    for entity in ["companies", *LISTINGS]:
+        mine = F.col("entity") == entity
+        error = F.max(F.when(mine, F.col("error")))
+        if entity == "companies":
+            error = F.when(~F.bool_or(mine & F.col("error").isNull()), error)
+        facts += [F.bool_or(mine).alias(f"{entity}_seen"), error.alias(f"{entity}_error")]
+    answered = shaped.groupBy(*TARGET).agg(*facts)
+    return plan.join(answered, TARGET)
 
 
-def _counts(records: DataFrame) -> DataFrame:
-    return records.groupBy(*TARGET).agg(F.count(F.lit(1)).alias("count"))
+def _good(entity: str) -> Column:
+    """Whether a target's listing is complete; without its company record nothing of it counts."""
+    alive = F.col("companies_seen") & F.col("companies_error").isNull()
+    return alive & F.col(f"{entity}_seen") & F.col(f"{entity}_error").isNull()
 
 
-def _step(outcomes: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame | None = None) -> DataFrame:
+def _attempted(entity: str) -> Column:
+    alive = F.col("companies_seen") & F.col("companies_error").isNull()
+    return F.col("companies_seen") if entity == "companies" else alive & F.col(f"{entity}_seen")
+
+
+def _step(control: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame | None = None) -> DataFrame:
     """Entity step per target: (profile, company_id, entity, count, pruned, status, error)."""
-    step = outcomes.join(counts, TARGET, "left")
+    step = control.filter(_attempted(entity)).select(*TARGET, F.col(f"{entity}_error").alias("error")).join(counts, TARGET, "left")
     if pruned is not None:
         step = step.join(pruned, "company_id", "left")
     else:
@@ -76,9 +91,28 @@ def _step(outcomes: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame
     )
 
 
-def _unique(frame: DataFrame, order: list[str]) -> DataFrame:
-    """Last arrival per id, without the arrival columns."""
-    return latest_per_key(frame, ["id"], order).drop(*order, "profile")
+def _listed(landed: DataFrame, entity: str, *more: str) -> DataFrame:
+    """Records of a complete listing, with the target they came for."""
+    pages = landed.filter((F.col("entity") == entity) & _good(entity))
+    return page_records(pages.select("profile", F.col("company_id").alias("target_company"), *more, "page_no", "payload"))
+
+
+def _count_by_target(batch: DataFrame, *more: Column) -> DataFrame:
+    target = [F.col("profile"), F.col("target_company").alias("company_id")]
+    return batch.groupBy(*target).agg(F.count(F.lit(1)).alias("count"), *more)
+
+
+def _unique(batch: DataFrame, *drop: str) -> DataFrame:
+    """Last arrival per id, without the columns of the arrival."""
+    return latest_per_key(batch.drop("profile", "target_company", *drop), ["id"], ARRIVAL).drop(*ARRIVAL)
+
+
+def _runs(control: DataFrame, condition: Column, started_at: Column) -> DataFrame:
+    return control.filter(condition).select("company_id").distinct().withColumn("started_at", started_at)
+
+
+def _stale_counts(merged: DataFrame, runs: DataFrame) -> DataFrame:
+    return stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
 
 
 def sync_run(
@@ -97,86 +131,60 @@ def sync_run(
     ignored; without its issues, its threads are. ``started_at`` is the run stamp of ``max_stamp``.
     A response of unknown shape counts as failed: taking it for an empty listing would prune everything.
 
-    The plan and the projected batches are staged, so that payloads are parsed and redacted once
-    although upserts, counts, cursors and threads all need them. The stored tables are not.
+    The control rows and the projected batches are staged, so that payloads are parsed and redacted
+    once although upserts, counts, cursors and threads all need them. The stored tables are not.
     """
     stamp = F.lit(started_at)
-    plan = staged(plan_sync(dedupe_targets(targets), tables["sync_state"], full, since), "plan")
-    landed = pages.join(plan.select(*TARGET, "api_base", "mode", "since"), TARGET)
-    arrival = ["page_no", "item"]
+    plan = plan_sync(dedupe_targets(targets), tables["sync_state"], full, since)
+    control = staged(_control(pages, plan), "control")
+    landed = pages.join(control, TARGET)
+    arrived = ["profile", "target_company", *ARRIVAL]
     new = dict(tables)
     steps = []
 
-    answers = staged(_answers(landed), "answers")
-
-    def outcome_of(entity: str) -> DataFrame:
-        return answers.filter(F.col("entity") == entity).drop("entity")
-
     # Company records.
-    own = landed.filter(F.col("entity") == "companies")
-    records = company_records(own).join(plan.select(*TARGET, "api_base"), TARGET)
-    records = records.withColumnRenamed("company_id", "target_company")
+    records = company_records(landed.filter(F.col("entity") == "companies"))
+    records = records.join(control.select(*TARGET, "api_base"), TARGET).withColumnRenamed("company_id", "target_company")
     batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company"]), "companies")
-    counts = batch.select("profile", F.col("target_company").alias("company_id"))
-    batch = batch.drop("target_company")
-    new["companies"] = upsert(tables["companies"], batch.drop("profile"), ["id"], ["raw_json"])
-    company = outcome_of("companies")
-    steps.append(_step(company, "companies", _counts(counts)))
-    alive = company.filter(F.col("error").isNull()).select(*TARGET)
+    new["companies"] = upsert(tables["companies"], batch.drop("profile", "target_company"), ["id"], ["raw_json"])
+    steps.append(_step(control, "companies", _count_by_target(batch)))
 
     # Directory tables: complete listings, stale rows pruned.
     for entity in DIRECTORY_ENTITIES:
-        outcome = outcome_of(entity).join(alive, TARGET, "left_semi")
-        good = outcome.filter(F.col("error").isNull()).select(*TARGET)
-        listing = landed.filter(F.col("entity") == entity)
-        records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "payload"))
-        records = records.withColumnRenamed("company_id", "target_company")
-        batch = staged(project_records(records, entity, stamp, keep=["profile", "target_company", *arrival]), entity)
-        counts = _counts(batch.select("profile", F.col("target_company").alias("company_id")))
-        merged = upsert(tables[entity], _unique(batch.drop("target_company"), arrival), ["id"])
-        runs = good.select("company_id").distinct().withColumn("started_at", stamp)
-        pruned = stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
+        batch = staged(project_records(_listed(landed, entity), entity, stamp, keep=arrived), entity)
+        merged = upsert(tables[entity], _unique(batch), ["id"])
+        runs = _runs(control, _good(entity), stamp)
         new[entity] = prune_stale(merged, runs)
-        steps.append(_step(outcome, entity, counts, pruned))
-
-    # Issues.
-    outcome = outcome_of("issues").join(alive, TARGET, "left_semi")
-    good = outcome.filter(F.col("error").isNull()).select(*TARGET)
-    listing = landed.filter(F.col("entity") == "issues")
-    records = page_records(listing.join(good, TARGET, "left_semi").select(*TARGET, "page_no", "since", "payload"))
-    records = records.withColumnRenamed("company_id", "target_company")
-    batch = project_records(records, "issues", stamp, keep=["profile", "target_company", "since", *arrival])
+        steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(merged, runs)))
+
+    # Issues: the changed ones are told from the stored rows before these are replaced.
+    batch = project_records(_listed(landed, "issues", "since"), "issues", stamp, keep=["since", *arrived])
     moment, bound = instant(F.col("updated_at")), instant(F.col("since"))
     batch = batch.filter(bound.isNull() | moment.isNull() | (moment >= bound))
-    flagged = staged(detect_changes(tables["issues"], batch), "issues")
-    target = [F.col("profile"), F.col("target_company").alias("company_id")]
-    listed = flagged.groupBy(*target).agg(
-        F.count(F.lit(1)).alias("count"), F.count_if("changed").alias("issues_changed")
-    )
-    changed = flagged.filter("changed").select("id", "company_id").distinct()
-    merged = upsert_issues(tables["issues"], _unique(flagged.drop("target_company", "since", "changed"), arrival))
-    complete = plan.filter(F.col("mode") == "full").join(good, TARGET, "left_semi")
-    runs = complete.select("company_id").distinct().withColumn("started_at", stamp)
-    pruned = stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
+    batch = staged(detect_changes(tables["issues"], batch), "issues")
+    listed = staged(_count_by_target(batch, F.count_if("changed").alias("issues_changed")), "listed")
+    merged = upsert_issues(tables["issues"], _unique(batch, "since", "changed"))
+    runs = _runs(control, _good("issues") & (F.col("mode") == "full"), stamp)
+    pruned = staged(_stale_counts(merged, runs), "pruned")
     issues = prune_stale(merged, runs)
-    issue_step = _step(outcome, "issues", listed.select(*TARGET, "count"), pruned)
-    steps.append(issue_step)
+    steps.append(_step(control, "issues", listed.drop("issues_changed"), pruned))
     kept_comments = drop_orphans(tables["comments"], issues, pruned.select("company_id"))
-    old_cursors = plan.join(good, TARGET, "left_semi").select(*TARGET, "cursor")
-    cursors = advance_cursor(old_cursors, flagged.select(*target, "updated_at"), TARGET)
+    seen = batch.select("profile", F.col("target_company").alias("company_id"), "updated_at")
+    cursors = advance_cursor(control.filter(_good("issues")).select(*TARGET, "cursor"), seen, TARGET)
 
     # Threads of changed and active issues, of every issue in full runs.
-    in_full = plan.groupBy("company_id").agg(F.bool_or(F.col("mode") == "full").alias("_full"))
-    scoped = issues.join(in_full.join(good.select("company_id").distinct(), "company_id", "left_semi"), "company_id")
-    wanted = hydration_candidates(scoped, changed, comments, F.col("_full"))
-    threads = with_shape(landed.filter(F.col("entity") == "comments")).join(good, TARGET, "left_semi")
-    threads = threads.drop("api_base", "mode", "since").join(wanted.select("issue_id"), "issue_id", "left_semi")
-    read = staged(threads.groupBy(*TARGET, "issue_id").agg(F.max("error").alias("error")), "threads")
+    companies = control.filter(_good("issues")).groupBy("company_id").agg(F.bool_or(F.col("mode") == "full").alias("_full"))
+    changed = batch.filter("changed").select("id", "company_id")
+    wanted = hydration_candidates(issues.join(companies, "company_id"), changed, comments, F.col("_full"))
+    threads = landed.filter((F.col("entity") == "comments") & _good("issues"))
+    threads = threads.select(*TARGET, "issue_id", "page_no", "payload", "error")
+    asked = with_shape(threads).join(wanted.select("issue_id"), "issue_id", "left_semi")
+    read = staged(asked.groupBy(*TARGET, "issue_id").agg(F.max("error").alias("error")), "threads")
     hydrated = read.filter(F.col("error").isNull()).select("issue_id").distinct().withColumn("at", stamp)
-    pages_read = landed.filter(F.col("entity") == "comments").join(hydrated.select("issue_id"), "issue_id", "left_semi")
-    fetched = page_records(pages_read.select("profile", "page_no", "payload"))
-    fetched = staged(project_records(fetched, "comments", stamp, keep=["profile", *arrival]), "comments")
-    new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched, arrival))
+    good_pages = threads.withColumnRenamed("company_id", "target_company").join(hydrated, "issue_id", "left_semi")
+    fetched = page_records(good_pages.select("profile", "target_company", "page_no", "payload"))
+    fetched = staged(project_records(fetched, "comments", stamp, keep=arrived), "comments")
+    new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched))
     new["issues"] = stamp_threads(issues, hydrated)
     tally = read.groupBy(*TARGET).agg(
         F.count_if(F.col("error").isNull()).alias("hydrated"), F.count_if(F.col("error").isNotNull()).alias("failed")
@@ -191,7 +199,7 @@ def sync_run(
     )
 
     # Results per company: a failed company record is an error, any other failed step makes it partial.
-    entities = union_all(steps)
+    entities = staged(union_all(steps), "steps")
     failed = F.col("status") == "error"
     status = (
         F.when(F.bool_or(failed & (F.col("entity") == "companies")), F.lit("error"))
@@ -199,14 +207,14 @@ def sync_run(
         .otherwise(F.lit("ok"))
     )
     results = (
-        plan.select(*TARGET, "api_base", "mode")
+        control.select(*TARGET, "api_base", "mode")
         .join(entities.groupBy(*TARGET).agg(status.alias("status")), TARGET)
         .join(listed.select(*TARGET, "issues_changed"), TARGET, "left")
         .join(tally.select(*TARGET, F.col("hydrated").alias("comments_hydrated")), TARGET, "left")
         .fillna(0, ["issues_changed", "comments_hydrated"])
         .withColumn("started_at", stamp)
     )
-    new["sync_state"] = partial_upsert(tables["sync_state"], _state_patches(entities, tally, cursors, plan, started_at))
+    new["sync_state"] = partial_upsert(tables["sync_state"], _state_patches(entities, tally, cursors, control, started_at))
     return SyncResult(new, entities, results)
 
 

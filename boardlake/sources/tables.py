@@ -7,10 +7,12 @@ no trace in what they read.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from boardlake.schemas import ENTITIES, META, SYNC_RUNS, SYNC_STATE, entity_schema
 
@@ -34,6 +36,7 @@ def _layout(table: str, frame: DataFrame) -> DataFrame:
 def write_version(root: str, version: str, tables: dict[str, DataFrame]) -> None:
     """Write tables as ``version`` and commit them together. Versions order as text, such as run stamps."""
     spark = next(iter(tables.values())).sparkSession
+    version = re.sub(r"[^0-9A-Za-z.-]", "-", version)
     for name, frame in tables.items():
         writer = _layout(name, frame).write.mode("overwrite")
         if name in ENTITIES and name != "companies":

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from boardlake.operators.grouping import latest_per_key
-from boardlake.operators.index import TextIndex, forward_tokens, postings_of
+from boardlake.operators.index import TextIndex, forward_tokens, replace_documents
 from boardlake.operators.upsert import since_cursor
 
 
@@ -69,9 +69,4 @@ def merge_index(base: TextIndex, log: DataFrame) -> TextIndex:
     """Index with a token log applied: the last logged version of a document replaces its stored one."""
     last = log.groupBy("doc_id").agg(F.max("batch").alias("batch"))
     current = log.join(last, ["doc_id", "batch"], "left_semi").select(*base.forward.columns)
-    gone = last.select("doc_id")
-    return TextIndex(
-        base.forward.join(gone, "doc_id", "left_anti").unionByName(current),
-        base.postings.join(gone, "doc_id", "left_anti").unionByName(postings_of(current)),
-        base.weights,
-    )
+    return replace_documents(base, last.select("doc_id"), current)
