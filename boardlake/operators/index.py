@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
+from boardlake.session import spread
 
 # Indexed columns with their ranking weights (fixed values).
 ISSUE_TEXT = {"identifier": 5.0, "title": 3.0, "description": 1.0}
@@ -26,7 +27,7 @@ class TextIndex:
 def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
     """Tokens of every text column per document; a NULL column has none."""
     fields = F.array(*[F.struct(F.lit(c).alias("col"), tokenize(F.col(c)).alias("tokens")) for c in columns])
-    listed = rows.select(F.col(key).alias("doc_id"), fields.alias("fields"))
+    listed = spread(rows.select(key, *columns), key).select(F.col(key).alias("doc_id"), fields.alias("fields"))
     length = F.aggregate("fields", F.lit(0).cast("bigint"), lambda total, f: total + F.size(f["tokens"]))
     return listed.select("doc_id", length.alias("doc_tokens"), "fields")
 

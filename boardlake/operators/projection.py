@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from boardlake.functions.payload import time_text
 from boardlake.operators.redaction import redact_json
 from boardlake.schemas import ENTITY_FIELDS, entity_schema, payload_ddl
+from boardlake.session import spread
 
 
 def _typed(parsed: Column, key: str, rule: str, default: str | None = None) -> Column:
@@ -51,7 +52,7 @@ def project_records(
     if entity == "issues":
         fields.append(F.lit(None).cast("string").alias("comments_synced_at"))
     fields.append(redact_json(F.col(raw), entity).alias("raw_json"))
-    projected = _parsed(records, entity, raw).filter(_has_ids(entity)).select(*fields, *(keep or []))
+    projected = _parsed(spread(records), entity, raw).filter(_has_ids(entity)).select(*fields, *(keep or []))
     assert projected.columns[: len(entity_schema(entity))] == entity_schema(entity).names
     return projected
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -60,30 +61,29 @@ def query_words(queries: DataFrame) -> DataFrame:
     return word.select("query_id", F.col("word_no").cast("bigint").alias("word_no"), "word.terms", "word.is_prefix")
 
 
-def query_terms(parsed: DataFrame) -> DataFrame:
-    """One row per term: (query_id, n_words, word_no, n_terms, term_no, term, is_prefix)."""
-    word = parsed.select("query_id", F.size("words").alias("n_words"), F.posexplode("words").alias("word_no", "word"))
-    term = word.select(
-        "query_id", "n_words", "word_no", F.size("word.terms").alias("n_terms"),
-        F.col("word.is_prefix").alias("_prefix"), F.posexplode("word.terms").alias("term_no", "term"),
-    )
-    last = F.col("term_no") == F.col("n_terms") - 1
-    return term.withColumn("is_prefix", F.col("_prefix") & last).drop("_prefix")
+def keyed_words(parsed: DataFrame) -> DataFrame:
+    """One row per word of a query: (query_id, n_words, word_no, word, terms, is_prefix).
 
+    ``word`` names equal words of all queries alike, so that each is matched once.
+    """
+    placed = parsed.select("query_id", F.size("words").alias("n_words"), F.posexplode("words").alias("word_no", "item"))
+    name = F.concat(F.array_join("item.terms", " "), F.when(F.col("item.is_prefix"), F.lit("*")).otherwise(F.lit("")))
+    return placed.select("query_id", "n_words", "word_no", name.alias("word"), "item.terms", "item.is_prefix")
 
-def _local_terms(terms: DataFrame) -> tuple[DataFrame, Column]:
-    """Terms the caller typed, as literals: a local frame, and a predicate the postings scan can push down."""
-    rows = terms.collect()
-    admits = [F.col("token").startswith(r.term) if r.is_prefix else F.col("token") == r.term for r in rows]
-    local = terms.sparkSession.createDataFrame(rows, terms.schema)
-    return local, reduce(lambda a, b: a | b, admits, F.lit(False))
+
+def word_terms(words: DataFrame) -> DataFrame:
+    """One row per term of each distinct word: (word, n_terms, term_no, term, is_prefix)."""
+    distinct = words.select("word", "terms", F.col("is_prefix").alias("_prefix")).distinct()
+    term = distinct.select("word", F.size("terms").alias("n_terms"), "_prefix", F.posexplode("terms").alias("term_no", "term"))
+    last = F.col("term_no") == F.col("n_terms") - 1
+    return term.withColumn("is_prefix", F.col("_prefix") & last).drop("_prefix")
 
 
 def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings that satisfy a term: equal tokens, or tokens that start with a prefix term.
 
     Prefixes become an equality join: a token is offered once per distinct term length, cut to
-    that length. The terms are broadcast by Spark while they are small; otherwise both sides are
+    that length. Spark broadcasts the terms while they are small; otherwise both sides are
     shuffled by the cut token and AQE splits frequent ones.
     """
     lengths = terms.agg(F.collect_set(F.length("term")).alias("lengths")).scalar()
@@ -95,66 +95,109 @@ def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def phrase_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Phrase occurrences: (query_id, doc_id, word_no, col, start, n_words, doc_tokens).
+    """Phrase occurrences: (word, doc_id, col, start, doc_tokens).
 
     A phrase of n terms starts where n consecutive positions each satisfy their term, so counting
-    matches per start position replaces a self-join. One shuffle by (query, document) serves this
-    and all later steps, whatever the frequency of a token.
+    matches per start position replaces a self-join. Rows spread by document, whatever the
+    frequency of a token.
     """
-    matched = match_terms(postings, terms).repartition("query_id", "doc_id")
     return (
-        matched.groupBy("query_id", "doc_id", "word_no", "col", (F.col("pos") - F.col("term_no")).alias("start"))
-        .agg(
-            F.count(F.lit(1)).alias("_found"), F.max("n_terms").alias("_needed"),
-            F.max("n_words").alias("n_words"), F.max("doc_tokens").alias("doc_tokens"),
-        )
+        match_terms(postings, terms)
+        .groupBy("word", "doc_id", "col", (F.col("pos") - F.col("term_no")).alias("start"))
+        .agg(F.count(F.lit(1)).alias("_found"), F.max("n_terms").alias("_needed"), F.max("doc_tokens").alias("doc_tokens"))
         .filter("_found = _needed")
         .drop("_found", "_needed")
     )
 
 
-def rank_documents(index: TextIndex, hits: DataFrame, terms: DataFrame) -> DataFrame:
-    """BM25 rank of documents that hold every word of a query; smaller is better.
+def word_frequency(index: TextIndex, request: Request) -> DataFrame:
+    """Weighted occurrences of each word per document: (word, doc_id, f, doc_tokens).
 
-    Document counts and lengths are those of the whole index, whatever filters come later.
+    Words of one term are counted as they are matched, so tasks add them up before the shuffle;
+    only phrases go through their start positions.
     """
     weight = reduce(lambda w, item: w.when(F.col("col") == item[0], F.lit(item[1])), index.weights.items(), F)
-    frequency = hits.groupBy("query_id", "doc_id", "word_no").agg(
-        F.sum(weight).alias("f"), F.max("doc_tokens").alias("doc_tokens"), F.max("n_words").alias("n_words")
-    )
+
+    def counted(hits: DataFrame) -> DataFrame:
+        return hits.groupBy("word", "doc_id").agg(F.sum(weight).alias("f"), F.max("doc_tokens").alias("doc_tokens"))
+
+    legs = []
+    if request.has_single:
+        legs.append(counted(match_terms(request.postings, request.terms.filter("n_terms = 1"))))
+    if request.has_phrase:
+        legs.append(counted(phrase_hits(request.postings, request.terms.filter("n_terms > 1"))))
+    return reduce(lambda a, b: a.unionByName(b), legs)
+
+
+def rank_documents(index: TextIndex, request: Request) -> DataFrame:
+    """BM25 rank of documents that hold every word of a query: (query_id, doc_id, rank); smaller is better.
+
+    Document counts and lengths are those of the whole index, whatever filters come later. The
+    documents of a query's rarest word are its candidates: only for them are the other words looked
+    up, so frequent words never multiply queries by documents.
+    """
+    frequency = word_frequency(index, request)
     totals = index.forward.agg(F.count(F.lit(1)).alias("docs"), F.sum("doc_tokens").alias("tokens"))
     docs = totals.select("docs").scalar().cast("double")
     average = totals.select(F.try_divide("tokens", "docs")).scalar()
-    found = frequency.groupBy("query_id", "word_no").agg(F.count(F.lit(1)).alias("n"))
+    found = frequency.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     idf = F.ln((docs - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    idfs = found.select("query_id", "word_no", F.when(idf > 0, idf).otherwise(F.lit(IDF_FLOOR)).alias("idf"))
-    # At most one row per query word: as small as the query terms.
-    if is_small(terms):
-        idfs = F.broadcast(idfs)
+    weighed = (
+        request.words.select("query_id", "n_words", "word_no", "word")
+        .join(found, "word")
+        .withColumn("idf", F.when(idf > 0, idf).otherwise(F.lit(IDF_FLOOR)))
+    )
+    if request.is_small:
+        # At most one row per query word, as small as the words themselves.
+        weighed = F.broadcast(weighed)
+    rarest = weighed.groupBy("query_id").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
+    rarest = rarest.filter("_held = _needed").select("query_id", "word")
+    candidates = frequency.join(F.broadcast(rarest) if request.is_small else rarest, "word").select("query_id", "doc_id")
     saturated = F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("doc_tokens") / average))
     return (
-        frequency.join(idfs, ["query_id", "word_no"])
+        candidates.join(weighed, "query_id")
+        .join(frequency, ["word", "doc_id"])
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("idf") * saturated).alias("score"), F.count(F.lit(1)).alias("_words"), F.max("n_words").alias("_needed"))
-        .filter("_words = _needed")
+        .agg(F.sum(F.col("idf") * saturated).alias("score"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
+        .filter("_held = _needed")
         .select("query_id", "doc_id", F.round(-F.col("score"), RANK_DIGITS).alias("rank"))
     )
 
 
-def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(postings to read, terms, parsed queries). Literal queries push their tokens into the postings scan."""
+@dataclass(frozen=True)
+class Request:
+    """Queries ready to run: the postings to read, distinct terms, words per query, parsed texts."""
+
+    postings: DataFrame
+    terms: DataFrame
+    words: DataFrame
+    parsed: DataFrame
+    has_single: bool = True
+    has_phrase: bool = True
+    is_small: bool = False
+
+
+def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Request:
+    """Parse queries. The tokens of literal queries are pushed into the postings scan."""
     parsed = parse_queries(query_frame(index.postings.sparkSession, queries))
-    terms = query_terms(parsed)
     if isinstance(queries, DataFrame):
-        return index.postings, terms, parsed
-    local, admits = _local_terms(terms)
-    return index.postings.filter(admits), local, parsed
+        words = keyed_words(parsed)
+        return Request(index.postings, word_terms(words), words, parsed, is_small=is_small(queries))
+    # Texts the caller typed: a few rows, kept as local frames.
+    spark = parsed.sparkSession
+    parsed = spark.createDataFrame(parsed.collect(), parsed.schema)
+    words = keyed_words(parsed)
+    rows = word_terms(words).collect()
+    terms = spark.createDataFrame(rows, word_terms(words).schema)
+    admits = [F.col("token").startswith(r.term) if r.is_prefix else F.col("token") == r.term for r in rows]
+    postings = index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False)))
+    single, phrase = any(r.n_terms == 1 for r in rows), any(r.n_terms > 1 for r in rows)
+    return Request(postings, terms, words, parsed, single or not phrase, phrase, is_small=True)
 
 
 def rank_matches(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> DataFrame:
     """All matching documents with their rank: (query_id, doc_id, rank)."""
-    postings, terms, _ = prepare(index, queries)
-    return rank_documents(index, phrase_hits(postings, terms), terms)
+    return rank_documents(index, prepare(index, queries))
 
 
 def search_limit(limit: float | None) -> int:
@@ -255,8 +298,8 @@ def search_issues(
     limit: float | None = None,
 ) -> DataFrame:
     """Best issues per query. Only when filters are given do the ranked documents meet the issues before the cut."""
-    postings, terms, parsed = prepare(index, queries)
-    ranked = rank_documents(index, phrase_hits(postings, terms), terms)
+    request = prepare(index, queries)
+    ranked = rank_documents(index, request)
     filters = _issue_filters(company_id, status)
     if filters:
         ranked = ranked.join(keep_if(issues, *filters).select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
@@ -267,7 +310,7 @@ def search_issues(
     return (
         top.withColumnRenamed("doc_id", "issue_id")
         .join(detail, "issue_id")
-        .join(parsed, "query_id")
+        .join(request.parsed, "query_id")
         .withColumns(
             {
                 "kind": F.lit("issue"),
@@ -289,8 +332,8 @@ def search_comments(
     limit: float | None = None,
 ) -> DataFrame:
     """Best comments per query; filters apply to the parent issue, comments without one drop out."""
-    postings, terms, parsed = prepare(index, queries)
-    ranked = rank_documents(index, phrase_hits(postings, terms), terms).withColumnRenamed("doc_id", "comment_id")
+    request = prepare(index, queries)
+    ranked = rank_documents(index, request).withColumnRenamed("doc_id", "comment_id")
     parents = comments.select(F.col("id").alias("comment_id"), "issue_id")
     allowed = keep_if(issues, *_issue_filters(company_id, status)).select(F.col("id").alias("issue_id"))
     live = ranked.join(parents, "comment_id").join(allowed, "issue_id", "left_semi")
@@ -300,7 +343,7 @@ def search_comments(
     return (
         top.join(text, "comment_id")
         .join(detail, "issue_id")
-        .join(parsed, "query_id")
+        .join(request.parsed, "query_id")
         .withColumns({"kind": F.lit("comment"), "snippet": snippet(F.col("body"), F.col("words"))})
         .select(*HIT_COLUMNS)
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
 from boardlake.operators import search as S
 from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, TextIndex, build_index, index_stats, store_index, term_stats, update_index
 from boardlake.plans.views import table, view, views
-from boardlake.session import scratch_path
+from boardlake.session import scratch_path, spread
 
 QUERIES = {}
 ORACLES = {}
@@ -55,7 +54,7 @@ def stored_index(spark, sf: str, corpus: str) -> TextIndex:
 @register("tokenize", f"SELECT doc_id, len({TOKENS.format('text')}) AS n, array_to_string({TOKENS.format('text')}, ' ') AS tokens FROM documents")
 def tokenize_documents(spark, sf):
     tokens = tokenize(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.size(tokens).cast("bigint").alias("n"), F.array_join(tokens, " ").alias("tokens"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.size(tokens).cast("bigint").alias("n"), F.array_join(tokens, " ").alias("tokens"))
 
 
 @register(
@@ -170,24 +169,22 @@ def rank_sql(corpus: str, queries: dict[str, list]) -> str:
   GROUP BY q.query_id, q.doc_id, n_words HAVING count(*) = n_words)"""
 
 
-@register(
-    "search_phrase",
-    f"SELECT query_id, doc_id, col, CAST(hits AS BIGINT) AS hits FROM ({hits_sql('issue', {'phrase': QUERY_WORDS['phrase'], 'exact': [(['en', '7'], False)]})}) AS found",
-)
+def found_sql(queries: dict[str, list]) -> str:
+    """Occurrences per distinct word of the queries, document and column."""
+    words = {" ".join(terms) + "*" * prefix: [(terms, prefix)] for listed in queries.values() for terms, prefix in listed}
+    return f"SELECT query_id AS word, doc_id, col, CAST(hits AS BIGINT) AS hits FROM ({hits_sql('issue', words)}) AS found"
+
+
+@register("search_phrase", found_sql({"phrase": QUERY_WORDS["phrase"], "exact": [(["en", "7"], False)]}))
 def search_phrase(spark, sf):
-    index = stored_index(spark, sf, "issues")
-    postings, terms, _ = S.prepare(index, {"phrase": '"of the"', "exact": '"EN-7"'})
-    return S.phrase_hits(postings, terms).groupBy("query_id", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
+    request = S.prepare(stored_index(spark, sf, "issues"), {"phrase": '"of the"', "exact": '"EN-7"'})
+    return S.phrase_hits(request.postings, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
 
 
-@register(
-    "search_prefix",
-    f"SELECT query_id, doc_id, word_no, col, CAST(hits AS BIGINT) AS hits FROM ({hits_sql('issue', {q: QUERY_WORDS[q] for q in ('one', 'two', 'prefix')})}) AS found",
-)
+@register("search_prefix", found_sql({q: QUERY_WORDS[q] for q in ("one", "two", "prefix")}))
 def search_prefix(spark, sf):
-    index = stored_index(spark, sf, "issues")
-    postings, terms, _ = S.prepare(index, {q: QUERY_TEXTS[q] for q in ("one", "two", "prefix")})
-    return S.phrase_hits(postings, terms).groupBy("query_id", "doc_id", "word_no", "col").agg(F.count(F.lit(1)).alias("hits"))
+    request = S.prepare(stored_index(spark, sf, "issues"), {q: QUERY_TEXTS[q] for q in ("one", "two", "prefix")})
+    return S.phrase_hits(request.postings, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
 
 
 @register("bm25_rank", f"WITH {rank_sql('issue', QUERY_WORDS)} SELECT query_id, doc_id, rank FROM issue_ranked")

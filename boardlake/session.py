@@ -90,5 +90,17 @@ def planned_bytes(frame: DataFrame) -> int:
     return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """Share CPU-heavy work on a small input among all cores.
+
+    Inputs too small to fill every core with a full scan partition may arrive in one task. Larger
+    ones are left as they are scanned: no shuffle is added at scale.
+    """
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    full = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return frame.repartition(cores, *keys) if planned_bytes(frame) < cores * full else frame
+
+
 def is_small(frame: DataFrame) -> bool:
     return planned_bytes(frame) <= broadcast_limit(frame.sparkSession)
