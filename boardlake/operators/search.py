@@ -126,7 +126,10 @@ def word_frequency(index: TextIndex, request: Request) -> DataFrame:
         legs.append(counted(match_terms(request.postings, request.terms.filter("n_terms = 1"))))
     if request.has_phrase:
         legs.append(counted(phrase_hits(request.postings, request.terms.filter("n_terms > 1"))))
-    return reduce(lambda a, b: a.unionByName(b), legs)
+    # True for every row. It makes each use of the frame need the same columns, so that Spark
+    # matches and shuffles once and reuses the exchange.
+    whole = "f > 0 AND doc_tokens > 0 AND word IS NOT NULL AND doc_id IS NOT NULL"
+    return reduce(lambda a, b: a.unionByName(b), [leg.filter(whole) for leg in legs])
 
 
 def rank_documents(index: TextIndex, request: Request) -> DataFrame:
