@@ -34,7 +34,8 @@ def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> Data
 
 def postings_of(forward: DataFrame) -> DataFrame:
     """One row per token occurrence; ``doc_tokens`` rides along so that ranking needs no join for it."""
-    field = forward.select("doc_id", "doc_tokens", F.explode("fields").alias("field"))
+    # The outer form: for the inner one Spark would compute the tokens once more to filter empty arrays.
+    field = forward.select("doc_id", "doc_tokens", F.explode_outer("fields").alias("field"))
     placed = field.select("doc_id", "doc_tokens", "field.col", F.posexplode("field.tokens").alias("pos", "token"))
     return placed.select("token", "doc_id", "col", F.col("pos").cast("bigint").alias("pos"), "doc_tokens")
 

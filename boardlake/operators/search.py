@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
 from boardlake.operators.index import TextIndex
 from boardlake.operators.reads import equals, keep_if, status_in
-from boardlake.session import is_small
+from boardlake.session import is_small, spread
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
 
 # Fixed values of the ranking formula: saturation, length share, floor of the inverse document frequency.
@@ -89,7 +89,7 @@ def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     lengths = terms.agg(F.collect_set(F.length("term")).alias("lengths")).scalar()
     measured = postings.withColumn("_lengths", lengths)
     fitting = F.filter("_lengths", lambda n: n <= F.length("token"))
-    offered = measured.withColumn("_cut", F.explode(F.transform(fitting, lambda n: F.substr("token", F.lit(1), n))))
+    offered = measured.withColumn("_cut", F.explode_outer(F.transform(fitting, lambda n: F.substr("token", F.lit(1), n))))
     fits = (F.col("_cut") == F.col("term")) & (F.col("is_prefix") | (F.col("token") == F.col("term")))
     return offered.join(terms, fits).drop("_cut", "_lengths")
 
@@ -193,7 +193,7 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     rows = word_terms(words).collect()
     terms = spark.createDataFrame(rows, word_terms(words).schema)
     admits = [F.col("token").startswith(r.term) if r.is_prefix else F.col("token") == r.term for r in rows]
-    postings = index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False)))
+    postings = spread(index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False))), "doc_id", "token")
     single, phrase = any(r.n_terms == 1 for r in rows), any(r.n_terms > 1 for r in rows)
     return Request(postings, terms, words, parsed, single or not phrase, phrase, is_small=True)
 

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boardlake.functions.text import strip_slashes
 from boardlake.functions.timing import instant
 from boardlake.operators.grouping import latest_per_key
 from boardlake.schemas import ACTIVE_STATUSES, SYNC_STATE_FIELDS, SYNC_STATE_KEYS
@@ -25,13 +26,15 @@ def upsert(
     ``order`` ranks repeated keys within the batch; without it the batch must be unique per key.
     """
     preserve = preserve or []
+    # Semi and anti joins do not mind repeated keys, so they need not wait for the deduplication.
+    touched = batch.select(*keys)
     if order:
         batch = latest_per_key(batch, keys, order)
     fresh = batch.select(*[c for c in stored.columns if c in batch.columns and c not in preserve])
     if preserve:
-        kept = stored.join(fresh.select(*keys), keys, "left_semi").select(*keys, *preserve)
+        kept = stored.join(touched, keys, "left_semi").select(*keys, *preserve)
         fresh = fresh.join(kept, keys, "left")
-    untouched = stored.join(fresh.select(*keys), keys, "left_anti")
+    untouched = stored.join(touched, keys, "left_anti")
     return untouched.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -118,10 +121,11 @@ def replace_threads(
     comments: DataFrame, hydrated: DataFrame, fetched: DataFrame, order: list[Column | str] | None = None
 ) -> DataFrame:
     """Replace the threads of the ``hydrated`` issue ids by the fetched comments; other threads stay."""
+    sent = fetched.select("id")
     if order:
         fetched = latest_per_key(fetched, ["id"], order)
     kept = comments.join(hydrated.select("issue_id"), "issue_id", "left_anti")
-    return kept.join(fetched.select("id"), "id", "left_anti").select(*comments.columns).unionByName(
+    return kept.join(sent, "id", "left_anti").select(*comments.columns).unionByName(
         fetched.select(*[c for c in comments.columns if c in fetched.columns]), allowMissingColumns=True
     )
 
@@ -188,8 +192,6 @@ def hydration_candidates(
 
 def dedupe_targets(targets: DataFrame) -> DataFrame:
     """First target per (api base, company); targets without a company are skipped."""
-    from boardlake.functions.text import strip_slashes
-
     usable = targets.filter(F.coalesce(F.length("company_id"), F.lit(0)) > 0)
     usable = usable.withColumn("api_base", strip_slashes(F.col("api_base")))
     return latest_per_key(usable, ["api_base", "company_id"], ["position"], first=True)

@@ -24,7 +24,9 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = N
 def page_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per record of every page: the page's columns, ``raw`` and its place ``item`` on the page."""
     rest = [c for c in pages.columns if c != payload]
-    return pages.select(*rest, F.posexplode(envelope_records(F.col(payload))).alias("item", "raw"))
+    # The outer form parses each payload once; an inner explode would parse it again to filter empty pages.
+    exploded = pages.select(*rest, F.posexplode_outer(envelope_records(F.col(payload))).alias("item", "raw"))
+    return exploded.filter(F.col("raw").isNotNull())
 
 
 def with_shape(pages: DataFrame) -> DataFrame:
