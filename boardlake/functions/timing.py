@@ -22,7 +22,8 @@ def millis(stamp: Column) -> Column:
 
 
 def iso_text(moment: Column) -> Column:
-    return F.date_format(moment, ISO_MILLIS)
+    """UTC text of an instant, whatever the time zone of the session."""
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), moment.cast("timestamp_ntz")), ISO_MILLIS)
 
 
 def iso_from_millis(value: Column) -> Column:

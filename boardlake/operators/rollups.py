@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import label
-from boardlake.functions.timing import duration_ms, freshness_state, millis, relative_time
+from boardlake.functions.timing import duration_ms, freshness_state, iso_from_millis, millis, relative_time
 from boardlake.operators.grouping import with_positions
 from boardlake.operators.reads import with_columns_of
 from boardlake.schemas import ACTIVE_STATUSES, SYNC_STATE_FIELDS, SYNC_STATE_KEYS, STALE_AFTER_MS
@@ -96,7 +96,7 @@ def max_stamp(tables: list[DataFrame], now: Column) -> DataFrame:
     floor = _union([t.agg(F.max("synced_at").alias("stamp")) for t in tables]).agg(F.max("stamp").alias("max_stamp"))
     stepped = F.greatest(F.unix_millis(now), millis(F.col("max_stamp")) + 1)
     return floor.select(
-        "max_stamp", F.date_format(F.timestamp_millis(stepped), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("run_stamp")
+        "max_stamp", iso_from_millis(stepped).alias("run_stamp")
     )
 
 

@@ -142,6 +142,16 @@ def test_run_stamps_strictly_increase(spark):
     assert stamp([empty], "2025-01-01T00:00:00.000Z") == "2025-01-01T00:00:00.000Z"
 
 
+def test_stamps_ignore_the_session_time_zone(spark):
+    stored = spark.createDataFrame([("2026-07-01T00:00:00.005Z",)], "synced_at string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = max_stamp([stored], instant(F.lit("2025-01-01T00:00:00.000Z"))).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.run_stamp == "2026-07-01T00:00:00.006Z"
+
+
 @pytest.mark.parametrize(
     "statuses, expected",
     [([], "ok"), (["ok", "ok"], "ok"), (["ok", "error"], "partial"), (["partial"], "partial"), (["error", "error"], "error")],
