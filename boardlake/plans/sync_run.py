@@ -131,10 +131,12 @@ def sync_run(
     ignored; without its issues, its threads are. ``started_at`` is the run stamp of ``max_stamp``.
     A response of unknown shape counts as failed: taking it for an empty listing would prune everything.
 
-    The control rows and the projected batches are staged, so that payloads are parsed and redacted
-    once although upserts, counts, cursors and threads all need them. The stored tables are not.
+    Pages are staged by entity, so that each step reads its own pages instead of all JSON text. The
+    control rows and the projected batches are staged too: payloads are parsed and redacted once
+    although upserts, counts, cursors and threads all need them. The stored tables are not.
     """
     stamp = F.lit(started_at)
+    pages = staged(pages.filter(F.col("entity").isin("companies", *LISTINGS, "comments")), "pages", "entity")
     plan = plan_sync(dedupe_targets(targets), tables["sync_state"], full, since)
     control = staged(_control(pages, plan), "control")
     landed = pages.join(control, TARGET)

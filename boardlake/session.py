@@ -73,10 +73,10 @@ def cut_lineage(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def staged(frame: DataFrame, label: str) -> DataFrame:
+def staged(frame: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back, for results that several plans use."""
     path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
