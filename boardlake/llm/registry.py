@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boardlake.llm import mixing, simhash, tokens, warc
+from boardlake.llm import mixing, secrets, simhash, suffix_dedup, superkmer, tokens, warc
 from boardlake.session import scratch_path, ship_package
 
 
@@ -19,21 +19,33 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_superkmer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.remove_repeated_windows(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_tokens, op8_mixing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op4_secrets, op5_tokens, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
 
 
 def _prepared(function):
