@@ -6,8 +6,9 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boardlake.llm import mixing, secrets, simhash, suffix_dedup, superkmer, tokens, warc
+from boardlake.llm import decontaminate, mixing, multi_index, secrets, simhash, suffix_dedup, superkmer, tokens, warc
 from boardlake.session import scratch_path, ship_package
 
 
@@ -19,6 +20,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,10 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
 
@@ -45,7 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_secrets, op5_tokens, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op3_multi_index, op4_secrets, op5_tokens, op6_decontaminate, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
 
 
 def _prepared(function):
