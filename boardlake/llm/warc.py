@@ -11,10 +11,11 @@ their concurrent-to identifiers into one nested row.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
-import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ CRLF = "\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-ARCHIVE_BYTES = 32 * 2**20
+ARCHIVE_BYTES = 8 * 2**20
 CAPTURE_DATE = "2020-01-01T00:00:00Z"
 
 
@@ -70,10 +71,10 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     Null html is an empty payload, a null url an empty target, a null page id is kept as one and sorts last.
     Repeated rows are captures of their own; of equal ones the first in the scan is the response. Payloads under
     ``least_bytes`` are never revisits. An empty table writes no records. An archive holds about ``archive_bytes``
-    of payload, so that a reader can take it whole; one larger page makes one larger archive.
+    of payload (pages of mean size up to that), so that a reader can take it whole.
     """
     rows = stored_payloads(pages, least_bytes)
-    size = pages.agg(F.sum(F.octet_length("html")).alias("n")).first()["n"] or 0
+    mean = pages.agg(F.avg(F.octet_length("html")).alias("n")).first()["n"] or 0
     repeat = F.col("refers_capture").isNotNull()
     main = _record_id("main")
     date, target = ("WARC-Date", F.lit(CAPTURE_DATE)), ("WARC-Target-URI", _header_value(F.coalesce("url", F.lit(""))))
@@ -92,14 +93,19 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _record_id("request")), date, target, ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/http; msgtype=request"))], ask)
     known = F.concat_ws("", *[F.concat(F.lit(f"{name}: "), F.col(column).cast("string"), F.lit(CRLF)) for name, column in (("page-id", "page_id"), ("refers-to-page", "refers_to"), ("payload-length", "length"))])
     metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _record_id("metadata")), date, target, ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))], known)
-    records = rows.withColumn("length", F.octet_length("payload")).select("capture", F.explode(F.array(request, response, metadata)).alias("value"))
-    dealt = records.repartition(int(size // archive_bytes) + 1, "capture").select("value")
-    dealt.write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+    records = rows.withColumn("length", F.octet_length("payload")).select(F.explode(F.array(request, response, metadata)).alias("value"))
+    per_archive = 3 * max(1, int(archive_bytes // (mean + len(HTTP_HEAD))))
+    writer = records.select("value").write.option("lineSep", CRLF * 2).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", per_archive).text(path)
 
 
 def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of every record of a plain or gzip archive, members read one by one."""
-    stream = io.BytesIO(_plain(content))
+    """(headers with lower-case names, block) of every record of a plain or gzip archive, unpacked as it is read."""
+    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    yield from _records(stream)
+
+
+def _records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     while line := stream.readline():
         if not line.strip():
             continue
@@ -116,17 +122,6 @@ def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def _plain(content: bytes) -> bytes:
-    if content[:2] != b"\x1f\x8b":
-        return content
-    parts = []
-    while content:
-        member = zlib.decompressobj(wbits=31)
-        parts.append(member.decompress(content))
-        content = member.unused_data.lstrip(b"\0")
-    return b"".join(parts)
-
-
 RECORD = "record_id string, type string, concurrent_to string, refers_to string, url string, date string, content_type string, fields map<string,string>, payload_bytes bigint, payload_digest string, payload binary"
 
 
