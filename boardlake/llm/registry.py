@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.llm import decontaminate, mixing, multi_index, secrets, simhash, suffix_dedup, superkmer, tokens, warc
+from boardlake.llm import decontaminate, mixing, multi_index, secrets, simhash, suffix_dedup, superkmer, tokens, toxicity, warc
 from boardlake.session import scratch_path, ship_package
 
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op3_multi_index, op4_secrets, op5_tokens, op6_decontaminate, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_multi_index, op4_secrets, op5_tokens, op6_decontaminate, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
 
 
 def _prepared(function):
