@@ -133,6 +133,18 @@ class LexiconAutomaton:
         return best
 
 
+_ready: dict[tuple, tuple[LexiconAutomaton, dict]] = {}
+
+
+def _kept_ready(weights: dict[str, float]) -> tuple[LexiconAutomaton, dict]:
+    """The automaton of a lexicon and the words it has matched, kept by the worker process from task to task."""
+    key = tuple(weights.items())
+    if key not in _ready:
+        _ready.clear()
+        _ready[key] = (LexiconAutomaton(weights), {})
+    return _ready[key]
+
+
 @dataclass
 class Scorer:
     """A fitted model: entry weights and the coefficients of the regression (the first is the intercept)."""
@@ -143,8 +155,9 @@ class Scorer:
     def features(self, text: str, automaton: LexiconAutomaton, known: dict) -> list[float]:
         """Sums of all direct, the misspelled and the quoted hits, the strongest direct hit, and hits with a word of address."""
         words = WORD.findall(text.lower())
-        for w in set(words) - known.keys():
-            known[w] = automaton.match(w)
+        for w in words:
+            if w not in known:
+                known[w] = automaton.match(w)
         if len(known) > REMEMBERED_WORDS:
             kept = {w: known[w] for w in set(words)}
             known.clear()
@@ -248,7 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Scorer(_pruned([(r.term, r.toxic, r.weight) for r in found]))
 
     def measured(batches):
-        automaton, known = LexiconAutomaton(model.weights), {}
+        automaton, known = _kept_ready(model.weights)
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"]):
                 yield int(bool(label)), [float(x) for x in model.features(text, automaton, known)]
@@ -290,7 +303,7 @@ class _Scoring:
         self.model = model
 
     def __call__(self, batches):
-        automaton, known = LexiconAutomaton(self.model.weights), {}
+        automaton, known = _kept_ready(self.model.weights)
         for batch in batches:
             for key, text in zip(batch["id"], batch["text"]):
                 yield key, self.model.score(self.model.features(text, automaton, known))
@@ -300,7 +313,7 @@ def score_texts(docs: DataFrame, model: Scorer, text_col: str, score_col: str) -
     """``docs`` with all its columns and the score of each row's text as ``score_col``."""
 
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton, known = LexiconAutomaton(model.weights), {}
+        automaton, known = _kept_ready(model.weights)
         for texts in parts:
             yield texts.map(lambda t: model.score(model.features(t, automaton, known))).astype("float64")
 
