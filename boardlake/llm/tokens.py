@@ -148,7 +148,7 @@ class _Counter:
     def _sum_pieces(tokenizer, texts, group, counts, known):
         """A piece is encoded on its own as within its text, so each distinct one is encoded once."""
         pieces = [PIECES.findall(texts[i]) for i in group]
-        new = list(set().union(*pieces) - known.keys()) if pieces else []
+        new = list({p for own in pieces for p in own if p not in known})
         for piece, encoded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             known[piece] = len(encoded)
         for i, own in zip(group, pieces):
