@@ -286,6 +286,8 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRA
     texts = staged(texts, "suffix-texts")
     held = texts.select("digest", "id", F.inline("anchors"))
     shared = held.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Written first, so that the join below has plain exchanges on both sides and a hot key can be split.
+    shared = staged(shared, "suffix-shared")
     hot, anchor = F.col("n") > group_limit, F.struct("hash", "at")
     wanted = held.join(shared, "hash").groupBy("digest", "id").agg(
         F.collect_list(F.when(~hot, anchor)).alias("wanted"), F.collect_list(F.when(hot, anchor)).alias("hot")

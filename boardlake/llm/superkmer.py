@@ -187,6 +187,8 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = MINI
     texts = staged(texts, "superkmer-texts")
     held = texts.select("digest", "id", F.explode("minimisers").alias("minimiser"))
     shared = held.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Written first, so that the join below has plain exchanges on both sides and a hot key can be split.
+    shared = staged(shared, "superkmer-shared")
     hot = F.col("n") > group_limit
     wanted = held.join(shared, "minimiser").groupBy("digest", "id").agg(
         F.collect_list(F.when(~hot, F.col("minimiser"))).alias("wanted"), F.collect_list(F.when(hot, F.col("minimiser"))).alias("hot")
