@@ -86,9 +86,33 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     nothing. A null source is a source of its own. Null ids and repeated rows are rows like any other. The order in
     a shard depends on seed and id only, so reruns agree. An empty table gives no rows. Other columns are not read.
     """
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
-    rows = staged(rows, "mix-sizes")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _order_key(seed, id_col).alias("key"))
+    mixed = _mixed(staged(rows, "mix-sizes"), weights, share, limit, block, shard_rows, seed)
+    return mixed.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def with_taken(docs: DataFrame, size_col: str, taken_col: str, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with all its columns, the size of each row in words and the words the mix takes of it.
+
+    The mix is that of :func:`mix_sources` with its defaults; the shares are found on small rows and joined to
+    the texts by id, source and size, which are all a share depends on.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _order_key(seed, id_col).alias("key"))
+    mixed = _mixed(staged(rows, "mix-sizes"), (3, 1, 2), 1.5, 2, BLOCK_TOKENS, SHARD_ROWS, seed)
+    # Rows that agree in id, source and size share what they were given evenly, up to one word.
+    own = mixed.groupBy("id", "source", "size").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
+    left = docs.withColumn(size_col, word_count(F.col(text_col))).alias("d")
+    agrees = F.col(f"d.{id_col}").eqNullSafe(F.col("m.id")) & F.col(f"d.{source_col}").eqNullSafe(F.col("m.source")) & (F.col(f"d.{size_col}") == F.col("m.size"))
+    joined = left.join(own.alias("m"), agrees)
+    return joined.select("d.*", F.least(F.round(F.col("m.taken") / F.col("m.n")), 2 * F.col("m.size")).cast("bigint").alias(taken_col))
+
+
+def _order_key(seed: int, id_col: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
+
+
+def _mixed(rows: DataFrame, weights: Sequence[float], share: float, limit: int, block: int, shard_rows: int, seed: int) -> DataFrame:
+    """``id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` of rows with ``id``, ``source``, ``size`` and ``key``."""
     sources = source_targets(rows, weights, share, limit)
     # Names stand for sources from here on, null included, so that joins and windows meet no null.
     sources = sources.withColumn("name", _name(F.col("source"))).withColumn("shards", F.ceil(F.col("rows") / shard_rows).cast("bigint"))
@@ -100,7 +124,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     quotas = _quotas(sources, shards, block)
     line = Window.partitionBy("name", "shard").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = placed.withColumn("end", F.sum("size").over(line)).join(quotas, ["name", "shard"])
-    return laid.select(F.col("id").alias(id_col), "size", "source_size", "target", F.least(_taken(block, seed), limit * F.col("size")).alias("taken"))
+    return laid.select("id", "source", "size", "source_size", "target", F.least(_taken(block, seed), limit * F.col("size")).alias("taken"))
 
 
 def _name(source: Column) -> Column:

@@ -27,6 +27,12 @@ from boardlake.session import staged
 
 SEED = 42
 DISTANCE = 2
+BANDS = 20
+BAND_SHINGLES = 6
+BINS = 256
+BUCKET_ROWS = 8_192
+_SALTS = [np.uint64(xxhash.xxh64_intdigest(b"order", t)) for t in range(BANDS)]
+_ODD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def fingerprint(text: bytes, width: int = 3) -> int:
@@ -158,3 +164,105 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, width: int = 3, i
     smallest = grouped.groupBy("label").agg(F.min("least").alias("component_id"))
     components = grouped.select("fp", "label").join(smallest, "label").select("fp", "component_id")
     return rows.join(components, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Distinct hashes of a text's word shingles (fewer words: of the whole sequence; none: no hash)."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + width]), SEED) for i in range(max(1, len(words) - width + 1))], np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> tuple[list[int], bytes]:
+    """Band keys and bins of a shingle set.
+
+    A band key is the SimHash-like mix of the smallest shingles under one of ``BANDS`` orders, so two texts of similarity s
+    share one with probability about s to the power of ``BAND_SHINGLES``. A bin holds 16 bits of the smallest hash in its
+    share of all hashes, 0 if empty; equal bins among those in use estimate the similarity, near exactly for few shingles.
+    """
+    bins = np.zeros(BINS, np.uint16)
+    if not len(hashes):
+        return [], bins.tobytes()
+    least = np.sort(hashes)[::-1]
+    bins[(least & np.uint64(BINS - 1)).astype(np.int64)] = ((least >> np.uint64(16)) % np.uint64(65_535)).astype(np.uint16) + np.uint16(1)  # the last written is the smallest
+    m = min(BAND_SHINGLES, len(hashes))
+    keys = []
+    for t, salt in enumerate(_SALTS):
+        # Mixed twice: a hash that is small under one order must not tend to be small under the next.
+        order = (hashes ^ salt) * _ODD
+        order = (order ^ (order >> np.uint64(32))) * _OTHER
+        chosen = np.sort(np.partition(order, m - 1)[:m])
+        keys.append(xxhash.xxh64_intdigest(chosen.tobytes(), t) - (1 << 63))
+    return keys, bins.tobytes()
+
+
+def _similar_links(batches, similarity: float) -> Iterator[tuple[str, str]]:
+    """Spanning links of every band key's texts, from rows sorted by band key; a bucket of any size passes in parts,
+    each with one text of every group found before."""
+
+    def parts():
+        at, keys, bins = None, [], []
+        for batch in batches:
+            for band, key, own in zip(batch["band"], batch["key"], batch["bins"]):
+                if band != at:
+                    yield keys, bins, True
+                    at, keys, bins = band, [], []
+                elif len(keys) >= BUCKET_ROWS:
+                    yield keys, bins, False
+                    keys, bins = held[0][:], held[1][:]
+                keys.append(key)
+                bins.append(own)
+        yield keys, bins, True
+
+    held: tuple[list, list] = ([], [])
+    for keys, bins, last in parts():
+        roots: list[int] = []
+        if len(keys) > 1 or not last:
+            table = np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
+            used, todo = table > 0, np.arange(len(keys))
+            while len(todo):
+                queue, todo = [todo[0]], todo[1:]
+                roots.append(int(queue[0]))
+                while queue and len(todo):
+                    x = queue.pop()
+                    equal = ((table[todo] == table[x]) & used[x]).sum(axis=1)
+                    near = equal >= similarity * np.maximum(1, (used[todo] | used[x]).sum(axis=1))
+                    queue.extend(todo[near])
+                    for y in todo[near]:
+                        yield keys[x], keys[y]
+                    todo = todo[~near]
+        held = ([keys[i] for i in roots[: BUCKET_ROWS // 2]], [bins[i] for i in roots[: BUCKET_ROWS // 2]])
+
+
+def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
+    """``key`` and ``label`` of distinct texts (``key``, ``text``): equal labels for near copies.
+
+    SimHash fingerprints at ``distance`` or fewer bits link texts by the anchors above. At 64 bits that reaches
+    copies with very few edits only, as a similarity of 0.8 leaves about ten bits apart. For the others, smaller
+    fingerprints of samples of the shingles (bands) propose texts, and their bins must agree to ``similarity``.
+    Texts without words are alike. Null texts are not expected here.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for key, text in zip(batch["key"], batch["text"]):
+                value = fingerprint(text, width)
+                bands, bins = sketch(shingle_hashes(text, width))
+                yield key, value - (1 << 64) if value >> 63 else value, bands, bins
+
+    sketched = map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, fp bigint, bands array<bigint>, bins binary", size=512)
+    rows = staged(sketched.dropDuplicates(["key"]), "copies-sketches")
+    points = rows.groupBy("fp").agg(F.min("key").alias("first"))
+    links = staged(linked_points(points, distance), "copies-links")
+    by_bits = links.join(points.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(points.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
+    same_bits = rows.join(points, "fp").filter("key > first").select(F.col("first").alias("x"), F.col("key").alias("y"))
+    bands = rows.select("key", F.explode("bands").alias("band"))
+    shared = staged(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "copies-bands")
+    members = bands.join(shared, "band").join(rows.select("key", "bins"), "key")
+    dealt = members.select("band", "key", "bins").repartition("band").sortWithinPartitions("band", "key")
+    similar = map_rows(dealt, lambda batches: _similar_links(batches, similarity), "x string, y string").distinct()
+    edges = staged(by_bits.unionByName(same_bits).unionByName(similar), "copies-edges")
+    labels = component_labels(edges, "x", "y").withColumnRenamed("node", "key")
+    return rows.select("key").join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
