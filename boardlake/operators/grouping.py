@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardlake.session import cut_lineage
-
 
 def latest_per_key(frame: DataFrame, keys: list[str], order: list[Column | str], first: bool = False) -> DataFrame:
     """The last (or first) row per key by ``order``.
@@ -22,39 +19,22 @@ def latest_per_key(frame: DataFrame, keys: list[str], order: list[Column | str],
     return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in frame.columns])
 
 
-def _window_positions(frame: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return frame.withColumn("position", (F.row_number().over(window) - 1).cast("bigint"))
-
-
-def _spread_positions(frame: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Positions for hot groups: a range sort spreads each group over many tasks.
+def with_positions(frame: DataFrame, keys: list[str], order: list[Column], part: Column) -> DataFrame:
+    """Add ``position``, the 0-based place of each row in its group. ``order`` must be total.
 
-    The sorted rows are fixed in a checkpoint. Every (group, part) then numbers its own rows and
-    adds the sizes of the group's earlier parts, of which there are at most as many as tasks.
+    ``part`` cuts a group into parts in line with ``order`` (all rows of a part before all of the next, parts
+    comparable, null first). Rows are numbered within their part, and the sizes of the earlier parts are added. So a
+    group that owns a large share of the rows is numbered by as many tasks as it has parts; sizes are counted in each
+    task before the shuffle. One method for every size of group, and no job until the rows are asked for.
     """
-    parted = frame.repartitionByRange(*[F.col(k) for k in keys], *order)
-    parted = cut_lineage(parted.withColumn("_part", F.spark_partition_id()))
+    parted = frame.withColumn("_part", part)
     sizes = parted.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    earlier = Window.partitionBy(*keys).orderBy(F.col("_part").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_in"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     local = Window.partitionBy(*keys, "_part").orderBy(*order)
     numbered = parted.withColumn("_local", F.row_number().over(local) - 1)
+    same = F.col("_part").eqNullSafe(F.col("_in"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     position = (F.col("_offset") + F.col("_local")).cast("bigint")
-    return numbered.join(offsets, [*keys, "_part"]).select(*frame.columns, position.alias("position"))
-
-
-def with_positions(
-    frame: DataFrame, keys: list[str], order: list[Column], hot_rows: int = 1_000_000
-) -> DataFrame:
-    """Add ``position``, the 0-based place of each row in its group. ``order`` must be total.
-
-    Groups of up to ``hot_rows`` rows use a window. Larger ones, if a count finds any, are spread.
-    """
-    sizes = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return _window_positions(frame, keys, order)
-    plain = frame.join(hot, keys, "left_anti")
-    large = frame.join(hot, keys, "left_semi")
-    return _window_positions(plain, keys, order).unionByName(_spread_positions(large, keys, order))
+    return numbered.join(offsets, same).select(*frame.columns, position.alias("position"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from boardlake.functions.payload import time_text
 from boardlake.operators.redaction import redact_json
 from boardlake.schemas import ENTITY_FIELDS, entity_schema, payload_ddl
-from boardlake.session import spread
 
 
 def _typed(parsed: Column, key: str, rule: str, default: str | None = None) -> Column:
@@ -19,7 +18,9 @@ def _typed(parsed: Column, key: str, rule: str, default: str | None = None) -> C
 
 
 def _parsed(records: DataFrame, entity: str, raw: str) -> DataFrame:
-    return records.withColumn("_record", F.from_json(F.col(raw), payload_ddl(entity)))
+    """Records with their text redacted and parsed: every typed column comes from the redacted text."""
+    redacted = records.withColumn(raw, redact_json(F.col(raw), entity))
+    return redacted.withColumn("_record", F.from_json(F.col(raw), payload_ddl(entity)))
 
 
 def _has_ids(entity: str) -> Column:
@@ -51,12 +52,12 @@ def project_records(
     fields.append(stamp.cast("string").alias("synced_at"))
     if entity == "issues":
         fields.append(F.lit(None).cast("string").alias("comments_synced_at"))
-    fields.append(redact_json(F.col(raw), entity).alias("raw_json"))
-    projected = _parsed(spread(records), entity, raw).filter(_has_ids(entity)).select(*fields, *(keep or []))
+    fields.append(F.col(raw).alias("raw_json"))
+    projected = _parsed(records, entity, raw).filter(_has_ids(entity)).select(*fields, *(keep or []))
     assert projected.columns[: len(entity_schema(entity))] == entity_schema(entity).names
     return projected
 
 
 def quarantined(records: DataFrame, entity: str, raw: str = "raw") -> DataFrame:
-    """Input records that lack a required id."""
+    """Input records that lack a required id, their text redacted."""
     return _parsed(records, entity, raw).filter(~_has_ids(entity)).drop("_record")

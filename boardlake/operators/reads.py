@@ -124,12 +124,11 @@ def read_thread(comments: DataFrame, agents: DataFrame, issues: DataFrame | None
     )
 
 
-def thread_pages(
-    comments: DataFrame, agents: DataFrame, page_size: int = COMMENT_PAGE, hot_rows: int = 1_000_000
-) -> DataFrame:
+def thread_pages(comments: DataFrame, agents: DataFrame, page_size: int = COMMENT_PAGE) -> DataFrame:
     """Threads as arrays of at most ``page_size`` comments, so that no array grows with a hot issue."""
     order = [F.col("created_at").asc_nulls_first(), F.col("id").asc()]
-    placed = with_positions(named_comments(comments, agents), ["issue_id"], order, hot_rows)
+    # Parts by the minute of the text: a prefix sorts like the text it begins.
+    placed = with_positions(named_comments(comments, agents), ["issue_id"], order, F.substring("created_at", 1, 16))
     paged = placed.withColumn("page", F.floor(F.col("position") / page_size).cast("bigint"))
     item = F.struct("position", *[c for c in THREAD_COLUMNS if c != "issue_id"])
     grouped = paged.groupBy("issue_id", "page").agg(F.sort_array(F.collect_list(item)).alias("comments"))
@@ -141,21 +140,18 @@ def issue_documents(
     comments: DataFrame,
     agents: DataFrame,
     page_size: int = COMMENT_PAGE,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Issues as JSON documents with nested threads.
 
-    Page 0 holds the payload with ``_mirror`` stamps and the first comments; longer threads go on in
-    pages of their own. Our ``comments`` and ``_mirror`` keys replace those of the payload.
+    Every page holds the payload with ``_mirror`` stamps and its part of the comments; longer threads go on in
+    further pages. Our ``comments`` and ``_mirror`` keys replace those of the payload.
     """
     head = with_columns_of(issues, ["synced_at", "comments_synced_at", "raw_json"]).select(
-        F.col("id").alias("issue_id"), F.lit(0).cast("bigint").alias("page"), "raw_json", "synced_at", "comments_synced_at"
-    )
-    pages = thread_pages(comments, agents, page_size, hot_rows)
-    known = pages.join(issues.select(F.col("id").alias("issue_id")), "issue_id", "left_semi")
-    rows = head.join(known.filter("page = 0"), ["issue_id", "page"], "left").unionByName(
-        known.filter("page > 0"), allowMissingColumns=True
+        F.col("id").alias("issue_id"), "raw_json", "synced_at", "comments_synced_at"
     )
+    pages = thread_pages(comments, agents, page_size)
+    # An issue without comments has one page.
+    rows = head.join(pages, "issue_id", "left").withColumn("page", F.coalesce("page", F.lit(0)).cast("bigint"))
     keep_nulls = {"ignoreNullFields": "false"}
     thread = F.to_json(F.coalesce("comments", F.array().cast(pages.schema["comments"].dataType)), keep_nulls)
     mirror = F.to_json(F.struct("synced_at", "comments_synced_at"), keep_nulls)
@@ -164,8 +160,7 @@ def issue_documents(
         F.array(F.lit("_mirror"), F.lit("comments")), F.array(F.parse_json(mirror), F.parse_json(thread))
     )
     merged = F.map_concat(F.map_filter(payload, lambda key, _: ~key.isin("_mirror", "comments")), own)
-    continued = F.map_from_arrays(F.array(F.lit("comments")), F.array(F.parse_json(thread)))
-    document = F.when(F.col("page") == 0, F.to_json(merged, keep_nulls)).otherwise(F.to_json(continued, keep_nulls))
+    document = F.to_json(merged, keep_nulls)
     return rows.select("issue_id", "page", F.coalesce(F.size("comments"), F.lit(0)).cast("bigint").alias("n_comments"), document.alias("document"))
 
 

@@ -35,31 +35,69 @@ def _swept(value, depth: int = 0):
 
 
 def redact_text(raw: str | None, withheld: frozenset[str]) -> str | None:
-    """Redacted form of one JSON text. A text that does not parse is withheld as a whole."""
+    """Redacted form of one JSON text: verbatim if there is nothing to withhold, else written anew.
+
+    What does not parse, or could not be written as JSON again, is withheld as a whole.
+    """
     if raw is None:
         return None
-    # Most payloads hold neither a suspicious key nor deep nesting: those pass without a parse.
-    suspicious = _SECRET.search(raw) or "\\u" in raw or any(key in raw for key in withheld)
-    if not suspicious and raw.count("{") + raw.count("[") <= MAX_SWEEP_DEPTH:
-        return raw
     try:
         document = json.loads(raw)
+        swept = document
         if isinstance(document, dict):
-            document = {key: REDACTED if key in withheld else item for key, item in document.items()}
-        return json.dumps(_swept(document), ensure_ascii=False, separators=(",", ":"))
+            swept = {key: REDACTED if key in withheld else item for key, item in document.items()}
+        swept = _swept(swept)
+        if swept == document and not _doubled(raw):
+            return raw
+        text = json.dumps(swept, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+        return text if _encodes(text) else json.dumps(swept, separators=(",", ":"), allow_nan=False)
     except (ValueError, RecursionError):
         return json.dumps(REDACTED)
 
 
+def _doubled(raw: str) -> bool:
+    """Whether an object repeats a key: parsing keeps the last one only, the text would show the first."""
+    doubled = False
+
+    def pairs(items: list) -> dict:
+        nonlocal doubled
+        found = dict(items)
+        doubled |= len(found) < len(items)
+        return found
+
+    json.loads(raw, object_pairs_hook=pairs)
+    return doubled
+
+
+def _encodes(text: str) -> bool:
+    """Whether a text has no lone surrogate."""
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _may_change(raw: Column, withheld: tuple[str, ...]) -> Column:
+    """Whether a text may hold something to withhold: a key-like word, an escape that could hide one, deep nesting, or no JSON."""
+    named = raw.rlike(f"(?i){SECRET_KEY_PATTERN}") | raw.contains("\\u")
+    for key in withheld:
+        named = named | raw.contains(f'"{key}"')
+    opened = F.length(raw) - F.length(F.translate(raw, "{[", ""))
+    return named | (opened > MAX_SWEEP_DEPTH) | F.try_parse_json(raw).isNull()
+
+
 def redact_json(raw: Column, entity: str) -> Column:
-    """Redact opaque JSON text of any shape, in Arrow batches."""
-    withheld = frozenset(WITHHELD_KEYS[entity])
+    """Redact opaque JSON text of any shape. Texts without anything to withhold stay in the JVM, verbatim."""
+    keys = tuple(WITHHELD_KEYS[entity])
+    withheld = frozenset(keys)
 
     @F.pandas_udf(T.StringType())
     def redacted(batch: pd.Series) -> pd.Series:
         return batch.map(lambda raw: redact_text(raw, withheld))
 
-    return redacted(raw)
+    doubtful = _may_change(raw, keys)
+    return F.coalesce(redacted(F.when(doubtful, raw)), F.when(~doubtful, raw))
 
 
 def redact_typed(value: Column, dtype: T.DataType, withheld: tuple[str, ...] = (), depth: int = 0) -> Column:

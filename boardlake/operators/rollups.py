@@ -138,9 +138,7 @@ def comment_state_status(failed: Column) -> Column:
     return F.when(failed > 0, F.lit("partial")).otherwise(F.lit("ok"))
 
 
-def run_ledger(
-    starts: DataFrame, results: DataFrame, page_size: int = 500, hot_rows: int = 1_000_000
-) -> DataFrame:
+def run_ledger(starts: DataFrame, results: DataFrame, page_size: int = 500) -> DataFrame:
     """Ledger rows per run: status, profile list and summary of its company results.
 
     ``starts`` holds (run_id, started_at, mode), ``results`` (run_id, place, profile, company_id,
@@ -148,7 +146,7 @@ def run_ledger(
     with more than ``page_size`` companies go on in further pages.
     """
     totals = results.groupBy("run_id").agg(run_status(F.col("status")).alias("status"), F.max("finished_at").alias("finished_at"))
-    placed = with_positions(results, ["run_id"], [F.col("place"), F.col("company_id"), F.col("profile")], hot_rows)
+    placed = with_positions(results, ["run_id"], [F.col("place"), F.col("company_id"), F.col("profile")], F.floor(F.col("place") / 1000))
     item = F.struct("position", "profile", F.col("company_id").alias("companyId"), "status",
                     F.col("issues_changed").alias("issuesChanged"), F.col("comments_hydrated").alias("commentsHydrated"))
     lists = (

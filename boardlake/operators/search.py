@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
 from boardlake.operators.index import TextIndex
 from boardlake.operators.reads import equals, keep_if, status_in
-from boardlake.session import is_small, spread
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
 
 # Fixed values of the ranking formula: saturation, length share, floor of the inverse document frequency.
+HIT_PARTS = 64
 K1 = 1.2
 B = 0.75
 IDF_FLOOR = 1e-6
@@ -150,12 +150,9 @@ def rank_documents(index: TextIndex, request: Request) -> DataFrame:
         .join(found, "word")
         .withColumn("idf", F.when(idf > 0, idf).otherwise(F.lit(IDF_FLOOR)))
     )
-    if request.is_small:
-        # At most one row per query word, as small as the words themselves.
-        weighed = F.broadcast(weighed)
     rarest = weighed.groupBy("query_id").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
     rarest = rarest.filter("_held = _needed").select("query_id", "word")
-    candidates = frequency.join(F.broadcast(rarest) if request.is_small else rarest, "word").select("query_id", "doc_id")
+    candidates = frequency.join(rarest, "word").select("query_id", "doc_id")
     saturated = F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("doc_tokens") / average))
     return (
         candidates.join(weighed, "query_id")
@@ -177,7 +174,6 @@ class Request:
     parsed: DataFrame
     has_single: bool = True
     has_phrase: bool = True
-    is_small: bool = False
 
 
 def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Request:
@@ -185,7 +181,7 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     parsed = parse_queries(query_frame(index.postings.sparkSession, queries))
     if isinstance(queries, DataFrame):
         words = keyed_words(parsed)
-        return Request(index.postings, word_terms(words), words, parsed, is_small=is_small(queries))
+        return Request(index.postings, word_terms(words), words, parsed)
     # Texts the caller typed: a few rows, kept as local frames.
     spark = parsed.sparkSession
     parsed = spark.createDataFrame(parsed.collect(), parsed.schema)
@@ -193,9 +189,9 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     rows = word_terms(words).collect()
     terms = spark.createDataFrame(rows, word_terms(words).schema)
     admits = [F.col("token").startswith(r.term) if r.is_prefix else F.col("token") == r.term for r in rows]
-    postings = spread(index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False))), "doc_id", "token")
+    postings = index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False)))
     single, phrase = any(r.n_terms == 1 for r in rows), any(r.n_terms > 1 for r in rows)
-    return Request(postings, terms, words, parsed, single or not phrase, phrase, is_small=True)
+    return Request(postings, terms, words, parsed, single or not phrase, phrase)
 
 
 def rank_matches(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> DataFrame:
@@ -208,9 +204,17 @@ def search_limit(limit: float | None) -> int:
 
 
 def best_per_query(hits: DataFrame, limit: int, ties: list[str]) -> DataFrame:
-    """The ``limit`` best hits of each query. Tasks cut to the limit before the shuffle, so a query with many hits is no hot spot."""
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("rank", *ties))
-    return hits.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
+    """The ``limit`` best hits of each query, cut first in ``HIT_PARTS`` parts of its hits.
+
+    A query with many hits is cut by many tasks, whatever the limit: Spark's own cut before the shuffle ends at 1,000.
+    """
+    part = F.pmod(F.xxhash64(*ties), F.lit(HIT_PARTS))
+
+    def cut(rows: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("rank", *ties))
+        return rows.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
+
+    return cut(cut(hits.withColumn("_part", part), "query_id", "_part").drop("_part"), "query_id")
 
 
 def choose_snippet(seps, raw, folded, words, size: int = SNIPPET_TOKENS) -> str | None:

@@ -75,7 +75,9 @@ def partial_upsert(
 
 def detect_changes(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Flag incoming rows that are new or whose ``updated_at`` text differs from the stored one."""
-    known = stored.select("id", F.col("updated_at").alias("_stored_at"), F.lit(True).alias("_known"))
+    # The semi join cuts the stored rows to those of the batch, so that a small batch never shuffles the store.
+    asked = stored.join(incoming.select("id"), "id", "left_semi")
+    known = asked.select("id", F.col("updated_at").alias("_stored_at"), F.lit(True).alias("_known"))
     differs = F.col("_known").isNull() | ~F.col("_stored_at").eqNullSafe(F.col("updated_at"))
     return incoming.join(known, "id", "left").withColumn("changed", differs).drop("_known", "_stored_at")
 
@@ -94,37 +96,45 @@ def _stale_in(stored: DataFrame, runs: DataFrame, how: str) -> DataFrame:
     return stored.join(starts, older, how)
 
 
-def prune_stale(stored: DataFrame, runs: DataFrame) -> DataFrame:
-    """Drop rows a run did not touch; ``runs`` holds company_id and started_at of complete listings."""
-    return _stale_in(stored, runs, "left_anti")
+def prune_stale(stored: DataFrame, runs: DataFrame, protected: DataFrame | None = None) -> DataFrame:
+    """Drop rows a run did not touch; ``runs`` holds company_id and started_at of complete listings.
+
+    Rows whose id is in ``protected`` stay: they were listed, though not in a form that can be stored.
+    """
+    if protected is None:
+        return _stale_in(stored, runs, "left_anti")
+    return stored.join(stale_rows(stored, runs, protected).select("id"), "id", "left_anti").select(*stored.columns)
 
 
-def stale_rows(stored: DataFrame, runs: DataFrame) -> DataFrame:
+def stale_rows(stored: DataFrame, runs: DataFrame, protected: DataFrame | None = None) -> DataFrame:
     """The rows ``prune_stale`` drops."""
-    return _stale_in(stored, runs, "left_semi")
+    stale = _stale_in(stored, runs, "left_semi")
+    return stale if protected is None else stale.join(protected.select("id"), "id", "left_anti")
 
 
 def drop_orphans(comments: DataFrame, issues: DataFrame, companies: DataFrame) -> DataFrame:
     """Drop comments of the given companies whose issue is gone from that company."""
-    scope = companies.select("company_id").distinct().withColumn("_scoped", F.lit(True))
-    alive = issues.select(F.col("id").alias("issue_id"), "company_id", F.lit(True).alias("_alive"))
-    orphan = F.col("_scoped").isNotNull() & F.col("_alive").isNull()
-    return (
-        comments.join(alive, ["issue_id", "company_id"], "left")
-        .join(scope, "company_id", "left")
-        .filter(~orphan)
-        .select(*comments.columns)
-    )
+    scope = companies.select("company_id").distinct()
+    alive = issues.join(scope, "company_id", "left_semi").select(F.col("id").alias("issue_id"), "company_id")
+    checked = comments.join(scope, "company_id", "left_semi").join(alive, ["issue_id", "company_id"], "left_semi")
+    # The rows outside the scope never meet the issues.
+    return comments.join(scope, "company_id", "left_anti").select(*comments.columns).unionByName(checked.select(*comments.columns))
 
 
 def replace_threads(
-    comments: DataFrame, hydrated: DataFrame, fetched: DataFrame, order: list[Column | str] | None = None
+    comments: DataFrame, hydrated: DataFrame, fetched: DataFrame, order: list[Column | str] | None = None, protected: DataFrame | None = None
 ) -> DataFrame:
-    """Replace the threads of the ``hydrated`` issue ids by the fetched comments; other threads stay."""
+    """Replace the threads of the ``hydrated`` issue ids by the fetched comments; other threads stay.
+
+    Stored comments whose id is in ``protected`` stay too: they were sent, though not in a form that can be stored.
+    """
     sent = fetched.select("id")
     if order:
         fetched = latest_per_key(fetched, ["id"], order)
-    kept = comments.join(hydrated.select("issue_id"), "issue_id", "left_anti")
+    kept = comments.join(hydrated.select("issue_id"), "issue_id", "left_anti").select(*comments.columns)
+    if protected is not None:
+        held = comments.join(hydrated.select("issue_id"), "issue_id", "left_semi").join(protected.select("id"), "id", "left_semi")
+        kept = kept.unionByName(held.select(*comments.columns))
     return kept.join(sent, "id", "left_anti").select(*comments.columns).unionByName(
         fetched.select(*[c for c in comments.columns if c in fetched.columns]), allowMissingColumns=True
     )

@@ -16,18 +16,56 @@ class ReadOnlyError(ValueError):
     """The statement is not a plain read."""
 
 
-def _changes_data(plan) -> bool:
-    """Whether any node of Spark's parsed plan is a command or writes, wherever it hides."""
-    name = plan.nodeName()
+# Functions that call into the Java runtime.
+_CALLS = {"reflect", "java_method", "try_reflect"}
+_WITH_PLAN = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "TableSubquery", "FunctionTableSubqueryArgumentExpression"}
+
+
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _nodes(plan):
+    """All plan nodes and expressions of a parsed statement as (kind, node), subqueries and common tables included."""
+    name = plan.getClass().getSimpleName()
+    yield name, plan
     if name == "ExplainCommand":
-        return _changes_data(plan.logicalPlan())
-    if "Command" in name or "Insert" in name or name.startswith(("Create", "Drop", "Alter", "Delete", "Update", "Merge")):
-        return True
-    children = plan.children()
-    inner = plan.innerChildren()
-    nodes = [children.apply(i) for i in range(children.size())]
-    nodes += [n for n in (inner.apply(i) for i in range(inner.size())) if hasattr(n, "children")]
-    return any(_changes_data(n) for n in nodes)
+        yield from _nodes(plan.logicalPlan())
+        return
+    inner = [] if name.endswith("Command") else _items(plan.innerChildren())
+    for child in _items(plan.children()) + inner:
+        yield from _nodes(child)
+    for expression in _items(plan.expressions()):
+        yield from _expressions(expression)
+
+
+def _expressions(expression):
+    name = expression.getClass().getSimpleName()
+    yield name, expression
+    if name in _WITH_PLAN:
+        yield from _nodes(expression.plan())
+    for child in _items(expression.children()):
+        yield from _expressions(child)
+
+
+def _refusal(spark: SparkSession, plan) -> str | None:
+    """Why a parsed statement is no plain read of the registered tables; None if it is one."""
+    nodes = list(_nodes(plan))
+    local = {node.alias().lower() for name, node in nodes if name == "SubqueryAlias"}
+    for i, (name, node) in enumerate(nodes):
+        if name == "ExplainCommand" and i == 0:
+            continue
+        if "Command" in name or "Insert" in name or name.startswith(("Analyze", "Create", "Drop", "Alter", "Delete", "Update", "Merge", "Replace", "Repair", "Refresh", "Truncate", "Cache", "Load", "Set")):
+            return "the statement would change data or settings"
+        if "ScriptTransformation" in name:
+            return "the statement would run a program"
+        if name == "UnresolvedFunction" and _items(node.nameParts())[-1].lower() in _CALLS:
+            return "the statement would call into the Java runtime"
+        if name == "UnresolvedRelation":
+            parts = _items(node.multipartIdentifier())
+            if len(parts) != 1 or (parts[0].lower() not in local and not spark.catalog.tableExists(parts[0])):
+                return f"{'.'.join(parts)} is no registered table"
+    return None
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
@@ -40,6 +78,7 @@ def run_sql(spark: SparkSession, text: str) -> DataFrame:
     if not _READS.match(text):
         raise ReadOnlyError("read-only: the statement must start with SELECT, WITH or EXPLAIN")
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    if _changes_data(plan):
-        raise ReadOnlyError("read-only: the statement would change data")
+    refusal = _refusal(spark, plan)
+    if refusal:
+        raise ReadOnlyError(f"read-only: {refusal}")
     return spark.sql(text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardlake.functions.timing import instant
@@ -397,26 +397,35 @@ def upstream_pages(spark, sf) -> DataFrame:
     )
     nothing = F.lit(None).cast("string")
 
-    def page(entity: str, rows: DataFrame, payload, issue_id=None, page_no=None) -> DataFrame:
+    def page(entity: str, rows: DataFrame, payload, issue_id=nothing, page_no=F.lit(0), last=F.lit(True)) -> DataFrame:
         return rows.select(
-            F.concat(F.lit("p-"), "company_id").alias("profile"), "company_id", F.lit(entity).alias("entity"),
-            (nothing if issue_id is None else issue_id).alias("issue_id"),
-            (F.lit(0) if page_no is None else page_no).cast("bigint").alias("page_no"), payload.alias("payload"), nothing.alias("error"),
+            F.concat(F.lit("p-"), "company_id").alias("profile"), "company_id", F.lit(entity).alias("entity"), issue_id.alias("issue_id"),
+            page_no.cast("bigint").alias("page_no"), payload.alias("payload"), nothing.alias("error"), last.alias("last"),
         )
 
-    # One record per page: pages of the directory tables need no gathering here.
-    def single(entity: str, rows: DataFrame, shape: str = '[%s]') -> DataFrame:
-        return page(entity, payloads(entity, rows), F.format_string(shape, F.col("raw")))
+    def ended(entity: str, rows: DataFrame, owners: DataFrame, shape: str, *keys: str) -> DataFrame:
+        """One record per page in the order of ids, and an empty page that ends each owner's listing."""
+        records = payloads(entity, rows).withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("id")) - 1)
+        count = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("number"))
+        ends = owners.join(count, list(keys), "left").withColumn("number", F.coalesce("number", F.lit(0)))
+        issue = F.col("issue_id") if "issue_id" in keys else nothing
+        listed = page(entity, records, F.format_string(shape, F.col("raw")), issue, F.col("number"), F.lit(False))
+        return listed.unionByName(page(entity, ends, F.lit(shape.replace("%s", "")), issue, F.col("number")))
+
+    everyone = companies.select(F.col("id").alias("company_id"))
+
+    def single(entity: str, rows: DataFrame, shape: str = "[%s]") -> DataFrame:
+        return ended(entity, rows, everyone, shape, "company_id")
 
     records = payloads("companies", companies).withColumn("company_id", F.col("id"))
+    threads = comments.filter("author_type = 'user'")
     pages = [
         page("companies", records, F.col("raw")),
         single("agents", agents.filter("status = 'active'")),
         single("projects", projects, '{"list":[%s]}'),
         single("approvals", approvals.filter("status <> 'rejected'"), '{"data":[%s]}'),
         issue_pages(current),
-        page("comments", payloads("comments", comments.filter("author_type = 'user'")), F.format_string('{"items":[%s]}', F.col("raw")), F.col("issue_id"),
-             F.substring_index("id", "-", -1)),
+        ended("comments", threads, threads.select("company_id", "issue_id").distinct(), '{"items":[%s]}', "company_id", "issue_id"),
     ]
     landed = U.union_all(pages)
     outage = ((F.col("entity") == "companies") & (F.col("company_id") == "co-4")) | ((F.col("entity") == "issues") & (F.col("company_id") == "co-3"))
@@ -510,12 +519,48 @@ def run_results(spark, sf):
     f"""WITH {_RUN_SQL}
 SELECT id AS company_id, 'companies' AS entity, CASE WHEN id = 'co-4' THEN 0 ELSE 1 END AS count, CASE WHEN id <> 'co-4' THEN 0 END AS pruned,
   CASE WHEN id = 'co-4' THEN 'error' ELSE 'ok' END AS status, CASE WHEN id = 'co-4' THEN 'API error 503' END AS error FROM companies
-UNION ALL SELECT company_id, 'agents', count(*) FILTER (WHERE status = 'active'), count(*) FILTER (WHERE status <> 'active'), 'ok', NULL FROM agents WHERE company_id <> 'co-4' GROUP BY company_id HAVING count(*) FILTER (WHERE status = 'active') > 0
-UNION ALL SELECT company_id, 'approvals', count(*) FILTER (WHERE status <> 'rejected'), count(*) FILTER (WHERE status = 'rejected'), 'ok', NULL FROM approvals WHERE company_id <> 'co-4' GROUP BY company_id
-UNION ALL SELECT company_id, 'projects', 0, NULL, 'error', 'unknown response shape' FROM projects WHERE company_id <> 'co-4' GROUP BY company_id
+UNION ALL SELECT c.id, 'agents', count(a.id) FILTER (WHERE a.status = 'active'), count(a.id) FILTER (WHERE a.status <> 'active'), 'ok', NULL FROM companies c LEFT JOIN agents a ON a.company_id = c.id WHERE c.id <> 'co-4' GROUP BY c.id
+UNION ALL SELECT c.id, 'approvals', count(a.id) FILTER (WHERE a.status <> 'rejected'), count(a.id) FILTER (WHERE a.status = 'rejected'), 'ok', NULL FROM companies c LEFT JOIN approvals a ON a.company_id = c.id WHERE c.id <> 'co-4' GROUP BY c.id
+UNION ALL SELECT id, 'projects', 0, NULL, 'error', 'unknown response shape' FROM companies WHERE id <> 'co-4'
 UNION ALL SELECT company_id, 'issues', 0, NULL, 'error', 'API error 503' FROM issues WHERE company_id = 'co-3' GROUP BY company_id
 UNION ALL SELECT l.company_id, 'issues', count(*), (SELECT count(*) FROM issues i WHERE i.company_id = l.company_id AND i.id NOT IN (SELECT id FROM listed)), 'ok', NULL FROM listed l GROUP BY l.company_id
 UNION ALL SELECT company_id, 'comments', count(DISTINCT issue_id), NULL, 'ok', NULL FROM threads GROUP BY company_id""",
 )
 def run_steps(spark, sf):
     return _run(spark, sf).entities.select("company_id", "entity", "count", "pruned", "status", "error")
+
+
+@register(
+    "sync_ledger",
+    f"""WITH {_RUN_SQL}, shown AS (
+  SELECT c.id, CASE WHEN c.id = 'co-4' THEN 'error' ELSE 'partial' END AS status,
+    (SELECT count(*) FROM listed l JOIN issues i ON i.id = l.id WHERE l.company_id = c.id AND l.updated_at IS DISTINCT FROM i.updated_at) AS changed,
+    (SELECT count(DISTINCT issue_id) FROM threads t WHERE t.company_id = c.id) AS hydrated FROM companies c)
+SELECT 1 AS id, '{NOW}' AS started_at, '{NOW}' AS finished_at, 'full' AS mode, 'partial' AS status, string_agg('p-' || id, ',' ORDER BY id) AS profiles,
+  '[' || string_agg('{{"profile":"p-' || id || '","companyId":"' || id || '","status":"' || status || '","issuesChanged":' || changed || ',"commentsHydrated":' || hydrated || '}}', ',' ORDER BY id) || ']' AS summary_json,
+  '{NOW}' AS last_sync_at FROM shown""",
+)
+def run_ledger_row(spark, sf):
+    new = _run(spark, sf).tables
+    stamp = new["meta"].filter("key = 'last_sync_at'").select(F.col("value").alias("last_sync_at"))
+    return new["sync_runs"].withColumn("last_sync_at", stamp.scalar())
+
+
+@register(
+    "sync_run_state",
+    f"""WITH {_RUN_SQL}, fresh AS (
+  SELECT company_id, 'agents' AS entity, '{NOW}' AS last_sync_at, 'ok' AS last_status, NULL AS last_error FROM (SELECT id AS company_id FROM companies WHERE id <> 'co-4')
+  UNION ALL SELECT id, 'approvals', '{NOW}', 'ok', NULL FROM companies WHERE id <> 'co-4'
+  UNION ALL SELECT id, 'projects', NULL, 'error', 'unknown response shape' FROM companies WHERE id <> 'co-4'
+  UNION ALL SELECT id, 'companies', CASE WHEN id <> 'co-4' THEN '{NOW}' END, CASE WHEN id = 'co-4' THEN 'error' ELSE 'ok' END, CASE WHEN id = 'co-4' THEN 'API error 503' END FROM companies
+  UNION ALL SELECT id, 'issues', CASE WHEN id <> 'co-3' THEN '{NOW}' END, CASE WHEN id = 'co-3' THEN 'error' ELSE 'ok' END, CASE WHEN id = 'co-3' THEN 'API error 503' END FROM companies WHERE id <> 'co-4'
+  UNION ALL SELECT DISTINCT company_id, 'comments', '{NOW}', 'ok', NULL FROM threads)
+SELECT company_id, entity, last_status, last_error, last_sync_at = '{NOW}' AS synced_now FROM fresh""",
+)
+def run_state(spark, sf):
+    """State rows the run has touched: those of this run's profiles whose step it recorded."""
+    done = _run(spark, sf)
+    touched = done.entities.select("profile", "company_id", "entity")
+    rows = done.tables["sync_state"].join(touched, ["profile", "company_id", "entity"], "left_semi")
+    now = F.when(F.col("last_status") != "error", F.col("last_sync_at") == NOW)
+    return rows.select("company_id", "entity", "last_status", "last_error", now.alias("synced_now"))

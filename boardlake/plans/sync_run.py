@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from boardlake.functions.timing import instant
 from boardlake.operators.grouping import latest_per_key
-from boardlake.operators.projection import project_records
-from boardlake.operators.rollups import comment_state_status, comment_step_status
+from boardlake.operators.projection import project_records, quarantined
+from boardlake.operators.rollups import comment_state_status, comment_step_status, run_ledger
 from boardlake.operators.upsert import (
     advance_cursor,
     dedupe_targets,
@@ -20,6 +20,7 @@ from boardlake.operators.upsert import (
     partial_upsert,
     plan_sync,
     prune_stale,
+    put_values,
     replace_threads,
     stale_rows,
     stamp_threads,
@@ -27,52 +28,53 @@ from boardlake.operators.upsert import (
     upsert,
     upsert_issues,
 )
-from boardlake.schemas import DIRECTORY_ENTITIES
+from boardlake.schemas import DIRECTORY_ENTITIES, META, SYNC_RUNS
 from boardlake.session import staged
-from boardlake.sources.landing import company_records, page_records, with_shape
+from boardlake.sources.landing import company_records, page_errors, page_records, with_shape
 
 TARGET = ["profile", "company_id"]
 LISTINGS = [*DIRECTORY_ENTITIES, "issues"]
-ARRIVAL = ["page_no", "item"]
+ARRIVAL = ["position", "page_no", "item"]
 
 
 @dataclass(frozen=True)
 class SyncResult:
-    """New tables, entity steps and company results of a run, as frames over the staged batches."""
+    """New tables, entity steps, company results and quarantined records of a run, as frames over the staged batches."""
 
     tables: dict[str, DataFrame]
     entities: DataFrame
     results: DataFrame
+    quarantine: DataFrame
 
 
 def _control(pages: DataFrame, plan: DataFrame) -> DataFrame:
-    """One row per target: its plan, and for each listing whether it was answered and with what error.
+    """One row per target: its plan, and for each listing the error that makes it unusable, if any.
 
-    A company record is there if any of its answers is good; a listing needs all of its pages. All
-    of it takes one pass over the pages.
+    A company record is there if any of its answers is good; a listing needs all of its pages, from the first to the
+    marked end. What was not landed at all is an error as well, so no target and no listing can vanish. All of it takes
+    one pass over the pages.
     """
     direct = F.col("entity").isin("companies", "comments")
     shaped = with_shape(pages.filter(~direct)).unionByName(pages.filter(F.col("entity") == "companies"))
+    states = page_errors(shaped, [*TARGET, "entity"])
+    record = F.col("entity") == "companies"
+    error = F.when(record, F.when(~F.col("answered"), F.col("page_error"))).otherwise(F.col("error"))
     facts = []
     for entity in ["companies", *LISTINGS]:
         mine = F.col("entity") == entity
-        error = F.max(F.when(mine, F.col("error")))
-        if entity == "companies":
-            error = F.when(~F.bool_or(mine & F.col("error").isNull()), error)
-        facts += [F.bool_or(mine).alias(f"{entity}_seen"), error.alias(f"{entity}_error")]
-    answered = shaped.groupBy(*TARGET).agg(*facts)
-    return plan.join(answered, TARGET)
+        facts += [F.bool_or(mine).alias(f"{entity}_seen"), F.max(F.when(mine, error)).alias(f"{entity}_error")]
+    joined = plan.join(states.groupBy(*TARGET).agg(*facts), TARGET, "left")
+    missing = {e: F.when(F.coalesce(f"{e}_seen", F.lit(False)), F.col(f"{e}_error")).otherwise(F.lit("no response")) for e in ["companies", *LISTINGS]}
+    return joined.select(*plan.columns, *[error.alias(f"{entity}_error") for entity, error in missing.items()])
 
 
 def _good(entity: str) -> Column:
     """Whether a target's listing is complete; without its company record nothing of it counts."""
-    alive = F.col("companies_seen") & F.col("companies_error").isNull()
-    return alive & F.col(f"{entity}_seen") & F.col(f"{entity}_error").isNull()
+    return F.col("companies_error").isNull() & F.col(f"{entity}_error").isNull()
 
 
 def _attempted(entity: str) -> Column:
-    alive = F.col("companies_seen") & F.col("companies_error").isNull()
-    return F.col("companies_seen") if entity == "companies" else alive & F.col(f"{entity}_seen")
+    return F.lit(True) if entity == "companies" else F.col("companies_error").isNull()
 
 
 def _step(control: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame | None = None) -> DataFrame:
@@ -94,7 +96,7 @@ def _step(control: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame
 def _listed(landed: DataFrame, entity: str, *more: str) -> DataFrame:
     """Records of a complete listing, with the target they came for."""
     pages = landed.filter((F.col("entity") == entity) & _good(entity))
-    return page_records(pages.select("profile", F.col("company_id").alias("target_company"), *more, "page_no", "payload"))
+    return page_records(pages.select("profile", F.col("company_id").alias("target_company"), *more, "position", "page_no", "payload"))
 
 
 def _count_by_target(batch: DataFrame, *more: Column) -> DataFrame:
@@ -111,8 +113,15 @@ def _runs(control: DataFrame, condition: Column, started_at: Column) -> DataFram
     return control.filter(condition).select("company_id").distinct().withColumn("started_at", started_at)
 
 
-def _stale_counts(merged: DataFrame, runs: DataFrame) -> DataFrame:
-    return stale_rows(merged, runs).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
+def _set_aside(records: DataFrame, entity: str) -> DataFrame:
+    """Records that lack a required id, redacted: (profile, company_id, entity, id, raw)."""
+    return quarantined(records, entity).select(
+        "profile", F.col("target_company").alias("company_id"), F.lit(entity).alias("entity"), F.get_json_object("raw", "$.id").alias("id"), "raw"
+    )
+
+
+def _stale_counts(merged: DataFrame, runs: DataFrame, protected: DataFrame) -> DataFrame:
+    return stale_rows(merged, runs, protected).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
 
 
 def sync_run(
@@ -123,13 +132,15 @@ def sync_run(
     full: bool = False,
     since: str | None = None,
     comments: str = "changed",
+    finished_at: str | None = None,
 ) -> SyncResult:
     """Apply landed pages to the mirror.
 
-    Steps per company: its record, directory tables, issues, threads. A failed listing keeps the
-    stored rows and records its error. Without the company record the company's other pages are
+    Steps per company: its record, directory tables, issues, threads. A listing that failed, was not landed or has
+    pages missing keeps the stored rows and records its error. Without the company record the company's other pages are
     ignored; without its issues, its threads are. ``started_at`` is the run stamp of ``max_stamp``.
     A response of unknown shape counts as failed: taking it for an empty listing would prune everything.
+    Records without a required id are returned in ``quarantine``, and the stored rows of their ids stay.
 
     Pages are staged by entity, so that each step reads its own pages instead of all JSON text. The
     control rows and the projected batches are staged too: payloads are parsed and redacted once
@@ -143,32 +154,39 @@ def sync_run(
     arrived = ["profile", "target_company", *ARRIVAL]
     new = dict(tables)
     steps = []
-
-    # Company records.
     records = company_records(landed.filter(F.col("entity") == "companies"))
-    records = records.join(control.select(*TARGET, "api_base"), TARGET).withColumnRenamed("company_id", "target_company")
-    batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company"]), "companies")
-    new["companies"] = upsert(tables["companies"], batch.drop("profile", "target_company"), ["id"], ["raw_json"])
+    records = records.join(control.select(*TARGET, "api_base", "position"), TARGET).withColumnRenamed("company_id", "target_company")
+    lists = {entity: _listed(landed, entity) for entity in DIRECTORY_ENTITIES}
+    issue_list = _listed(landed, "issues", "since")
+    apart = [_set_aside(records, "companies"), *[_set_aside(rows, entity) for entity, rows in lists.items()], _set_aside(issue_list, "issues")]
+    apart = staged(union_all(apart), "quarantine")
+
+    def protected(entity: str) -> DataFrame:
+        return apart.filter((F.col("entity") == entity) & F.col("id").isNotNull()).select("id")
+
+    # Company records: of several targets with one company the last in order counts.
+    batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company", "position"]), "companies")
+    new["companies"] = upsert(tables["companies"], batch.drop("profile", "target_company"), ["id"], ["position"])
     steps.append(_step(control, "companies", _count_by_target(batch)))
 
     # Directory tables: complete listings, stale rows pruned.
     for entity in DIRECTORY_ENTITIES:
-        batch = staged(project_records(_listed(landed, entity), entity, stamp, keep=arrived), entity)
+        batch = staged(project_records(lists[entity], entity, stamp, keep=arrived), entity)
         merged = upsert(tables[entity], _unique(batch), ["id"])
         runs = _runs(control, _good(entity), stamp)
-        new[entity] = prune_stale(merged, runs)
-        steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(merged, runs)))
+        new[entity] = prune_stale(merged, runs, protected(entity))
+        steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(merged, runs, protected(entity))))
 
     # Issues: the changed ones are told from the stored rows before these are replaced.
-    batch = project_records(_listed(landed, "issues", "since"), "issues", stamp, keep=["since", *arrived])
+    batch = project_records(issue_list, "issues", stamp, keep=["since", *arrived])
     moment, bound = instant(F.col("updated_at")), instant(F.col("since"))
     batch = batch.filter(bound.isNull() | moment.isNull() | (moment >= bound))
     batch = staged(detect_changes(tables["issues"], batch), "issues")
     listed = staged(_count_by_target(batch, F.count_if("changed").alias("issues_changed")), "listed")
     merged = upsert_issues(tables["issues"], _unique(batch, "since", "changed"))
     runs = _runs(control, _good("issues") & (F.col("mode") == "full"), stamp)
-    pruned = staged(_stale_counts(merged, runs), "pruned")
-    issues = prune_stale(merged, runs)
+    pruned = staged(_stale_counts(merged, runs, protected("issues")), "pruned")
+    issues = prune_stale(merged, runs, protected("issues"))
     steps.append(_step(control, "issues", listed.drop("issues_changed"), pruned))
     kept_comments = drop_orphans(tables["comments"], issues, pruned.select("company_id"))
     seen = batch.select("profile", F.col("target_company").alias("company_id"), "updated_at")
@@ -179,14 +197,16 @@ def sync_run(
     changed = batch.filter("changed").select("id", "company_id")
     wanted = hydration_candidates(issues.join(companies, "company_id"), changed, comments, F.col("_full"))
     threads = landed.filter((F.col("entity") == "comments") & _good("issues"))
-    threads = threads.select(*TARGET, "issue_id", "page_no", "payload", "error")
+    threads = threads.select(*TARGET, "issue_id", "position", "page_no", "payload", "error", "last")
     asked = with_shape(threads).join(wanted.select("issue_id"), "issue_id", "left_semi")
-    read = staged(asked.groupBy(*TARGET, "issue_id").agg(F.max("error").alias("error")), "threads")
+    read = staged(page_errors(asked, [*TARGET, "issue_id"]).select(*TARGET, "issue_id", "error"), "threads")
     hydrated = read.filter(F.col("error").isNull()).select("issue_id").distinct().withColumn("at", stamp)
     good_pages = threads.withColumnRenamed("company_id", "target_company").join(hydrated, "issue_id", "left_semi")
-    fetched = page_records(good_pages.select("profile", "target_company", "page_no", "payload"))
-    fetched = staged(project_records(fetched, "comments", stamp, keep=arrived), "comments")
-    new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched))
+    sent = page_records(good_pages.select("profile", "target_company", "position", "page_no", "payload"))
+    fetched = staged(project_records(sent, "comments", stamp, keep=arrived), "comments")
+    left_out = staged(_set_aside(sent, "comments"), "quarantine")
+    apart = apart.unionByName(left_out)
+    new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched), protected=left_out.filter(F.col("id").isNotNull()))
     new["issues"] = stamp_threads(issues, hydrated)
     tally = read.groupBy(*TARGET).agg(
         F.count_if(F.col("error").isNull()).alias("hydrated"), F.count_if(F.col("error").isNotNull()).alias("failed")
@@ -209,15 +229,26 @@ def sync_run(
         .otherwise(F.lit("ok"))
     )
     results = (
-        control.select(*TARGET, "api_base", "mode")
+        control.select(*TARGET, "api_base", "mode", "position")
         .join(entities.groupBy(*TARGET).agg(status.alias("status")), TARGET)
         .join(listed.select(*TARGET, "issues_changed"), TARGET, "left")
         .join(tally.select(*TARGET, F.col("hydrated").alias("comments_hydrated")), TARGET, "left")
-        .fillna(0, ["issues_changed", "comments_hydrated"])
+        .join(apart.groupBy(*TARGET).agg(F.count(F.lit(1)).alias("quarantined")), TARGET, "left")
+        .fillna(0, ["issues_changed", "comments_hydrated", "quarantined"])
         .withColumn("started_at", stamp)
     )
     new["sync_state"] = partial_upsert(tables["sync_state"], _state_patches(entities, tally, cursors, control, started_at))
-    return SyncResult(new, entities, results)
+    new["sync_runs"] = tables["sync_runs"].unionByName(_ledger(tables["sync_runs"], results, started_at, finished_at or started_at, full))
+    new["meta"] = put_values(tables["meta"], pages.sparkSession.createDataFrame([("last_sync_at", finished_at or started_at)], META))
+    return SyncResult(new, entities, results, apart)
+
+
+def _ledger(runs: DataFrame, results: DataFrame, started_at: str, finished_at: str, full: bool) -> DataFrame:
+    """The run's ledger row, numbered after the last; one with very many companies goes on in further rows of its number."""
+    number = runs.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("run_id"))
+    start = number.select("run_id", F.lit(started_at).alias("started_at"), F.lit("full" if full else "incremental").alias("mode"))
+    done = results.withColumnRenamed("position", "place").withColumn("finished_at", F.lit(finished_at)).withColumn("run_id", number.scalar())
+    return run_ledger(start, done).select(F.col("run_id").alias("id"), *[c for c in SYNC_RUNS.names if c != "id"])
 
 
 def _state_patches(

@@ -151,11 +151,14 @@ SYNC_RUNS = T.StructType(
     [T.StructField("id", T.LongType())]
     + _texts("started_at", "finished_at", "mode", "profiles", "status", "summary_json")
 )
-# One landed page: the raw response text, or the error that came instead.
+# One landed page: the raw response text, or the error that came instead. Pages of a listing or thread are numbered
+# from 0 without gaps; ``last`` marks the one it ends with, which is known when the page is fetched (a page shorter
+# than asked for, or one with rows older than the bound of an incremental pull).
 LANDED_PAGE = T.StructType(
     _texts("profile", "company_id", "entity", "issue_id")
     + [T.StructField("page_no", T.LongType())]
     + _texts("payload", "error")
+    + [T.StructField("last", T.BooleanType())]
 )
 SYNC_TARGET = T.StructType(
     [T.StructField("position", T.LongType())] + _texts("profile", "api_base", "company_id")

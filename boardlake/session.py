@@ -49,28 +49,24 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for local sessions without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = os.path.join(tempfile.gettempdir(), "boardlake-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse: both are shared by driver and executors."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its staged data."""
+    return f"{shared_folder(spark)}/boardlake-{spark.sparkContext.applicationId}"
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Fix the rows of a frame in reliable storage, so that lost executors cannot change them."""
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return frame.checkpoint()
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all staged data of this application. Frames that still read it must not be used after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(frame: DataFrame, label: str, *partition_by: str) -> DataFrame:
@@ -78,29 +74,3 @@ def staged(frame: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, label)
     frame.write.partitionBy(*partition_by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasting is off."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def planned_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate for a frame. No job runs."""
-    return int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(frame: DataFrame, *keys: str) -> DataFrame:
-    """Share CPU-heavy work on a small input among all cores.
-
-    Inputs too small to fill every core with a full scan partition may arrive in one task. Larger
-    ones are left as they are scanned: no shuffle is added at scale.
-    """
-    spark = frame.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    full = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return frame.repartition(cores, *keys) if planned_bytes(frame) < cores * full else frame
-
-
-def is_small(frame: DataFrame) -> bool:
-    return planned_bytes(frame) <= broadcast_limit(frame.sparkSession)

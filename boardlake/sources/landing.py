@@ -35,15 +35,31 @@ def with_shape(pages: DataFrame) -> DataFrame:
     return pages.withColumn("error", F.when(unknown, F.lit("unknown response shape")).otherwise(F.col("error")))
 
 
+def page_errors(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Per ``keys`` the error of its pages: that of a page, or ``incomplete`` if a page number or the end is missing.
+
+    Also ``answered``: whether a page came without an error. Repeated pages, as of a retry, do no harm.
+    """
+    number = F.col("page_no")
+    found = pages.groupBy(*keys).agg(
+        F.max("error").alias("_error"), F.bool_or(F.col("error").isNull()).alias("answered"),
+        F.min(number).alias("_first"), F.count_distinct(number).alias("_n"),
+        F.max(F.struct(number, F.coalesce("last", F.lit(False)).alias("last"))).alias("_end"),
+    )
+    whole = (F.col("_first") == 0) & (F.col("_n") == F.col("_end.page_no") + 1) & F.col("_end.last")
+    error = F.coalesce("_error", F.when(~F.coalesce(whole, F.lit(False)), F.lit("incomplete: a page or the end is missing")))
+    return found.select(*keys, "answered", F.col("_error").alias("page_error"), error.alias("error"))
+
+
 def company_records(pages: DataFrame) -> DataFrame:
-    """One company record per target: the direct answer, else the row of that id in a listing.
+    """One company record per target: the direct answer, else the row of that id in a listing; of several the last to arrive.
 
     A direct answer is an object with an id; a listing is anything with a list in it.
     """
     answered = pages.filter(F.col("error").isNull())
     direct = answered.filter(F.get_json_object("payload", "$.id").isNotNull()).select(
-        "profile", "company_id", F.col("payload").alias("raw")
+        "profile", "company_id", F.struct("page_no", F.lit(0).alias("item")).alias("place"), F.col("payload").alias("raw")
     )
     listed = page_records(answered).filter(F.get_json_object("raw", "$.id") == F.col("company_id"))
-    fallback = listed.select("profile", "company_id", "raw").join(direct, ["profile", "company_id"], "left_anti")
-    return direct.unionByName(fallback).groupBy("profile", "company_id").agg(F.min("raw").alias("raw"))
+    fallback = listed.select("profile", "company_id", F.struct("page_no", "item").alias("place"), "raw").join(direct, ["profile", "company_id"], "left_anti")
+    return direct.unionByName(fallback).groupBy("profile", "company_id").agg(F.max_by("raw", F.struct("place", "raw")).alias("raw"))

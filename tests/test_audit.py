@@ -90,29 +90,49 @@ def test_parity(spark):
     assert {(r.id, r.field, r.mirror, r.live) for r in rows if r.id in "cd"} == {("c", "id", "c", None), ("d", "id", None, "d")}
 
 
-@pytest.mark.parametrize(
-    "text",
-    [
-        "delete from board", "update board set status='done'", "insert into board values('a','b')", "drop table board",
-        "pragma journal_mode=delete", "attach database '/tmp/x' as x", "with x as (select 1) insert into board select * from x",
-        "set spark.sql.shuffle.partitions=1", "create table t as select 1", "explain insert into board select * from board",
-        "from board insert into board select *", "cache table board", "",
-    ],
-)
-def test_sql_rejects_writes(spark, text):
-    spark.range(2).createOrReplaceTempView("board")
+@pytest.fixture
+def cards(spark):
+    rows = [(7, "open", 3.5), (8, "closed", None), (9, "open", 0.5)]
+    frame = spark.createDataFrame(rows, "card bigint, lane string, hours double")
+    frame.createOrReplaceTempView("cards")
+    return frame
+
+
+PROGRAMS = [
+    "select transform(card) using 'cat' as (x string) from cards",
+    "select * from (select transform(card) using 'cat' as (x string) from cards) t",
+    "select lane from cards where exists (select transform(card) using 'cat' as (x string) from cards)",
+    "with t as (from cards map card using 'cat' as x) select * from t",
+]
+CALLS = [
+    "select reflect('java.lang.System', 'currentTimeMillis')",
+    "select lane from cards where hours > (select max(length(java_method('java.util.UUID', 'randomUUID'))) from cards)",
+    "select `try_reflect`('java.lang.System', 'nanoTime') from cards",
+    "select max(concat('x', reflect('java.lang.System', 'nanoTime'))) over (partition by lane) from cards",
+]
+PATHS = ["select * from text.`/etc`", "select lane from cards where lane in (select value from text.`/etc`)", "with p as (select * from parquet.`/x`) select * from p", "select * from unknown_table"]
+CHANGES = [
+    "truncate table cards", "create or replace temporary view other as select 1", "refresh table cards", "use other",
+    "explain analyze table cards compute statistics", "with c as (select 7) insert into cards select * from c", "reset", "   ",
+    "from cards insert overwrite directory '/tmp/out' using csv select lane", "merge into cards using cards c on true when matched then delete",
+]
+
+
+@pytest.mark.parametrize("text", PROGRAMS + CALLS + PATHS + CHANGES)
+def test_sql_refuses(spark, cards, text):
     with pytest.raises(ReadOnlyError):
         run_sql(spark, text)
 
 
-def test_sql_reads(spark):
-    spark.createDataFrame([("TST-1", "done"), ("TST-2", "todo")], "identifier string, status string").createOrReplaceTempView("board")
-    assert [r.identifier for r in run_sql(spark, "select identifier from board order by identifier").collect()] == ["TST-1", "TST-2"]
-    assert run_sql(spark, " WITH x AS (SELECT count(*) AS n FROM board) SELECT n FROM x").collect()[0].n == 2
-    assert "Scan" in run_sql(spark, "explain select * from board where status = 'done'").collect()[0].plan
-    assert [r.col_name for r in run_sql(spark, "pragma table_info(board)").collect()] == ["identifier", "status"]
-    assert "board" in [r.tableName for r in run_sql(spark, "PRAGMA table_list").collect()]
-    assert run_sql(spark, "select * from board where exists (select 1 from board b where b.status = board.status)").count() == 2
+def test_sql_answers(spark, cards):
+    assert [r.card for r in run_sql(spark, "SELECT card FROM cards WHERE lane = 'open' ORDER BY hours").collect()] == [9, 7]
+    nested = "with a as (select lane, sum(hours) as h from cards group by lane), b as (select * from a) select count(*) as n from b where h > 1"
+    assert run_sql(spark, nested).collect()[0].n == 1
+    assert run_sql(spark, "select * from cards c where hours = (select max(hours) from cards where lane = c.lane)").count() == 1
+    assert "Filter" in run_sql(spark, "explain select card from cards where hours > 1").collect()[0].plan
+    assert run_sql(spark, "values (1), (2)").count() == 2 and run_sql(spark, "select 'reflect', explode(array(1, 2))").count() == 2
+    assert [r.col_name for r in run_sql(spark, 'PRAGMA table_info("cards");').collect()] == ["card", "lane", "hours"]
+    assert "cards" in [r.tableName for r in run_sql(spark, "pragma table_list").collect()]
 
 
 def test_stream_equals_batch_and_late_rows_do_not_win(spark):

@@ -78,12 +78,17 @@ def test_thread_order_and_document(board):
     assert empty["comments"] == []
 
 
-def test_hot_groups_are_numbered_alike(spark):
-    rows = spark.range(5000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"), F.hash("id").alias("h"), "id")
-    order = [F.col("h").asc(), F.col("id").asc()]
-    plain = with_positions(rows, ["g"], order)
-    spread = with_positions(rows, ["g"], order, hot_rows=1000)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
+def test_positions_do_not_depend_on_the_parts(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("g"), (F.col("id") % 50).cast("string"))).alias("g"), F.when(F.col("id") % 11 > 0, F.hash("id") % 200).alias("h"), "id")
+    order = [F.col("h").asc_nulls_first(), F.col("id").asc()]
+    expected, groups = [], {}
+    for r in rows.collect():
+        groups.setdefault(r.g, []).append((r.h is not None, r.h or 0, r.id))
+    for g, members in groups.items():
+        expected += [(g, i, place) for place, (_, _, i) in enumerate(sorted(members))]
+    for part in (F.floor(F.col("h") / 10), F.lit(1), F.col("h")):
+        got = with_positions(rows, ["g"], order, part).select("g", "id", "position").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
 
 
 def test_document_pages_of_hot_issue(board, spark):
@@ -92,10 +97,11 @@ def test_document_pages_of_hot_issue(board, spark):
         F.concat(F.lit("c"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"), F.lit("i1").alias("issue_id"),
         F.lit(None).cast("string").alias("author_agent_id"), F.col("id").cast("string").alias("body"), F.lit("2026").alias("created_at"),
     )
-    pages = reads.issue_documents(issues, many, agents, hot_rows=100).filter("issue_id = 'i1'").orderBy("page").collect()
+    pages = reads.issue_documents(issues, many, agents).filter("issue_id = 'i1'").orderBy("page").collect()
     assert [r.n_comments for r in pages] == [500, 500, 201]
     bodies = [c["body"] for r in pages for c in json.loads(r.document)["comments"]]
     assert bodies == [str(n) for n in range(1201)]
+    assert all("_mirror" in json.loads(r.document) for r in pages)
 
 
 def test_latest_per_key(spark):
