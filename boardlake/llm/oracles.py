@@ -1,0 +1,52 @@
+"""DuckDB SQL of the operators that SQL can express on whole tables.
+
+Not here: fitted scores (1), approximate search (3), token counts of a library (5), alignments (6), XXH64 fingerprints (2),
+spans of a scan with its tests (4), and 400-byte windows of all texts (7), which SQL is too slow for. Those are tested
+against brute force.
+"""
+
+from __future__ import annotations
+
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+SUPERKMER = f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i+49], ' ') AS k FROM w, unnest(range(1, len(ws) - 48)) AS t(i)),
+firsts AS (SELECT k, min(doc_id) AS f FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, j FROM win JOIN firsts USING (k), unnest(range(i, i + 50)) AS u(j) WHERE f < doc_id),
+words AS (SELECT doc_id, j, ws[j] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(j)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS rest FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
+
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST(1 + ((CAST('0x' || substr(s, CAST(5 * (i // 4) + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '')"""
+WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
+
+# Seats are found by ranking every quotient, not only those near the limit.
+MIXING = f"""WITH w AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5('20240:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS key FROM documents),
+totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS rows FROM w GROUP BY source),
+weighed AS (SELECT *, coalesce('s' || source, 'n') AS name, ([3.0, 1.0, 2.0])[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap FROM totals),
+levels AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed),
+sources AS (SELECT *, CASE WHEN cap <= weight * level THEN cap ELSE weight * max(level) FILTER (cap > weight * level) OVER () END AS target, CAST(ceil(rows / 16384) AS BIGINT) AS shards FROM levels),
+placed AS (SELECT w.*, s.name, s.source_size, s.target, CAST('0x' || substr(key, 1, 12) AS BIGINT) % shards AS shard FROM w JOIN sources s ON w.source IS NOT DISTINCT FROM s.source),
+shards AS (SELECT name, shard, sum(size) AS shard_size, CAST(ceil(sum(size) / 16) AS BIGINT) AS blocks FROM placed GROUP BY name, shard),
+caps AS (SELECT name, CAST(sum(2 * blocks) AS BIGINT) AS cap FROM shards GROUP BY name),
+claims AS (SELECT s.name, row_number() OVER (ORDER BY s.target / (2 * seat + 1) DESC, s.name, seat) AS place
+  FROM sources s JOIN caps c USING (name), unnest(range(0, c.cap)) AS t(seat) WHERE s.target > 0),
+won AS (SELECT name, count(*) AS seats FROM claims WHERE place <= (SELECT round(sum(target) / 16) FROM sources) GROUP BY name),
+shard_claims AS (SELECT h.name, h.shard, row_number() OVER (PARTITION BY h.name ORDER BY shard_size::DOUBLE / (2 * seat + 1) DESC, h.shard, seat) AS place, seats
+  FROM shards h JOIN won USING (name), unnest(range(0, 2 * blocks)) AS t(seat)),
+quotas AS (SELECT name, shard, count(*) FILTER (place <= seats) AS quota FROM shard_claims GROUP BY name, shard),
+laid AS (SELECT p.*, blocks, coalesce(quota, 0) AS quota, CAST('0x' || substr(md5('20240:' || p.name || ':' || p.shard), 1, 12) AS BIGINT) % greatest(blocks, 1) AS start,
+  CAST(sum(size) OVER (PARTITION BY p.name, p.shard ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS stop
+  FROM placed p JOIN shards h USING (name, shard) LEFT JOIN quotas q USING (name, shard)),
+parts AS (SELECT *, stop - size AS begin, CASE WHEN blocks > 0 THEN quota // blocks ELSE 0 END AS passes, CASE WHEN blocks > 0 THEN quota % blocks ELSE 0 END AS more FROM laid)
+SELECT doc_id, size, source_size, target, CAST(least(2 * size, passes * size + CASE WHEN size > 0 AND more > 0 THEN list_sum(list_transform(range(begin // 16, (stop - 1) // 16 + 1),
+  lambda j: (((j + start) % blocks + 1) * more // blocks - ((j + start) % blocks) * more // blocks) * (least(stop, (j + 1) * 16) - greatest(begin, j * 16)))) ELSE 0 END) AS BIGINT) AS taken FROM parts"""
+
+ORACLES = {"op8_mixing": MIXING, "op9_superkmer": SUPERKMER, "op10_warc": WARC}

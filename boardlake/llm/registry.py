@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.llm import decontaminate, mixing, multi_index, secrets, simhash, suffix_dedup, superkmer, tokens, toxicity, warc
+from boardlake.llm import decontaminate, mixing, multi_index, oracles, secrets, simhash, suffix_dedup, superkmer, tokens, toxicity, warc
 from boardlake.session import scratch_path, ship_package
 
 
@@ -76,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
