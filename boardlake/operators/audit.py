@@ -20,18 +20,19 @@ def secret_scan(tables: dict[str, tuple[DataFrame, str]], tokens: list[str]) ->
 
     Each table is read once for all credentials. The output numbers the distinct credentials and never shows them.
     """
+    spark = next(iter(tables.values()))[0].sparkSession
     usable = sorted({t for t in tokens if len(t) >= MIN_TOKEN_LENGTH})
-    if not usable:
-        spark = next(iter(tables.values()))[0].sparkSession
-        return spark.createDataFrame([], "table string, token_no bigint, leaks bigint")
-    counts = []
+    # The credentials are data of a local frame, not literals of the plan: plans, the UI and logs never show them.
+    numbered = spark.createDataFrame(list(enumerate(t.lower() for t in usable)), "token_no bigint, token string")
+    sought = numbered.agg(F.array_sort(F.collect_list(F.struct("token_no", "token"))).alias("sought"))
+    found = []
     for name, (rows, column) in tables.items():
-        text = F.lower(column)
-        per_token = F.array(*[F.count_if(text.contains(token.lower())) for token in usable])
-        counts.append(
-            rows.agg(per_token.alias("n")).select(F.lit(name).alias("table"), F.posexplode("n").alias("token_no", "leaks"))
-        )
-    return _union(counts).select("table", F.col("token_no").cast("bigint").alias("token_no"), "leaks")
+        texts = rows.select(F.lower(column).alias("text"), sought.scalar().alias("sought"))
+        hits = F.filter("sought", lambda t: F.contains(F.col("text"), t.token))
+        found.append(texts.select(F.lit(name).alias("table"), F.explode(F.transform(hits, lambda t: t.token_no)).alias("token_no")))
+    leaks = _union(found).groupBy("table", "token_no").agg(F.count(F.lit(1)).alias("leaks"))
+    every = numbered.select(F.explode(F.array(*[F.lit(n) for n in tables])).alias("table"), "token_no")
+    return every.join(leaks, ["table", "token_no"], "left").select("table", "token_no", F.coalesce("leaks", F.lit(0)).cast("bigint").alias("leaks"))
 
 
 def redaction_audit(tables: dict[str, DataFrame], raw: str = "raw_json") -> DataFrame:

@@ -142,10 +142,10 @@ def issue_document(spark, sf):
 _ACTIVE = "('todo', 'in_progress', 'in_review', 'blocked')"
 _SUMMARY_SQL = f"""WITH per_company AS (
   SELECT company_id, count(*) AS n, count(*) FILTER (status IN {_ACTIVE}) AS n_open FROM issues GROUP BY company_id),
-synced AS (
-  SELECT company_id, max(last_sync_at) FILTER (entity = 'issues' AND last_status = 'ok') AS at FROM sync_state GROUP BY company_id)
-SELECT c.id, c.name, c.issue_prefix, coalesce(n, 0) AS issues, coalesce(n_open, 0) AS open_issues, at AS last_sync_at
-FROM companies c LEFT JOIN per_company p ON p.company_id = c.id LEFT JOIN synced s ON s.company_id = c.id"""
+last_runs AS (
+  SELECT company_id, max(last_sync_at) FILTER (entity = 'issues' AND last_status = 'ok') AS synced FROM sync_state GROUP BY company_id)
+SELECT c.id, c.name, c.issue_prefix, coalesce(n, 0) AS issues, coalesce(n_open, 0) AS open_issues, synced AS last_sync_at
+FROM companies c LEFT JOIN per_company p ON p.company_id = c.id LEFT JOIN last_runs s ON s.company_id = c.id"""
 
 
 @register("company_summary", f"{_SUMMARY_SQL} ORDER BY c.name, c.id")

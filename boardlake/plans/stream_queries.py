@@ -10,7 +10,7 @@ from boardlake.plans.search_queries import ORACLE_VIEWS as TOKEN_VIEWS
 from boardlake.plans.search_queries import stored_index
 from boardlake.plans.views import STAMP_1, STAMP_2, table, view
 from boardlake.session import scratch_path
-from boardlake.streaming.feeds import merge_index, merge_newest, read_log, stream_index, stream_upsert
+from boardlake.streaming.feeds import index_log_schema, merge_index, merge_newest, read_log, stream_index, stream_upsert
 
 QUERIES = {}
 ORACLES = {}
@@ -89,17 +89,17 @@ UNION ALL SELECT 'is-' || doc_id, CASE WHEN quality = 1 THEN 'approved' ELSE 're
 SELECT token, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM tokens GROUP BY token""",
 )
 def streamed_index(spark, sf):
-    """Labelled issues are renamed twice; the later name must win whichever batch brings it."""
+    """Labelled issues are renamed twice, and the older name arrives last: the newer one must win all the same."""
     labels = table(spark, sf, "labels").select(F.concat(F.lit("is-"), F.col("doc_id").cast("string")).alias("id"), "quality")
     issues = view(spark, sf, "issues").join(labels, "id").select("id", "identifier", "description", "quality")
     draft = issues.withColumns({"title": F.lit("draft"), "updated_at": F.lit(STAMP_1)})
     final = issues.withColumns({"title": F.when(F.col("quality") == 1, "approved").otherwise("rejected"), "updated_at": F.lit(STAMP_2)})
     path = scratch_path(spark, "renames")
-    for rows in (draft, final):
+    for rows in (final, draft):
         rows.drop("quality").coalesce(2).write.mode("append").parquet(path)
     schema = draft.drop("quality").schema
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     log = scratch_path(spark, "token-log")
     stream_index(source, log, scratch_path(spark, "token-progress"), list(ISSUE_TEXT), ["updated_at"]).awaitTermination()
     base = stored_index(spark, sf, "issues")
-    return term_stats(merge_index(base, read_log(spark, log, base.forward.schema)))
+    return term_stats(merge_index(base, read_log(spark, log, index_log_schema(base))))

@@ -53,20 +53,37 @@ def read_log(spark: SparkSession, log_path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(numbered).parquet(log_path)
 
 
-def stream_index(source: DataFrame, log_path: str, checkpoint: str, columns: list[str], order: list[Column | str], key: str = "id") -> StreamingQuery:
-    """Keep a text index in step with a stream of rows: each micro-batch logs the tokens of its newest rows."""
+def stream_index(
+    source: DataFrame, log_path: str, checkpoint: str, columns: list[str], order: list[str], key: str = "id", deleted: str | None = None
+) -> StreamingQuery:
+    """Keep a text index in step with a stream of rows: each micro-batch logs the tokens of its newest rows.
+
+    ``order`` ranks the versions of a document; it is logged as ``version``, so that text which arrives late does not
+    replace newer text. Rows with true in the column ``deleted`` take their document out of the index.
+    """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, [key], order)
-        forward_tokens(rows, columns, key).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+        versions = rows.select(F.col(key).alias("doc_id"), F.array(*[F.col(o).cast("string") for o in order]).alias("version"), gone.alias("gone"))
+        forward_tokens(rows, columns, key).join(versions, "doc_id").write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
 
     return (
         source.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
+def index_log_schema(base: TextIndex) -> T.StructType:
+    """What :func:`stream_index` logs for an index."""
+    more = [T.StructField("version", T.ArrayType(T.StringType())), T.StructField("gone", T.BooleanType())]
+    return T.StructType(base.forward.schema.fields + more)
+
+
 def merge_index(base: TextIndex, log: DataFrame) -> TextIndex:
-    """Index with a token log applied: the last logged version of a document replaces its stored one."""
-    last = log.groupBy("doc_id").agg(F.max("batch").alias("batch"))
-    current = log.join(last, ["doc_id", "batch"], "left_semi").select(*base.forward.columns)
-    return replace_documents(base, last.select("doc_id"), current)
+    """Index with a token log applied: the newest logged version of a document replaces its stored one, or removes it.
+
+    Versions compare as texts, like the stamps they hold; of equal versions the later batch counts.
+    """
+    newest = log.groupBy("doc_id").agg(F.max(F.struct("version", "batch")).getField("batch").alias("batch"))
+    current = log.join(newest, ["doc_id", "batch"], "left_semi").filter(~F.col("gone")).select(*base.forward.columns)
+    return replace_documents(base, newest.select("doc_id"), current)

@@ -9,7 +9,8 @@ from boardlake.operators.redaction import is_secret_key, redact_columns, redact_
 from boardlake.plans.sql import ReadOnlyError, run_sql
 from boardlake.schemas import REDACTED, WITHHELD_KEYS
 from boardlake.session import scratch_path
-from boardlake.streaming.feeds import merge_newest, read_log, stream_upsert
+from boardlake.operators.index import build_index
+from boardlake.streaming.feeds import index_log_schema, merge_index, merge_newest, read_log, stream_index, stream_upsert
 
 
 def leaves(value, key=None):
@@ -151,3 +152,23 @@ def test_stream_equals_batch_and_late_rows_do_not_win(spark):
     batch = merge_newest(stored, changes, ["id"], ["updated_at", "v"])
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
     assert {r.id: r.v for r in streamed.collect()}["k0"] == "kept"
+
+
+def test_index_log_keeps_the_newest_text_and_drops_deleted_documents(spark):
+    schema = "id string, body string, updated_at string, dead boolean"
+    base = build_index(spark.createDataFrame([("a", "old moss", "1", False), ("b", "fern", "1", False), ("c", "reed", "1", False)], schema), {"body": 1.0})
+    feed, log = scratch_path(spark, "t-feed"), scratch_path(spark, "t-tokens")
+    for row in (("a", "new moss", "5", False), ("a", "draft", "3", False), ("b", None, "4", True), ("d", "sedge", "2", None)):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(feed)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    stream_index(source, log, scratch_path(spark, "t-at"), ["body"], ["updated_at"], deleted="dead").awaitTermination()
+    merged = merge_index(base, read_log(spark, log, index_log_schema(base)))
+    assert sorted((r.doc_id, r.token) for r in merged.postings.collect()) == [("a", "moss"), ("a", "new"), ("c", "reed"), ("d", "sedge")]
+
+
+def test_plans_do_not_show_credentials(spark, capsys):
+    rows = spark.createDataFrame([("the Quince-Key-0042 here",), ("none",)], "raw string")
+    found = secret_scan({"notes": (rows, F.col("raw"))}, ["quince-key-0042", "absent-key-77"])
+    assert sorted(map(tuple, found.collect())) == [("notes", 0, 0), ("notes", 1, 1)]
+    found.explain(True)
+    assert "quince" not in capsys.readouterr().out.lower()
