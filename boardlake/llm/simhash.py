@@ -30,7 +30,7 @@ DISTANCE = 2
 BANDS = 20
 BAND_SHINGLES = 6
 BINS = 256
-BUCKET_ROWS = 8_192
+BLOCK_ROWS = 8_192
 _SALTS = [np.uint64(xxhash.xxh64_intdigest(b"order", t)) for t in range(BANDS)]
 _ODD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -199,41 +199,54 @@ def sketch(hashes: np.ndarray) -> tuple[list[int], bytes]:
 
 
 def _similar_links(batches, similarity: float) -> Iterator[tuple[str, str]]:
-    """Spanning links of every band key's texts, from rows sorted by band key; a bucket of any size passes in parts,
-    each with one text of every group found before."""
+    """Spanning links of the texts of every part of a bucket, from rows sorted by band key and part."""
 
     def parts():
         at, keys, bins = None, [], []
         for batch in batches:
-            for band, key, own in zip(batch["band"], batch["key"], batch["bins"]):
-                if band != at:
-                    yield keys, bins, True
-                    at, keys, bins = band, [], []
-                elif len(keys) >= BUCKET_ROWS:
-                    yield keys, bins, False
-                    keys, bins = held[0][:], held[1][:]
+            for band, first, second, key, own in zip(batch["band"], batch["first"], batch["second"], batch["key"], batch["bins"]):
+                if (band, first, second) != at:
+                    yield keys, bins
+                    at, keys, bins = (band, first, second), [], []
                 keys.append(key)
                 bins.append(own)
-        yield keys, bins, True
-
-    held: tuple[list, list] = ([], [])
-    for keys, bins, last in parts():
-        roots: list[int] = []
-        if len(keys) > 1 or not last:
-            table = np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
-            used, todo = table > 0, np.arange(len(keys))
-            while len(todo):
-                queue, todo = [todo[0]], todo[1:]
-                roots.append(int(queue[0]))
-                while queue and len(todo):
-                    x = queue.pop()
-                    equal = ((table[todo] == table[x]) & used[x]).sum(axis=1)
-                    near = equal >= similarity * np.maximum(1, (used[todo] | used[x]).sum(axis=1))
-                    queue.extend(todo[near])
-                    for y in todo[near]:
-                        yield keys[x], keys[y]
-                    todo = todo[~near]
-        held = ([keys[i] for i in roots[: BUCKET_ROWS // 2]], [bins[i] for i in roots[: BUCKET_ROWS // 2]])
+        yield keys, bins
+
+    for keys, bins in parts():
+        if len(keys) < 2:
+            continue
+        table = np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
+        used, todo = table > 0, np.arange(len(keys))
+        while len(todo):
+            queue, todo = [todo[0]], todo[1:]
+            while queue and len(todo):
+                x = queue.pop()
+                equal = ((table[todo] == table[x]) & used[x]).sum(axis=1)
+                near = equal >= similarity * np.maximum(1, (used[todo] | used[x]).sum(axis=1))
+                queue.extend(todo[near])
+                for y in todo[near]:
+                    yield keys[x], keys[y]
+                todo = todo[~near]
+
+
+def similar_links(rows: DataFrame, similarity: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``x`` and ``y``: links that span the groups of similar texts among those that share a band (``key``, ``bands``, ``bins``).
+
+    A bucket of more than ``block_rows`` texts is dealt into blocks of about that size by a hash, and every two blocks
+    meet in a part of their own. So no two texts of a bucket are left uncompared, and a part holds about two
+    blocks at most, however many texts share a band.
+    """
+    bands = rows.select("key", F.explode("bands").alias("band"))
+    counted = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = staged(counted.select("band", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")), "copies-bands")
+    own = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int")
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("first"), F.greatest(own, j).alias("second")))
+    # Texts of a band in several blocks take part in each pair of blocks with their own.
+    placed = bands.join(shared, "band").select("key", "band", F.explode(met).alias("part"))
+    members = placed.select("key", "band", "part.first", "part.second").join(rows.select("key", "bins"), "key")
+    place = ["band", "first", "second"]
+    dealt = members.select(*place, "key", "bins").repartition(*place).sortWithinPartitions(*place, "key")
+    return map_rows(dealt, lambda batches: _similar_links(batches, similarity), "x string, y string").distinct()
 
 
 def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
@@ -258,11 +271,7 @@ def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8,
     links = staged(linked_points(points, distance), "copies-links")
     by_bits = links.join(points.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(points.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
     same_bits = rows.join(points, "fp").filter("key > first").select(F.col("first").alias("x"), F.col("key").alias("y"))
-    bands = rows.select("key", F.explode("bands").alias("band"))
-    shared = staged(bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "copies-bands")
-    members = bands.join(shared, "band").join(rows.select("key", "bins"), "key")
-    dealt = members.select("band", "key", "bins").repartition("band").sortWithinPartitions("band", "key")
-    similar = map_rows(dealt, lambda batches: _similar_links(batches, similarity), "x string, y string").distinct()
+    similar = similar_links(rows, similarity)
     edges = staged(by_bits.unionByName(same_bits).unionByName(similar), "copies-edges")
     labels = component_labels(edges, "x", "y").withColumnRenamed("node", "key")
     return rows.select("key").join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))

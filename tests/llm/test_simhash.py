@@ -89,3 +89,34 @@ def test_null_ids_repeats_and_no_rows(spark):
     got = sorted((r.doc_id or -1, r.component_id or -1) for r in simhash.near_duplicates(docs).collect())
     assert got == [(-1, -1), (-1, 4), (4, 4), (4, 4)]
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_bucket_of_many_blocks_loses_no_link(spark):
+    """Chains of similar texts among many unlike ones in one bucket, dealt into blocks far smaller than the bucket."""
+    rng = np.random.default_rng(4)
+    sketches = []
+    for c in range(30):
+        row = rng.integers(1, 60_000, simhash.BINS, np.uint16)
+        for step in range(rng.integers(1, 9)):
+            row = row.copy()
+            row[rng.choice(simhash.BINS, 40, replace=False)] = rng.integers(1, 60_000, 40, np.uint16)
+            sketches.append((c, f"{rng.integers(1 << 40):010x}", row))
+    keys = [k for _, k, _ in sketches]
+    rows = spark.createDataFrame([(k, [7, int(rng.integers(8, 12))], bytearray(r.tobytes())) for _, k, r in sketches], "key string, bands array<bigint>, bins binary")
+    table = np.array([r for *_, r in sketches])
+    near = {(keys[i], keys[j]) for i in range(len(keys)) for j in range(len(keys)) if i != j and (table[i] == table[j]).mean() >= 0.8}
+    assert near
+
+    def reach(links):
+        label = {k: k for k in keys}
+        while True:
+            before = dict(label)
+            for x, y in links:
+                label[x] = label[y] = min(label[x], label[y])
+            if label == before:
+                return label
+
+    for block_rows in (5, 40, 1_000):
+        found = {(r.x, r.y) for r in simhash.similar_links(rows, 0.8, block_rows).collect()}
+        assert found <= near
+        assert reach(found) == reach(near)
