@@ -16,11 +16,15 @@ COMMENT_TEXT = {"body": 1.0}
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``postings``: (token, doc_id, col, pos, doc_tokens)."""
+    """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``postings``: (token, doc_id, col, pos, doc_tokens).
+
+    ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
+    """
 
     forward: DataFrame
     postings: DataFrame
     weights: dict[str, float]
+    totals: DataFrame | None = None
 
 
 def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
@@ -52,9 +56,20 @@ def store_index(rows: DataFrame, weights: dict[str, float], path: str, key: str
     the documents of a frequent token spread over several files, and a search for a token or prefix
     reads only the row groups whose minimum and maximum admit it.
     """
-    forward_tokens(rows, list(weights), key).write.mode("errorifexists").parquet(f"{path}/forward")
-    write_postings(load_forward(rows.sparkSession, path), f"{path}/postings")
-    return load_index(rows.sparkSession, path, weights)
+    return _store(forward_tokens(rows, list(weights), key), path, weights)
+
+
+def fold_index(index: TextIndex, path: str) -> TextIndex:
+    """Write an index, with the changes that are merged into it on read, as a stored one at a new path."""
+    return _store(index.forward, path, index.weights)
+
+
+def _store(forward: DataFrame, path: str, weights: dict[str, float]) -> TextIndex:
+    spark = forward.sparkSession
+    forward.write.mode("errorifexists").parquet(f"{path}/forward")
+    write_postings(load_forward(spark, path), f"{path}/postings")
+    _count(load_forward(spark, path)).write.mode("errorifexists").parquet(f"{path}/totals")
+    return load_index(spark, path, weights)
 
 
 def write_postings(forward: DataFrame, path: str) -> None:
@@ -68,7 +83,7 @@ def load_forward(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_index(spark: SparkSession, path: str, weights: dict[str, float]) -> TextIndex:
-    return TextIndex(load_forward(spark, path), spark.read.parquet(f"{path}/postings"), weights)
+    return TextIndex(load_forward(spark, path), spark.read.parquet(f"{path}/postings"), weights, spark.read.parquet(f"{path}/totals"))
 
 
 def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key: str = "id") -> TextIndex:
@@ -85,12 +100,14 @@ def replace_documents(index: TextIndex, gone: DataFrame, new: DataFrame) -> Text
     return TextIndex(forward, postings.select(*index.postings.columns), index.weights)
 
 
+def _count(forward: DataFrame) -> DataFrame:
+    return forward.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("tokens"))
+
 
 def index_stats(index: TextIndex) -> DataFrame:
     """One row: number of documents (also those without tokens), tokens, average length."""
-    return index.forward.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("doc_tokens"), F.lit(0)).alias("tokens")).select(
-        "docs", "tokens", F.try_divide(F.col("tokens"), F.col("docs")).alias("avg_tokens")
-    )
+    totals = _count(index.forward) if index.totals is None else index.totals
+    return totals.select("docs", "tokens", F.try_divide(F.col("tokens"), F.col("docs")).alias("avg_tokens"))
 
 
 def term_stats(index: TextIndex) -> DataFrame:

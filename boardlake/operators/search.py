@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
-from boardlake.operators.index import TextIndex
+from boardlake.operators.index import TextIndex, index_stats
 from boardlake.operators.reads import equals, keep_if, status_in
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
 
@@ -140,9 +140,9 @@ def rank_documents(index: TextIndex, request: Request) -> DataFrame:
     up, so frequent words never multiply queries by documents.
     """
     frequency = word_frequency(index, request)
-    totals = index.forward.agg(F.count(F.lit(1)).alias("docs"), F.sum("doc_tokens").alias("tokens"))
+    totals = index_stats(index)
     docs = totals.select("docs").scalar().cast("double")
-    average = totals.select(F.try_divide("tokens", "docs")).scalar()
+    average = totals.select("avg_tokens").scalar()
     found = frequency.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     idf = F.ln((docs - F.col("n") + 0.5) / (F.col("n") + 0.5))
     weighed = (

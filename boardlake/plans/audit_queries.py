@@ -85,29 +85,39 @@ def redact_sweep(spark, sf):
 
 
 # Texts looked for: long enough ones count, in any case, literally.
-_TOKENS = ["Reeoria Token", "the there_re", "token = \"2321bac4d15ec8f9", "of the thing", "short"]
+_TOKENS = ["Board.Example", "supplier#00000", "Reeoria Token", "the there_re", "token = \"2321bac4d15ec8f9", "of the thing", "short"]
 _USABLE = sorted(t for t in _TOKENS if len(t) >= 12)
-_SCANNED = {"issues": "description", "comments": "body", "pages": "html"}
+# Text of a record per scanned table: the six entities, the key-value table and landed pages.
+_META = "SELECT concat('api_base ', id) AS key, api_base AS value FROM companies"
+_SCANNED = {
+    "companies": ["id", "name", "api_base"], "projects": ["id", "name", "url_key"], "agents": ["id", "name", "role"],
+    "issues": ["id", "identifier", "title", "description"], "comments": ["id", "author_agent_id", "body"],
+    "approvals": ["id", "type", "requested_by_agent_id"], "meta": ["key", "value"], "pages": ["html"],
+}
 
 
 @register(
     "secret_scan",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", CAST({i} AS BIGINT) AS token_no, count(*) FILTER (WHERE contains(lower({c}), '{token.lower()}')) AS leaks FROM {t}"
+        f"SELECT '{t}' AS \"table\", CAST({i} AS BIGINT) AS token_no, count(*) FILTER (WHERE contains(lower(concat_ws(' | ', {', '.join(c)})), '{token.lower()}')) AS leaks FROM {f'({_META}) AS meta' if t == 'meta' else t}"
         for t, c in _SCANNED.items()
         for i, token in enumerate(_USABLE)
     ),
 )
 def secrets(spark, sf):
-    issues, comments = views(spark, sf, "issues", "comments")
-    scanned = {"issues": issues, "comments": comments, "pages": table(spark, sf, "pages")}
-    return secret_scan({name: (rows, _SCANNED[name]) for name, rows in scanned.items()}, _TOKENS)
+    """All stored records, the key-value table and the landed pages."""
+    entities = {name: view(spark, sf, name) for name in _SCANNED if name not in ("meta", "pages")}
+    meta = spark.sql(_META.replace("companies", "{companies}"), companies=entities["companies"])
+    scanned = {**entities, "meta": meta, "pages": table(spark, sf, "pages")}
+    texts = {name: rows.select(F.concat_ws(" | ", *_SCANNED[name]).alias("record")) for name, rows in scanned.items()}
+    return secret_scan({name: (rows, "record") for name, rows in texts.items()}, _TOKENS)
 
 
 @register(
     "redaction_audit",
     """SELECT 'issues' AS entity, count(*) AS rows, count(*) FILTER (WHERE lang = 'en') AS unredacted FROM documents
-UNION ALL SELECT 'agents', count(*), count(*) FILTER (WHERE s_acctbal < 0) FROM supplier""",
+UNION ALL SELECT 'agents', count(*), count(*) FILTER (WHERE s_acctbal < 0) FROM supplier
+UNION ALL SELECT 'projects', count(*), count(*) FILTER (WHERE n_regionkey = 0) FROM nation""",
 )
 def audit(spark, sf):
     issues = table(spark, sf, "documents").select(
@@ -115,7 +125,9 @@ def audit(spark, sf):
     )
     held = F.when(F.col("s_acctbal") < 0, F.to_json(F.struct("s_name"))).otherwise(F.lit('"[redacted]"'))
     agents = table(spark, sf, "supplier").select(F.concat(F.lit('{"id":1,"runtimeConfig":'), held, F.lit("}")).alias("raw_json"))
-    return redaction_audit({"issues": issues, "agents": agents})
+    env = F.when(F.col("n_regionkey") == 0, F.to_json(F.struct("n_name"))).otherwise(F.lit('"[redacted]"'))
+    projects = table(spark, sf, "nation").select(F.concat(F.lit('{"id":1,"env":'), env, F.lit("}")).alias("raw_json"))
+    return redaction_audit({"issues": issues, "agents": agents, "projects": projects})
 
 
 _SIDES = "FROM orders_stored m FULL JOIN orders_listed l ON l.id = m.id"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.operators.index import ISSUE_TEXT, term_stats
+from boardlake.operators.index import ISSUE_TEXT, TextIndex, fold_index, term_stats
 from boardlake.plans.search_queries import ORACLE_VIEWS as TOKEN_VIEWS
 from boardlake.plans.search_queries import stored_index
 from boardlake.plans.views import STAMP_1, STAMP_2, table, view
@@ -81,25 +81,35 @@ def streamed_cursor(spark, sf):
     return _streamed(spark, sf, "2024-01-20T00:00:00.000Z")
 
 
-@register(
-    "stream_index",
-    """WITH tokens AS (SELECT p.doc_id, p.token FROM issue_postings p LEFT JOIN labels l ON p.doc_id = 'is-' || l.doc_id
-  WHERE NOT (p.col = 'title' AND l.quality IS NOT NULL)
-UNION ALL SELECT 'is-' || doc_id, CASE WHEN quality = 1 THEN 'approved' ELSE 'rejected' END FROM labels)
-SELECT token, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM tokens GROUP BY token""",
-)
-def streamed_index(spark, sf):
-    """Labelled issues are renamed twice, and the older name arrives last: the newer one must win all the same."""
-    labels = table(spark, sf, "labels").select(F.concat(F.lit("is-"), F.col("doc_id").cast("string")).alias("id"), "quality")
-    issues = view(spark, sf, "issues").join(labels, "id").select("id", "identifier", "description", "quality")
-    draft = issues.withColumns({"title": F.lit("draft"), "updated_at": F.lit(STAMP_1)})
-    final = issues.withColumns({"title": F.when(F.col("quality") == 1, "approved").otherwise("rejected"), "updated_at": F.lit(STAMP_2)})
+_INDEXED = """WITH tokens AS (SELECT p.doc_id, p.token FROM issue_postings p LEFT JOIN labels l ON p.doc_id = 'is-' || l.doc_id
+  WHERE coalesce(l.toxic, 0) = 0 AND NOT (p.col = 'title' AND l.quality IS NOT NULL)
+UNION ALL SELECT 'is-' || doc_id, CASE WHEN quality = 1 THEN 'approved' ELSE 'rejected' END FROM labels WHERE toxic = 0)
+SELECT token, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM tokens GROUP BY token"""
+
+
+def _indexed(spark, sf) -> TextIndex:
+    """Labelled issues are renamed twice, toxic ones deleted; the older rows arrive last and must not count."""
+    labels = table(spark, sf, "labels").select(F.concat(F.lit("is-"), F.col("doc_id").cast("string")).alias("id"), "quality", "toxic")
+    issues = view(spark, sf, "issues").join(labels, "id").select("id", "identifier", "description", "quality", "toxic")
+    draft = issues.withColumns({"title": F.lit("draft"), "updated_at": F.lit(STAMP_1), "gone": F.lit(False)})
+    final = issues.withColumns({"title": F.when(F.col("quality") == 1, "approved").otherwise("rejected"), "updated_at": F.lit(STAMP_2), "gone": F.col("toxic") == 1})
     path = scratch_path(spark, "renames")
     for rows in (final, draft):
-        rows.drop("quality").coalesce(2).write.mode("append").parquet(path)
-    schema = draft.drop("quality").schema
+        rows.drop("quality", "toxic").coalesce(2).write.mode("append").parquet(path)
+    schema = draft.drop("quality", "toxic").schema
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     log = scratch_path(spark, "token-log")
-    stream_index(source, log, scratch_path(spark, "token-progress"), list(ISSUE_TEXT), ["updated_at"]).awaitTermination()
+    stream_index(source, log, scratch_path(spark, "token-progress"), list(ISSUE_TEXT), ["updated_at"], deleted="gone").awaitTermination()
     base = stored_index(spark, sf, "issues")
-    return term_stats(merge_index(base, read_log(spark, log, index_log_schema(base))))
+    return merge_index(base, read_log(spark, log, index_log_schema(base)))
+
+
+@register("stream_index", _INDEXED)
+def streamed_index(spark, sf):
+    return term_stats(_indexed(spark, sf))
+
+
+@register("stream_fold", _INDEXED)
+def folded_index(spark, sf):
+    """The streamed index, written anew with its log applied."""
+    return term_stats(fold_index(_indexed(spark, sf), scratch_path(spark, "folded-index")))

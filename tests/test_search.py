@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boardlake.operators import search as S
-from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, build_index, store_index, update_index
+from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, build_index, fold_index, index_stats, store_index, update_index
 from boardlake.session import scratch_path
 
 WORDS = "sync lock ledger Élan export bank re-sync naïve the a of issue lockstep Blocked 12 x_y".split()
@@ -129,3 +129,16 @@ def test_index_follows_changes_and_comments_join(spark):
     assert found(updated, now, "pallet") == set() and found(updated, now, "film") == {"ORD-40"} and found(updated, now, "charger") == {"ORD-41"}
     rebuilt = build_index(now, ISSUE_TEXT)
     assert sorted(map(tuple, updated.postings.collect())) == sorted(map(tuple, rebuilt.postings.collect()))
+
+    folded = fold_index(updated, scratch_path(spark, "test-folded"))
+    assert folded.totals is not None and index_stats(folded).collect() == index_stats(rebuilt).collect()
+    assert sorted(map(tuple, folded.postings.collect())) == sorted(map(tuple, rebuilt.postings.collect()))
+    assert found(folded, now, "film") == {"ORD-40"} and found(folded, now, "pallet") == set()
+
+
+def test_empty_index_is_stored_and_searched(spark):
+    schema = "id string, company_id string, identifier string, status string, title string, description string, updated_at string"
+    issues = spark.createDataFrame([], schema)
+    index = store_index(issues, ISSUE_TEXT, scratch_path(spark, "test-none"))
+    assert index_stats(index).collect() == [(0, 0, None)]
+    assert S.search_issues(index, issues, "anything").collect() == []
