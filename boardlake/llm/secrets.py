@@ -1,11 +1,13 @@
 """Secret scans: patterns for known shapes, and a randomness test battery for the rest.
 
-Tokens of ``LEAST`` or more key-like characters are candidates. Each is read in the smallest encoding whose alphabet
-has all its characters. Three tests ask whether it looks uniformly random there: chi-squared over the alphabet,
+Runs of ``LEAST`` or more key-like characters are candidates; they end at ``=``, so a value is judged without the name it
+is given to. If one is joined by ``/``, ``_`` or ``-``, its parts of that length are tried beside the whole, and what is left
+without the words at its ends; so a value joined to a name is judged alone too, and the longest that counts is the
+secret. Each is read in the smallest encoding whose alphabet has all its characters. Three tests ask whether it looks uniformly random there: chi-squared over the alphabet,
 runs above and below its middle, and lag-one serial correlation. A token that one of them rejects is no random
 secret. For the others the evidence against ordinary text is a likelihood ratio: uniform in the encoding against
 letters by their frequencies in runs of one class. Its inverse bounds a p-value (Markov), and a step-up over all
-candidates of the text, weighted by their lengths, controls the share of false discoveries.
+tries of the text, weighted by their lengths, controls the share of false discoveries.
 
 Everything is column expressions over one row; nothing is shuffled and no Python runs on executors.
 """
@@ -26,7 +28,11 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ["assign", "access", "hex", "random"]
 
 LEAST = 20
-TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST
+TOKEN = r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST
+PART = r"[A-Za-z0-9+]{%d,}={0,2}" % LEAST
+# Words and what joins them at the start of a candidate, and at the end of one that is read backwards. Possessive: linear, without a stack.
+LEAD = r"^(?:(?:[A-Z]++[a-z]*+|[a-z]++)?+[0-9]{0,2}+[/_-]++)++"
+TRAIL = r"^={0,2}+(?:[0-9]{0,2}+(?:[a-z]++[A-Z]?+|[A-Z]++)?+[/_-]++)++"
 BATTERY_LEVEL = 0.01
 DISCOVERY_RATE = 0.01
 
@@ -146,11 +152,28 @@ def battery(token: Column) -> Column:
     return let(clean, lambda t: let(_encoding_fields(t), lambda e: F.when(F.length(t) >= 2, scores(t, e)).otherwise(F.struct(F.lit(0.0).alias("p_random"), F.lit(1.0).alias("p_text")))))
 
 
+def _tries(m: Column) -> Column:
+    """A candidate and what is tried beside it: it without the words at its ends, then its long parts."""
+
+    def placed(start: Column, length: Column) -> Column:
+        return F.struct((m.start + start).alias("start"), (m.start + start + length).alias("end"), F.substr(m.match, (start + 1).cast("int"), length.cast("int")).alias("match"))
+
+    def inner(cut: Column) -> Column:
+        length = F.length(m.match) - cut.lead - cut.trail
+        return F.when((length >= LEAST) & (cut.lead + cut.trail > 0), F.array(placed(cut.lead.cast("bigint"), length.cast("bigint")))).otherwise(none)
+
+    none = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
+    cut = F.struct(F.length(F.regexp_extract(m.match, LEAD, 0)).alias("lead"), F.length(F.regexp_extract(F.reverse(m.match), TRAIL, 0)).alias("trail"))
+    parts = F.transform(_matches(m.match, PART), lambda p: F.struct((m.start + p.start).alias("start"), (m.start + p.end).alias("end"), p.match.alias("match")))
+    return F.when(F.regexp_like(m.match, F.lit("[/_-]")), F.array_distinct(F.concat(F.array(m), let(cut, inner), parts))).otherwise(F.array(m))
+
+
 def _random_spans(text: Column) -> Column:
-    """Spans of the candidates that pass the battery and the weighted step-up over all candidates of the text."""
+    """Spans of the candidates, or of what they hold, that pass the battery and the weighted step-up over all tries of the text."""
 
     def judged(found: Column) -> Column:
-        mean = F.aggregate(found, F.lit(0.0), lambda s, m: s + (m.end - m.start)) / F.size(found)
+        tried = F.flatten(found)
+        mean = F.aggregate(tried, F.lit(0.0), lambda s, m: s + (m.end - m.start)) / F.size(tried)
 
         def weighted(m: Column, mean: Column) -> Column:
             def q(b: Column) -> Column:
@@ -158,14 +181,19 @@ def _random_spans(text: Column) -> Column:
 
             return F.struct(m.start.alias("start"), m.end.alias("end"), let(battery(m.match), q).alias("p"))
 
+        def outermost(passed: Column) -> Column:
+            # The whole comes first, then what is left without words, then parts: those inside the first are no secrets of their own.
+            first = F.get(passed, F.lit(0))
+            return F.filter(passed, lambda r: (r.end <= first.start) | (r.start >= first.end) | ((r.start == first.start) & (r.end == first.end)))
+
         def accepted(rows: Column) -> Column:
-            ordered = F.array_sort(F.transform(rows, lambda r: r.p))
+            ordered = F.array_sort(F.transform(F.flatten(rows), lambda r: r.p))
             passed = let(ordered, lambda ps: F.filter(F.transform(ps, lambda p, i: F.when(p <= DISCOVERY_RATE * (i + 1) / F.size(ps), p)), lambda p: p.isNotNull()))
-            return let(F.coalesce(F.array_max(passed), F.lit(-1.0)), lambda level: F.filter(rows, lambda r: r.p <= level))
+            return let(F.coalesce(F.array_max(passed), F.lit(-1.0)), lambda level: F.flatten(F.transform(rows, lambda own: let(F.filter(own, lambda r: r.p <= level), outermost))))
 
-        return let(mean, lambda mean: let(F.transform(found, lambda m: weighted(m, mean)), accepted))
+        return let(mean, lambda mean: let(F.transform(found, lambda own: F.transform(own, lambda m: weighted(m, mean))), accepted))
 
-    found = _matches(text, TOKEN)
+    found = F.transform(_matches(text, TOKEN), _tries)
     empty = F.array().cast("array<struct<start:bigint,end:bigint,p:double>>")
     return let(found, lambda f: F.when(F.size(f) > 0, judged(f)).otherwise(empty))
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -61,6 +62,36 @@ def test_spans_added_and_masked(spark):
     assert secrets.scan_secrets(docs.limit(0)).collect() == []
 
 
+def test_values_joined_to_names(spark):
+    rng = random.Random(4)
+    plain = string.ascii_uppercase + string.ascii_lowercase + string.digits
+    alphabets = {"upper hex": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567", "base62": plain, "base64url": plain + "-_"}
+    names = ["", "key=", "sessionid=", "SESSION_KEY=", "AWS_SECRET_ACCESS_KEY=", "sk_live_", "path/to/the/", "https://example.org/some/path/"]
+    rows, placed = [], {}
+    for name in names:
+        for kind, alphabet in alphabets.items():
+            for _ in range(50):
+                value = "".join(rng.choice(alphabet) for _ in range(40))
+                rows.append((len(rows), f"é so {name}{value} is it"))
+                placed[len(rows) - 1] = name, kind, 5 + len(name), 5 + len(name) + 40
+    ordinary = ["AWS_SECRET_ACCESS_KEY=some_long_snake_case_name", "path/to/internationalization/counterrevolutionaries", "SOME_CONSTANT_NAME_HERE=ANOTHER_CONSTANT_NAME_HERE", "-" * 30_000, "a_" * 15_000, "=" * 100]
+    rows += [(-1 - i, t) for i, t in enumerate(ordinary)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found, count = {}, {}
+    for r in secrets.scan_secrets(docs).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")]
+        if r.doc_id < 0:
+            assert not spans, ordinary[-1 - r.doc_id]
+            continue
+        name, kind, start, end = placed[r.doc_id]
+        count[name, kind] = count.get((name, kind), 0) + 1
+        assert len(spans) < 2
+        # Of a value with separators, letters before the first or behind the last may stay outside.
+        room = 8 if kind == "base64url" else 0
+        found[name, kind] = found.get((name, kind), 0) + any(s <= start + room and e >= end - room for s, e in spans)
+    assert not {k: found[k] for k in count if found[k] < 0.86 * count[k]}
+
+
 def test_running_ends(spark):
     values = [random.Random(3).randint(0, 9) for _ in range(1000)]
     row = spark.createDataFrame([(values,), ([],)], "v array<bigint>").select(secrets.running_ends(F.col("v")).alias("e")).collect()
