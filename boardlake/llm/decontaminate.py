@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds join documents to test items, alignment scores the copies.
+"""Benchmark decontamination: shared n-grams join documents to test items, alignment scores the copies.
 
 Words are runs of letters and digits, lower-cased. A document is a suspect if one of its n-grams may be an item's, by
-a bit table of fixed size (false hits fall out in the join). Of the n-grams of an item that documents have, each
-``SPREAD`` neighbours give their rarest as a seed, so a copy that kept ``SPREAD + n - 1`` words in a row is found, however
-frequent the passage is, while common phrases seldom seed. Seeds give the places where an item may lie in a document;
+a bit table of fixed size (false hits fall out in the join). Every gram of an item is a seed, whatever other documents
+hold, and an item's grams are as long as the run of equal words that any copy must have (:func:`seed_length`), so no
+copy is left out. Seeds give the places where an item may lie in a document; where enough of its words are there too,
 Smith-Waterman alignment over words scores each. A copy has as many aligned equal words as ``similarity`` of the item
 asks (of ``ENOUGH`` words for longer items), and that share of the alignment's columns too.
 
@@ -13,18 +13,19 @@ Equal texts are one from the start, so a leaked page in a third of the rows is a
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.llm.batches import map_rows
 from boardlake.session import staged
 
 GRAM = 5
-SPREAD = 3
 SIMILARITY = 0.8
 ENOUGH = 50
 TABLE_BITS = 26
@@ -38,19 +39,43 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def gram_hashes(words: list[str], n: int) -> np.ndarray:
-    """Hash of the n words from each place on."""
-    if len(words) < n:
-        return np.empty(0, np.uint64)
+def word_hashes(words: list[str]) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    own = np.array([digest(w) for w in words], np.uint64)
-    out = np.zeros(len(words) - n + 1, np.uint64)
+    return np.array([digest(w) for w in words], np.uint64)
+
+
+def mixed(own: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on, from the hashes of the words."""
+    if len(own) < n:
+        return np.empty(0, np.uint64)
+    out = np.zeros(len(own) - n + 1, np.uint64)
     for j in range(n):
         out = out * _BASE + own[j : j + len(out)]
     out = (out ^ (out >> np.uint64(32))) * _MIX
     return out ^ (out >> np.uint64(29))
 
 
+def gram_hashes(words: list[str], n: int) -> np.ndarray:
+    """Hash of the n words from each place on."""
+    return mixed(word_hashes(words), n)
+
+
+def seed_length(words: int, n: int, similarity: float) -> int:
+    """The longest run of equal words, ``n`` at most, that every copy of an item of so many words has.
+
+    A copy with k equal words has at most k (1 - similarity) / similarity other columns, which part them into one run
+    more than that; the longest run has the mean length at least.
+    """
+    if similarity <= 0:
+        return 1
+    least, most = max(1, math.ceil(similarity * min(words, ENOUGH) - 1e-9)), max(words, 1)
+
+    def run(k: int) -> int:
+        return -(-k // (math.floor(k * (1 - similarity) / similarity + 1e-9) + 1))
+
+    return min([n, *map(run, range(min(least, most), most + 1))])
+
+
 def align(item: list[int], passage: list[int]) -> tuple[int, int, int, int, int]:
     """Best local alignment: score, equal words, columns, and the passage's first and end place.
 
@@ -81,8 +106,8 @@ def align(item: list[int], passage: list[int]) -> tuple[int, int, int, int, int]
     return score, equal, columns, int(j), end
 
 
-def _items(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct items of n words or more with the hashes of their grams."""
+def _items(benchmark: DataFrame, n: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """Distinct items of n words or more with the length and hashes of their grams."""
     picked = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).distinct()
 
     def run(batches):
@@ -91,9 +116,10 @@ def _items(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFram
                 words = words_of(text)
                 if len(words) >= n:
                     line = " ".join(words)
-                    yield key, hashlib.sha256(line.encode()).digest(), line, gram_hashes(words, n).view(np.int64).tolist()
+                    width = seed_length(len(words), n, similarity)
+                    yield key, hashlib.sha256(line.encode()).digest(), line, width, gram_hashes(words, width).view(np.int64).tolist()
 
-    return map_rows(picked, run, f"item_id {picked.schema['item_id'].dataType.simpleString()}, item binary, line string, grams array<bigint>", size=512)
+    return map_rows(picked, run, f"item_id {picked.schema['item_id'].dataType.simpleString()}, item binary, line string, width int, grams array<bigint>", size=512)
 
 
 def _bit_table(items: DataFrame) -> np.ndarray:
@@ -106,7 +132,7 @@ def _bit_table(items: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
-def _suspects(docs: DataFrame, table: np.ndarray, n: int, kind: str) -> DataFrame:
+def _suspects(docs: DataFrame, table: np.ndarray, widths: list[int], kind: str) -> DataFrame:
     """Rows with a gram that may be an item's: id, key of the text, words, and the hits (hash and place)."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
     mask = np.uint64((1 << TABLE_BITS) - 1)
@@ -115,27 +141,26 @@ def _suspects(docs: DataFrame, table: np.ndarray, n: int, kind: str) -> DataFram
         bits = shared.value
         for batch in batches:
             for key, text in zip(batch["id"], batch["text"]):
-                words = words_of(text)
-                grams = gram_hashes(words, n)
-                place = grams & mask
-                hits = np.flatnonzero((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
-                if len(hits):
-                    found = [{"hash": h, "at": p} for h, p in zip(grams[hits].view(np.int64).tolist(), hits.tolist())]
+                words, found = words_of(text), []
+                own = word_hashes(words)
+                for width in widths:
+                    grams = mixed(own, width)
+                    place = grams & mask
+                    hits = np.flatnonzero((bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1))
+                    found += [{"hash": h, "at": p} for h, p in zip(grams[hits].view(np.int64).tolist(), hits.tolist())]
+                if found:
                     yield key, hashlib.sha256(text.encode()).digest(), " ".join(words), found
 
     return map_rows(docs, run, f"id {kind}, key binary, line string, hits array<struct<hash:bigint,at:int>>", size=256)
 
 
-def _seeds(items: DataFrame, frequency: DataFrame, spread: int) -> DataFrame:
+def _seeds(items: DataFrame) -> DataFrame:
     """``item``, ``hash`` and the first and last place of each seed."""
     grams = items.dropDuplicates(["item"]).select("item", F.posexplode("grams").alias("at", "hash"))
-    present = grams.join(frequency, "hash")
-    near = Window.partitionBy("item").orderBy("at").rangeBetween(0, spread - 1)
-    rarest = present.select("item", F.min(F.struct("n", "hash")).over(near).getField("hash").alias("hash")).distinct()
-    return grams.join(rarest, ["item", "hash"]).groupBy("item", "hash").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    return grams.groupBy("item", "hash").agg(F.min("at").alias("first"), F.max("at").alias("last"))
 
 
-def find_copies(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, spread: int = SPREAD, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def find_copies(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``id_col``, ``text_key`` (SHA-256), ``item_col``, ``similarity``, ``equal_words``, ``first_word`` and ``end_word`` of every copy found.
 
     One row per document row and item it has a copy of (its best place). Null texts are empty. Items with null or fewer
@@ -144,11 +169,11 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, n: int = GRAM, spread: in
     """
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    items = staged(_items(benchmark, n, item_col, item_text_col), "leak-items")
-    suspects = staged(_suspects(picked, _bit_table(items), n, kind), "leak-suspects")
-    # Frequencies count documents, copies included; hits that are no item's gram have no partner in the join.
-    hashes = suspects.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h.hash))).alias("hash"))
-    seeds = _seeds(items, hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), spread)
+    items = staged(_items(benchmark, n, similarity, item_col, item_text_col), "leak-items")
+    widths = sorted(r.width for r in items.select("width").distinct().collect())
+    # Hits that are no item's gram have no partner in the join.
+    suspects = staged(_suspects(picked, _bit_table(items), widths, kind), "leak-suspects")
+    seeds = _seeds(items)
     texts = suspects.dropDuplicates(["key"])
     places = texts.select("key", F.inline("hits")).join(seeds, "hash")
     spans = places.groupBy("key", "item").agg(F.collect_set(F.struct((F.col("at") - F.col("last")).alias("low"), (F.col("at") - F.col("first")).alias("high"))).alias("spans"))
@@ -170,10 +195,15 @@ class _Align:
                 words = [numbers.setdefault(w, len(numbers)) for w in line.split(" ")]
                 for one in asked:
                     item = [numbers.get(w, -1) for w in one["item_line"].split(" ")]
-                    best = max((self._at(item, words, low, high) for low, high in self._regions(item, one["spans"])), key=lambda r: (r[0], -r[2]))
+                    regions = [(low, high) for low, high in self._regions(item, one["spans"]) if self._may_hold(item, words[max(0, low) : high])]
+                    best = max((self._at(item, words, low, high) for low, high in regions), key=lambda r: (r[0], -r[2]), default=(-1.0, 0, 0, 0))
                     if best[0] >= self.similarity:
                         yield key, one["item"], *best
 
+    def _may_hold(self, item, passage):
+        """Whether the passage has as many of the item's words, in any order, as a copy must have."""
+        return (Counter(item) & Counter(passage)).total() >= self.similarity * min(len(item), ENOUGH) - 1e-9
+
     @staticmethod
     def _regions(item, spans):
         """Places of the document where the item may begin and end, with room for edits; overlapping ones are one."""

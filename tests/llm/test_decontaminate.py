@@ -80,3 +80,34 @@ def test_against_all_pairs(spark):
             best[i, k] = min(equal / len(item), equal / max(columns, 1))
     assert got <= {p for p, s in best.items() if s >= 0.79}
     assert {p for p, s in best.items() if s >= 0.85} <= got
+
+
+def test_edited_copies_beside_exact_ones(spark):
+    """All pairs at the threshold itself; the exact copies make the grams that edited copies kept the frequent ones."""
+    rng = random.Random(4)
+    items = [words(rng, n) for n in (5, 6, 8, 10, 12, 15, 15, 16, 20, 20, 30, 30, 40, 55)]
+    texts = [item[:] for item in items for _ in range(2)]
+    for item in items:
+        for every in (5, 6, 7):
+            texts.append([f"new{rng.random()}"[5:] if i % every == every - 1 else w for i, w in enumerate(item)])
+        for _ in range(12):
+            text = item[:]
+            for i in rng.sample(range(len(item)), len(item) // 5):
+                text[i] = f"e{rng.randint(0, 10**9)}"
+            texts.append(words(rng, 20, 10**6) + text + words(rng, 20, 10**6))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    number = {w: i for i, w in enumerate({w for t in items + texts for w in t})}
+    expected = set()
+    for i, t in enumerate(texts):
+        for k, item in enumerate(items):
+            _, equal, columns, _, _ = leaks.align([number[w] for w in item], [number[w] for w in t])
+            if min(equal / min(len(item), leaks.ENOUGH), equal / max(columns, 1)) >= 0.8:
+                expected.add((i, k))
+    assert {(r.doc_id, r.item_id) for r in leaks.find_copies(docs, bench).collect()} == expected
+    assert len(expected) > 150
+
+
+def test_seed_length():
+    assert [leaks.seed_length(n, 5, 0.8) for n in (5, 6, 10, 15, 16, 30, 50, 300)] == [2, 3, 3, 3, 4, 4, 4, 4]
+    assert leaks.seed_length(30, 5, 1.0) == 5
