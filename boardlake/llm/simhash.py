@@ -13,7 +13,9 @@ over checkpointed edges.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,12 @@ from boardlake.session import staged
 SEED = 42
 DISTANCE = 2
 BANDS = 20
-BAND_SHINGLES = 6
+BAND_SHINGLES = 5
+SHORT = 24  # shingles; sets up to this size have keys that every similar set shares
 BINS = 256
+DEVIATIONS = 4  # by which the bins' estimate may fall short before a pair is out
 BLOCK_ROWS = 8_192
+BLOCK_BYTES = 64 << 20
 _SALTS = [np.uint64(xxhash.xxh64_intdigest(b"order", t)) for t in range(BANDS)]
 _ODD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -175,54 +180,89 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.array([digest(b" ".join(words[i : i + width]), SEED) for i in range(max(1, len(words) - width + 1))], np.uint64))
 
 
-def sketch(hashes: np.ndarray) -> tuple[list[int], bytes]:
+def short_keys(hashes: np.ndarray, similarity: float) -> list[int]:
+    """Keys of a set (ascending) of which two sets as similar as that share one, whatever they hold.
+
+    They have at least ``similarity`` of either in common, of n hashes o. So the n - o + 1 smallest of both have one in
+    common, and with one more of each, two: the keys are the pairs of these (one hash or the pair, if o is 1).
+    """
+    n = len(hashes)
+    least = max(1, math.ceil(similarity * n - 1e-9))
+    together = min(2, least)
+    return [xxhash.xxh64_intdigest(np.array(own, np.uint64).tobytes(), BANDS) - (1 << 63) for own in combinations(hashes[: n - least + together].tolist(), together)]
+
+
+def sketch(hashes: np.ndarray, similarity: float = 0.8) -> tuple[list[int], bytes]:
     """Band keys and bins of a shingle set.
 
     A band key is the SimHash-like mix of the smallest shingles under one of ``BANDS`` orders, so two texts of similarity s
-    share one with probability about s to the power of ``BAND_SHINGLES``. A bin holds 16 bits of the smallest hash in its
-    share of all hashes, 0 if empty; equal bins among those in use estimate the similarity, near exactly for few shingles.
+    share one with probability about s to the power of ``BAND_SHINGLES``. Sets of up to ``SHORT`` shingles have
+    :func:`short_keys` instead, and larger ones that may be similar to such a set have both. A bin holds 16 bits of the
+    smallest hash in its share of all hashes, 0 if empty; equal bins among those in use estimate the similarity.
     """
     bins = np.zeros(BINS, np.uint16)
     if not len(hashes):
         return [], bins.tobytes()
     least = np.sort(hashes)[::-1]
     bins[(least & np.uint64(BINS - 1)).astype(np.int64)] = ((least >> np.uint64(16)) % np.uint64(65_535)).astype(np.uint16) + np.uint16(1)  # the last written is the smallest
-    m = min(BAND_SHINGLES, len(hashes))
-    keys = []
-    for t, salt in enumerate(_SALTS):
-        # Mixed twice: a hash that is small under one order must not tend to be small under the next.
-        order = (hashes ^ salt) * _ODD
-        order = (order ^ (order >> np.uint64(32))) * _OTHER
-        chosen = np.sort(np.partition(order, m - 1)[:m])
-        keys.append(xxhash.xxh64_intdigest(chosen.tobytes(), t) - (1 << 63))
+    keys = short_keys(least[::-1], similarity) if len(hashes) * similarity <= SHORT + 1e-9 else []
+    if len(hashes) > SHORT:
+        for t, salt in enumerate(_SALTS):
+            # Mixed twice: a hash that is small under one order must not tend to be small under the next.
+            order = (hashes ^ salt) * _ODD
+            order = (order ^ (order >> np.uint64(32))) * _OTHER
+            chosen = np.sort(np.partition(order, BAND_SHINGLES - 1)[:BAND_SHINGLES])
+            keys.append(xxhash.xxh64_intdigest(chosen.tobytes(), t) - (1 << 63))
     return keys, bins.tobytes()
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """A shingle set as sorted 32-bit values: equal ones of unlike shingles are rarer than one in 100,000 even for 20,000 of either."""
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+
+def _jaccard(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Jaccard similarity of a sorted set to each of the others; none of them is empty."""
+    sizes = np.array([len(o) for o in others])
+    every = np.concatenate(others)
+    equal = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+    both = np.add.reduceat(equal.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return both / (len(own) + sizes - both)
+
+
 def _similar_links(batches, similarity: float) -> Iterator[tuple[str, str]]:
     """Spanning links of the texts of every part of a bucket, from rows sorted by band key and part."""
 
     def parts():
-        at, keys, bins = None, [], []
+        at, keys, bins, sets = None, [], [], []
         for batch in batches:
-            for band, first, second, key, own in zip(batch["band"], batch["first"], batch["second"], batch["key"], batch["bins"]):
+            for band, first, second, key, own, shingles in zip(batch["band"], batch["first"], batch["second"], batch["key"], batch["bins"], batch["shingles"]):
                 if (band, first, second) != at:
-                    yield keys, bins
-                    at, keys, bins = (band, first, second), [], []
+                    yield keys, bins, sets
+                    at, keys, bins, sets = (band, first, second), [], [], []
                 keys.append(key)
                 bins.append(own)
-        yield keys, bins
+                sets.append(shingles)
+        yield keys, bins, sets
 
-    for keys, bins in parts():
+    for keys, bins, sets in parts():
         if len(keys) < 2:
             continue
         table = np.frombuffer(b"".join(bins), np.uint16).reshape(-1, BINS)
         used, todo = table > 0, np.arange(len(keys))
+        sets = None if sets[0] is None else [np.frombuffer(x, np.uint32) for x in sets]
         while len(todo):
             queue, todo = [todo[0]], todo[1:]
             while queue and len(todo):
                 x = queue.pop()
-                equal = ((table[todo] == table[x]) & used[x]).sum(axis=1)
-                near = equal >= similarity * np.maximum(1, (used[todo] | used[x]).sum(axis=1))
+                equal, either = ((table[todo] == table[x]) & used[x]).sum(axis=1), np.maximum(1, (used[todo] | used[x]).sum(axis=1))
+                if sets is None:
+                    near = equal >= similarity * either
+                else:
+                    # The bins only rule out; what they leave is settled by the sets.
+                    near = equal >= similarity * either - DEVIATIONS * np.sqrt(similarity * (1 - similarity) * either)
+                    if near.any():
+                        near[near] = _jaccard(sets[x], [sets[y] for y in todo[near]]) >= similarity - 1e-9
                 queue.extend(todo[near])
                 for y in todo[near]:
                     yield keys[x], keys[y]
@@ -230,22 +270,25 @@ def _similar_links(batches, similarity: float) -> Iterator[tuple[str, str]]:
 
 
 def similar_links(rows: DataFrame, similarity: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``x`` and ``y``: links that span the groups of similar texts among those that share a band (``key``, ``bands``, ``bins``).
+    """``x`` and ``y``: links that span the groups of similar texts among those that share a band (``key``, ``bands``, ``bins``, ``shingles``).
 
-    A bucket of more than ``block_rows`` texts is dealt into blocks of about that size by a hash, and every two blocks
+    The shingle sets decide (without that column, the estimate of the bins). A bucket of more than ``block_rows`` texts,
+    or ``BLOCK_BYTES`` of shingles, is dealt into blocks of about that size by a hash, and every two blocks
     meet in a part of their own. So no two texts of a bucket are left uncompared, and a part holds about two
     blocks at most, however many texts share a band.
     """
-    bands = rows.select("key", F.explode("bands").alias("band"))
-    counted = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = staged(counted.select("band", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")), "copies-bands")
+    rows = rows if "shingles" in rows.columns else rows.withColumn("shingles", F.lit(None).cast("binary"))
+    bands = rows.select("key", F.coalesce(F.length("shingles"), F.lit(0)).alias("size"), F.explode("bands").alias("band"))
+    counted = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).filter("n > 1")
+    blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    shared = staged(counted.select("band", blocks.cast("int").alias("blocks")), "copies-bands")
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("first"), F.greatest(own, j).alias("second")))
     # Texts of a band in several blocks take part in each pair of blocks with their own.
     placed = bands.join(shared, "band").select("key", "band", F.explode(met).alias("part"))
-    members = placed.select("key", "band", "part.first", "part.second").join(rows.select("key", "bins"), "key")
+    members = placed.select("key", "band", "part.first", "part.second").join(rows.select("key", "bins", "shingles"), "key")
     place = ["band", "first", "second"]
-    dealt = members.select(*place, "key", "bins").repartition(*place).sortWithinPartitions(*place, "key")
+    dealt = members.select(*place, "key", "bins", "shingles").repartition(*place).sortWithinPartitions(*place, "key")
     return map_rows(dealt, lambda batches: _similar_links(batches, similarity), "x string, y string").distinct()
 
 
@@ -254,7 +297,7 @@ def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8,
 
     SimHash fingerprints at ``distance`` or fewer bits link texts by the anchors above. At 64 bits that reaches
     copies with very few edits only, as a similarity of 0.8 leaves about ten bits apart. For the others, smaller
-    fingerprints of samples of the shingles (bands) propose texts, and their bins must agree to ``similarity``.
+    fingerprints of samples of the shingles (bands) propose texts, and the Jaccard similarity of their shingle sets decides; bins rule out most others before.
     Texts without words are alike. Null texts are not expected here.
     """
 
@@ -262,10 +305,10 @@ def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8,
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"]):
                 value = fingerprint(text, width)
-                bands, bins = sketch(shingle_hashes(text, width))
-                yield key, value - (1 << 64) if value >> 63 else value, bands, bins
+                hashes = shingle_hashes(text, width)
+                yield key, value - (1 << 64) if value >> 63 else value, *sketch(hashes, similarity), packed(hashes)
 
-    sketched = map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, fp bigint, bands array<bigint>, bins binary", size=512)
+    sketched = map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, fp bigint, bands array<bigint>, bins binary, shingles binary", size=512)
     rows = staged(sketched.dropDuplicates(["key"]), "copies-sketches")
     points = rows.groupBy("fp").agg(F.min("key").alias("first"))
     links = staged(linked_points(points, distance), "copies-links")

@@ -1,5 +1,6 @@
 """Fingerprints, anchors and groups against brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -120,3 +121,36 @@ def test_bucket_of_many_blocks_loses_no_link(spark):
         found = {(r.x, r.y) for r in simhash.similar_links(rows, 0.8, block_rows).collect()}
         assert found <= near
         assert reach(found) == reach(near)
+
+
+def test_near_copies_at_the_threshold(spark):
+    """Pairs of short and long texts on both sides of similarity 0.8; all pairs are their own."""
+    rng = random.Random(11)
+
+    def fresh(n):
+        return [f"w{rng.randint(0, 10**9)}" for _ in range(n)]
+
+    def shingles(words):
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    pairs = [(t, t[:-1]) for n in (9, 10, 12, 18, 26, 30) for t in [fresh(n) for _ in range(4)]] + [(t, t[1:]) for n in (9, 10, 14, 28) for t in [fresh(n) for _ in range(4)]]
+    for _ in range(150):
+        text = fresh(rng.randint(50, 600))
+        copy = text + fresh(round(len(text) * rng.uniform(0.2, 0.27)))
+        pairs.append((text, copy))
+    rows = [(f"{i:03d}{side}", " ".join(t)) for i, pair in enumerate(pairs) for side, t in zip("ab", pair)]
+    label = {r.key: r.label for r in simhash.near_copy_groups(spark.createDataFrame(rows, "key string, text string")).collect()}
+    near = {i for i, (x, y) in enumerate(map(lambda p: map(shingles, p), pairs)) if len(x & y) / len(x | y) >= 0.8}
+    assert {i for i in range(len(pairs)) if label[f"{i:03d}a"] == label[f"{i:03d}b"]} == near
+    assert 90 < len(near) < len(pairs) - 40
+    assert all(label[f"{i:03d}{s}"][:3] == f"{i:03d}" for i in range(len(pairs)) for s in "ab")
+
+
+def test_short_keys_are_shared():
+    rng = np.random.default_rng(12)
+    for _ in range(2_000):
+        own = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 31)).astype(np.uint64))
+        kept = rng.permutation(own)[: max(1, math.ceil(0.8 * len(own)))]
+        other = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(0, 3)).astype(np.uint64)]))
+        if len(kept) / len(np.union1d(own, other)) >= 0.8:
+            assert {*simhash.short_keys(own, 0.8)} & {*simhash.short_keys(other, 0.8)}
