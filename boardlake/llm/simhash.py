@@ -222,11 +222,14 @@ def packed(hashes: np.ndarray) -> bytes:
 
 
 def _jaccard(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Jaccard similarity of a sorted set to each of the others; none of them is empty."""
+    """Jaccard similarity of a sorted set to each of the others; empty sets are alike."""
     sizes = np.array([len(o) for o in others])
+    if not len(own):
+        return (sizes == 0).astype(float)
     every = np.concatenate(others)
     equal = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
-    both = np.add.reduceat(equal.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    until, ends = np.concatenate([[0], np.cumsum(equal)]), np.cumsum(sizes)
+    both = until[ends] - until[ends - sizes]
     return both / (len(own) + sizes - both)
 
 
@@ -295,9 +298,9 @@ def similar_links(rows: DataFrame, similarity: float, block_rows: int = BLOCK_RO
 def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
     """``key`` and ``label`` of distinct texts (``key``, ``text``): equal labels for near copies.
 
-    SimHash fingerprints at ``distance`` or fewer bits link texts by the anchors above. At 64 bits that reaches
+    SimHash fingerprints at ``distance`` or fewer bits propose texts by the anchors above. At 64 bits that reaches
     copies with very few edits only, as a similarity of 0.8 leaves about ten bits apart. For the others, smaller
-    fingerprints of samples of the shingles (bands) propose texts, and the Jaccard similarity of their shingle sets decides; bins rule out most others before.
+    fingerprints of samples of the shingles (bands) propose texts. Whoever proposes, the Jaccard similarity of their shingle sets decides; bins rule out most others before.
     Texts without words are alike. Null texts are not expected here.
     """
 
@@ -310,11 +313,11 @@ def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8,
 
     sketched = map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, fp bigint, bands array<bigint>, bins binary, shingles binary", size=512)
     rows = staged(sketched.dropDuplicates(["key"]), "copies-sketches")
-    points = rows.groupBy("fp").agg(F.min("key").alias("first"))
-    links = staged(linked_points(points, distance), "copies-links")
-    by_bits = links.join(points.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(points.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
-    same_bits = rows.join(points, "fp").filter("key > first").select(F.col("first").alias("x"), F.col("key").alias("y"))
-    similar = similar_links(rows, similarity)
-    edges = staged(by_bits.unionByName(same_bits).unionByName(similar), "copies-edges")
+    links = staged(linked_points(rows.select("fp").distinct(), distance), "copies-links")
+    # Linked fingerprints are one more band: they count repeats, so texts that share a filler only may have them too.
+    linked = component_labels(links, "a", "b").select(F.col("node").alias("fp"), F.col("label").alias("bits"))
+    by_bits = F.xxhash64(F.lit("bits"), F.coalesce("bits", "fp"))
+    proposed = rows.join(linked, "fp", "left").select("key", F.concat("bands", F.array(by_bits)).alias("bands"), "bins", "shingles")
+    edges = staged(similar_links(proposed, similarity), "copies-edges")
     labels = component_labels(edges, "x", "y").withColumnRenamed("node", "key")
     return rows.select("key").join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))

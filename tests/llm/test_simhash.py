@@ -154,3 +154,14 @@ def test_short_keys_are_shared():
         other = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, rng.integers(0, 3)).astype(np.uint64)]))
         if len(kept) / len(np.union1d(own, other)) >= 0.8:
             assert {*simhash.short_keys(own, 0.8)} & {*simhash.short_keys(other, 0.8)}
+
+
+def test_equal_fingerprints_of_unlike_texts(spark):
+    rng = random.Random(13)
+    texts = [" ".join(["na"] * 80 + [f"w{rng.randint(0, 10**9)}" for _ in range(20)]) for _ in range(6)]
+    assert len({simhash.fingerprint(t.encode(), 5) for t in texts}) == 1
+    rows = list(enumerate([*texts, texts[0] + " na", "", " ", "\n"]))
+    frame = spark.createDataFrame([(f"{i}", t) for i, t in rows], "key string, text string")
+    label = {r.key: r.label for r in simhash.near_copy_groups(frame).collect()}
+    assert len(label) == 10 and len({label[str(i)] for i in range(6)}) == 6
+    assert label["6"] == label["0"] and label["7"] == label["8"] == label["9"] != label["0"]
