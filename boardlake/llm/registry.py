@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.llm import decontaminate, mixing, multi_index, oracles, secrets, simhash, suffix_dedup, superkmer, tokens, toxicity, warc
+from boardlake.llm import bitplanes, decontaminate, language, mixing, multi_index, oracles, repair, secrets, simhash, suffix_dedup, superkmer, tokens, toxicity, warc
 from boardlake.session import scratch_path, ship_package
 
 
@@ -59,7 +59,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(warc.assemble(warc.read_records(spark, path)))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_multi_index, op4_secrets, op5_tokens, op6_decontaminate, op7_suffix_dedup, op8_mixing, op9_superkmer, op10_warc)}
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.damage(table(spark, sf_dir, "conversations"))
+    return repair.repair_conversations(rows).withColumnRenamed("id", "conv_id")
+
+
+def op12_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplanes.with_inertia(*bitplanes.cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    named = F.coalesce("nearest", F.lit(language.UNKNOWN)).alias("lang_pred")
+    return found.select(F.col("id").alias("doc_id"), (~language.may_learn(F.col("id"))).alias("held_out"), named, "score", "rejected")
+
+
+OPERATORS = (
+    op1_toxicity, op2_simhash, op3_multi_index, op4_secrets, op5_tokens, op6_decontaminate, op7_suffix_dedup, op8_mixing, op9_superkmer,
+    op10_warc, op11_repair, op12_bitplanes, op13_language,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 
 def _prepared(function):

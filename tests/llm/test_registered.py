@@ -17,6 +17,7 @@ COLUMNS = {
     "op4_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op5_tokens": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op7_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op13_language": ["doc_id", "held_out", "lang_pred", "score"],
 }
 
 
@@ -31,4 +32,4 @@ def test_query(spark, key):
 
 
 def test_every_operator_is_registered():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)]
