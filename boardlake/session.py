@@ -58,12 +58,17 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/boardlake-{spark.sparkContext.applicationId}"
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove all staged data of this application. Frames that still read it must not be used after."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system. Frames that still read it must not be used after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all staged data of this application."""
+    remove_folder(spark, scratch_folder(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
