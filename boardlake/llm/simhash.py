@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from boardlake.llm.batches import map_arrays, map_rows
 from boardlake.llm.components import component_labels
-from boardlake.session import staged
+from boardlake.session import remove_folder, scratch_path, staged
 
 SEED = 42
 DISTANCE = 2
@@ -36,6 +36,7 @@ BINS = 256
 DEVIATIONS = 4  # by which the bins' estimate may fall short before a pair is out
 BLOCK_ROWS = 8_192
 BLOCK_BYTES = 64 << 20
+REMEMBERED = 1 << 18  # shingle sets a task knows again
 _SALTS = [np.uint64(xxhash.xxh64_intdigest(b"order", t)) for t in range(BANDS)]
 _ODD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -281,6 +282,7 @@ def similar_links(rows: DataFrame, similarity: float, block_rows: int = BLOCK_RO
     blocks at most, however many texts share a band.
     """
     rows = rows if "shingles" in rows.columns else rows.withColumn("shingles", F.lit(None).cast("binary"))
+    kind = rows.schema["key"].dataType.simpleString()
     bands = rows.select("key", F.coalesce(F.length("shingles"), F.lit(0)).alias("size"), F.explode("bands").alias("band"))
     counted = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).filter("n > 1")
     blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("bytes") / BLOCK_BYTES))
@@ -288,36 +290,86 @@ def similar_links(rows: DataFrame, similarity: float, block_rows: int = BLOCK_RO
     own = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(own, j).alias("first"), F.greatest(own, j).alias("second")))
     # Texts of a band in several blocks take part in each pair of blocks with their own.
-    placed = bands.join(shared, "band").select("key", "band", F.explode(met).alias("part"))
-    members = placed.select("key", "band", "part.first", "part.second").join(rows.select("key", "bins", "shingles"), "key")
+    carried = rows.select("key", "bins", "shingles", F.explode("bands").alias("band")).join(shared, "band")
     place = ["band", "first", "second"]
-    dealt = members.select(*place, "key", "bins", "shingles").repartition(*place).sortWithinPartitions(*place, "key")
-    return map_rows(dealt, lambda batches: _similar_links(batches, similarity), "x string, y string").distinct()
+    members = carried.select("key", "bins", "shingles", "band", F.explode(met).alias("part")).select("band", "part.first", "part.second", "key", "bins", "shingles")
+    dealt = members.repartition(*place).sortWithinPartitions(*place, "key")
+    return map_rows(dealt, lambda batches: _similar_links(batches, similarity), f"x {kind}, y {kind}").distinct()
 
 
-def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
-    """``key`` and ``label`` of distinct texts (``key``, ``text``): equal labels for near copies.
+def _sketched(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``key``, ``set`` (digest of the shingle set), ``fp``, ``bands``, ``bins``, ``shingles`` per row.
 
-    SimHash fingerprints at ``distance`` or fewer bits propose texts by the anchors above. At 64 bits that reaches
-    copies with very few edits only, as a similarity of 0.8 leaves about ten bits apart. For the others, smaller
-    fingerprints of samples of the shingles (bands) propose texts. Whoever proposes, the Jaccard similarity of their shingle sets decides; bins rule out most others before.
-    Texts without words are alike. Null texts are not expected here.
+    A task writes the last four once for each set it meets (null after that; what it remembers is bounded), so exact copies and copies that differ in
+    spaces or case only are not carried on.
     """
 
     def run(batches):
+        known: set[bytes] = set()
         for batch in batches:
             for key, text in zip(batch["key"], batch["text"]):
-                value = fingerprint(text, width)
                 hashes = shingle_hashes(text, width)
-                yield key, value - (1 << 64) if value >> 63 else value, *sketch(hashes, similarity), packed(hashes)
+                digest = xxhash.xxh128_digest(hashes.tobytes())
+                # Fingerprints count repeats, so equal sets may have several.
+                value = fingerprint(text, width)
+                value -= (1 << 64) if value >> 63 else 0
+                if (digest, value) in known:
+                    yield key, digest, None, None, None, None
+                    continue
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known.add((digest, value))
+                yield key, digest, value, *sketch(hashes, similarity), packed(hashes)
+
+    return map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, set binary, fp bigint, bands array<bigint>, bins binary, shingles binary", size=512)
+
+
+def _units(bands: DataFrame, block_rows: int) -> DataFrame:
+    """``set`` and ``units``: where each set that shares a band with another meets the others.
 
-    sketched = map_rows(texts.select("key", F.col("text").cast("binary").alias("text")), run, "key string, fp bigint, bands array<bigint>, bins binary, shingles binary", size=512)
-    rows = staged(sketched.dropDuplicates(["key"]), "copies-sketches")
-    links = staged(linked_points(rows.select("fp").distinct(), distance), "copies-links")
+    Sets joined by shared bands, directly or through others, are a cluster. Those of a cluster that fits a block meet once, as one unit:
+    near copies share most of their bands, and would meet again in each. Those of a larger cluster meet by their bands.
+    """
+    first = bands.groupBy("band").agg(F.min("set").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "first")
+    shared = staged(bands.join(first, "band"), "copies-shared")
+    clusters = component_labels(shared, "set", "first").withColumnRenamed("node", "set")
+    sizes = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    placed = staged(clusters.join(sizes, "label").select("set", "label", (F.col("n") <= block_rows).alias("small")), "copies-clusters")
+    small = placed.filter("small").select("set", F.array(F.xxhash64(F.lit("cluster"), "label")).alias("units"))
+    large = shared.join(placed.filter("NOT small"), "set", "left_semi").groupBy("set").agg(F.collect_set("band").alias("units"))
+    return small.unionByName(large)
+
+
+def near_copy_groups(texts: DataFrame, width: int = 5, similarity: float = 0.8, distance: int = DISTANCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``key`` and ``label`` of texts (``key``, ``text``): equal labels for near copies. A key stands for one text; rows may repeat.
+
+    SimHash fingerprints at ``distance`` or fewer bits propose texts by the anchors above. At 64 bits that reaches
+    copies with very few edits only, as a similarity of 0.8 leaves about ten bits apart. For the others, smaller
+    fingerprints of samples of the shingles (bands) propose texts. Whoever proposes, the Jaccard similarity of their shingle sets decides; bins rule out most others before.
+    Texts of equal shingle sets are one from the start, and a set travels to where it is compared once, not once for each of its bands.
+    Texts without words are alike. Null texts are not expected here.
+    """
+    spark, path = texts.sparkSession, scratch_path(texts.sparkSession, "copies-sketches")
+    sketches = _sketched(texts, width, similarity)
+    sketches.write.parquet(path)
+    sketches = spark.read.schema(sketches.schema).parquet(path)
+    sketched = sketches.filter("fp IS NOT NULL")
+    links = staged(linked_points(sketched.select("fp").distinct(), distance), "copies-links")
     # Linked fingerprints are one more band: they count repeats, so texts that share a filler only may have them too.
     linked = component_labels(links, "a", "b").select(F.col("node").alias("fp"), F.col("label").alias("bits"))
     by_bits = F.xxhash64(F.lit("bits"), F.coalesce("bits", "fp"))
-    proposed = rows.join(linked, "fp", "left").select("key", F.concat("bands", F.array(by_bits)).alias("bands"), "bins", "shingles")
-    edges = staged(similar_links(proposed, similarity), "copies-edges")
-    labels = component_labels(edges, "x", "y").withColumnRenamed("node", "key")
-    return rows.select("key").join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+    bands = sketched.select("set", F.explode("bands").alias("band")).unionByName(sketched.select("set", "fp").join(linked, "fp", "left").select("set", by_bits.alias("band")))
+    units = _units(bands.distinct(), block_rows)
+    # Tasks that met the same set wrote it each for itself: one is taken.
+    carried = sketched.select("set", "bins", "shingles").join(units, "set").groupBy("set").agg(F.first("units").alias("bands"), F.first("bins").alias("bins"), F.first("shingles").alias("shingles"))
+    members = scratch_path(spark, "copies-members")
+    carried = carried.withColumnRenamed("set", "key")
+    carried.write.parquet(members)
+    edges = staged(similar_links(spark.read.schema(carried.schema).parquet(members), similarity, block_rows), "copies-edges")
+    labels = component_labels(edges, "x", "y").withColumnRenamed("node", "set")
+    named = sketches.select("key", "set").distinct().join(labels, "set", "left").select("key", F.coalesce("label", "set").alias("group"))
+    least = named.groupBy("group").agg(F.min("key").alias("label"))
+    found = staged(named.join(least, "group").select("key", "label"), "copies-groups")
+    for folder in (path, members):
+        remove_folder(spark, folder)
+    return found

@@ -40,19 +40,19 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, w
     links, and a link counts if the shingle sets are similar. Null and empty texts are one group.
     """
     ship_package(spark)
-    key, group, rank = _fresh("text_key", docs), _fresh("text_group", docs), _fresh("text_rank", docs)
+    key, group, rank, ident = (_fresh(name, docs) for name in ("text_key", "text_group", "text_rank", "row_ident"))
     keyed = docs.withColumn(key, F.sha2(_text(docs), 256))
+    # A row's text and id as one column, so that the join and the choice among repeated rows use one and the same shuffle.
+    named = F.concat(F.col(key), F.coalesce(F.concat(F.lit(":"), F.col("doc_id").cast("string")), F.lit("")))
     groups = simhash.near_copy_groups(keyed.select(F.col(key).alias("key"), _text(docs).alias("text")), width, similarity)
     groups = groups.select(F.col("key").alias(key), F.col("label").alias(group))
     # The representative is chosen on small rows: the id and the key of the text.
-    best = staged(keyed.select(key, "doc_id").join(groups, key).groupBy(group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"))).alias(rank)), "dedup-kept")
-    kept = best.select(F.col(f"{rank}.key").alias(key), F.col(f"{rank}.id").alias(rank))
-    joined = keyed.alias("d").join(kept.alias("k"), (F.col(f"d.{key}") == F.col(f"k.{key}")) & F.col("d.doc_id").eqNullSafe(F.col(f"k.{rank}")), "left_semi")
-    # Rows left with one key have one text and id: repeated rows, of which one stays.
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.min(F.struct(*[F.col(c) for c in others])).alias(rank) if others else F.lit(None).alias(rank)
-    one = joined.groupBy(key, "doc_id", "text").agg(row)
-    return one.select(*[F.col(c) if c in ("doc_id", "text") else F.col(rank).getField(c).alias(c) for c in docs.columns])
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key"), named.alias("ident"))
+    best = keyed.select(key, "doc_id").join(groups, key).groupBy(group).agg(F.min(order).alias(rank))
+    kept = staged(best.select(F.col(f"{rank}.ident").alias(ident)), "dedup-kept")
+    # Rows left with one name have one text and id: repeated rows, of which one stays.
+    row = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias(rank)
+    return keyed.withColumn(ident, named).join(kept, ident, "left_semi").groupBy(ident).agg(row).select(F.col(f"{rank}.*"))
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
