@@ -78,26 +78,37 @@ def row_edits(initial: str, doomed: bool, truncated: bool, more: int) -> list[tu
     return found
 
 
-def segment_edits(rows: list[list[tuple[int, int, int, str]]]) -> dict[tuple[int, int], tuple[int, str]]:
-    """Best (cost, edits) of a segment for every entry and exit state, from the edits of its rows."""
+def _inserted(item: Item, weight: Weight) -> Iterator[tuple[Weight, Item]]:
+    """What one insert before ``item`` gives."""
+    i, p = item
+    for role in ROLES:
+        for before in STATES:
+            if STEP.get((before, role)) == p:
+                yield (weight[0] + INSERT, weight[1], "I" + weight[2]), (i, before)
+
+
+def segment_edits(rows: list[list[tuple[int, int, int, str]]], opens: bool = False, closes: bool = False) -> dict[tuple[int, int], tuple[int, str]]:
+    """Best (cost, edits) of a segment for every entry and exit state, from the edits of its rows.
+
+    A segment that is known to open its conversation is entered in ``START`` only. One that is known to close it has its last
+    inserts in its edits, and its exit is named ``START``, from where nothing is left to do.
+    """
     n, best = len(rows), {}
     into = [{q: [e for e in edits if e[1] == q] for q in STATES} for edits in rows]
+    entries = {(0, p) for p in ((START,) if opens else STATES)}
 
     def deduce(item: Item, weight: Weight, done: dict) -> Iterator[tuple[Weight, Item]]:
         i, p = item
         cost, read, edits = weight
-        if i < n:
-            for role in ROLES:
-                for before in STATES:
-                    if STEP.get((before, role)) == p:
-                        yield (cost + INSERT, read, "I" + edits), (i, before)
+        if i < n or closes:
+            yield from _inserted(item, weight)
         if i:
             for before, _, more, letters in into[i - 1][p]:
                 yield (cost + more, read + 1, letters + edits), (i - 1, before)
 
-    for exit_ in STATES:
-        for (_, entry), (cost, _, edits) in lightest([((0, 0, ""), (n, exit_))], deduce, {(0, p) for p in STATES}).items():
-            best[entry, exit_] = cost, edits
+    for exits in [ACCEPTED] if closes else [(q,) for q in STATES]:
+        for (_, entry), (cost, _, edits) in lightest([((0, 0, ""), (n, q)) for q in exits], deduce, entries).items():
+            best[entry, exits[0]] = cost, edits
     return best
 
 
@@ -132,10 +143,7 @@ def whole_edits(segments: list[dict]) -> tuple[int, str]:
         kind, p = item
         cost, read, edits = weight
         if kind == "rest":
-            for role in ROLES:
-                for before in STATES:
-                    if STEP.get((before, role)) == p:
-                        yield (cost + INSERT, read, "I" + edits), ("rest", before)
+            yield from _inserted(item, weight)
             for (entry, exit_), (more, letters) in (segments[0] if segments else {}).items():
                 if exit_ == p and entry == START:
                     yield (cost + more, read + 1, letters + edits), ("whole", START)
@@ -186,7 +194,7 @@ ORDER = ["turn_known", "turn", "role", "content"]
 _SEGMENT = "part int, seq bigint, low {turn}, high {turn}, turns bigint, opens string, closes string, rows bigint, blank bigint, again bigint, truncated bigint, illegal bigint, entries array<int>, exits array<int>, costs array<bigint>, edits array<string>"
 
 
-def _segment(number: int, rows: list[tuple]) -> tuple:
+def _segment(number: int, rows: list[tuple], is_first: bool, is_last: bool) -> tuple:
     """Counts and best edits of neighbouring rows of one conversation: (turn, initial, n, blank, again, truncated)."""
     low = high = opens = closes = None
     turns = total = blank = again = cut = illegal = 0
@@ -206,7 +214,7 @@ def _segment(number: int, rows: list[tuple]) -> tuple:
             again += n if is_again else n - 1
             cut += is_cut and not is_again
         edits.append(row_edits(initial, is_blank or is_again, is_cut, n - 1))
-    best = segment_edits(edits) if edits else {}
+    best = segment_edits(edits, is_first, is_last) if edits else {}
     states = sorted(best)
     return (
         TaskContext.get().partitionId(), number, low, high, turns, opens, closes, total, blank, again, cut, illegal,
@@ -216,15 +224,16 @@ def _segment(number: int, rows: list[tuple]) -> tuple:
 
 def _segments(batches: Iterator[dict[str, list]], run: int) -> Iterator[tuple]:
     number, held, at = 0, [], None
+    is_first = False  # the first conversation of a task may have begun in another one, its last may go on
     for batch in batches:
         for key, *row in zip(*(batch[c] for c in ("id", "turn", "initial", "n", "blank", "again", "truncated"))):
             if held and (key != at or len(held) >= run):
-                yield at, *_segment(number, held)
-                number, held = number + 1, []
+                yield at, *_segment(number, held, is_first, key != at)
+                number, held, is_first = number + 1, [], key != at
             at = key
             held.append(tuple(row))
     if held:
-        yield at, *_segment(number, held)
+        yield at, *_segment(number, held, is_first, False)
 
 
 def _combined(batches: Iterator[dict[str, list]]) -> Iterator[tuple]:
