@@ -30,6 +30,7 @@ PER_LANGUAGE = 400
 SAMPLE_ROWS = 4_000
 CENTROIDS = 4  # of a language
 SHIFTS = 12  # rounds of k-means
+PARTS = 64
 SLACK = 0.5  # a language's radius ends at this share of the smallest cosine of its sample with their centroids
 CHUNK = 1 << 18  # characters taken at a time, so that memory does not grow with a text
 UNKNOWN = "und"
@@ -115,9 +116,12 @@ def _document_frequencies(texts: DataFrame, buckets: int) -> tuple[np.ndarray, i
 
 def _sample(texts: DataFrame, per_language: int, rows: int) -> DataFrame:
     """``lang``, ``text``: the distinct texts of each language whose hashes are smallest, languages taking turns up to ``rows``."""
-    hashed = texts.select("lang", F.xxhash64("text").alias("h"))
+    hashed = texts.select("lang", F.xxhash64("text").alias("h")).distinct()
+    # A language that has most rows is cut in parts first, each by a task of its own.
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = hashed.distinct().withColumn("turn", turn).filter(F.col("turn") <= per_language).orderBy("turn", "h", "lang").limit(rows)
+    chosen = hashed.withColumn("part", part).filter(F.col("part") <= per_language).withColumn("turn", turn).filter(F.col("turn") <= per_language)
+    chosen = chosen.orderBy("turn", "h", "lang").limit(rows)
     last = chosen.groupBy("lang").agg(F.max("h").alias("last"))
     # Repeated texts merge in each task, so a text that fills the table travels once a task.
     return texts.withColumn("h", F.xxhash64("text")).join(last, "lang").filter("h <= last").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
