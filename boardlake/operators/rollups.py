@@ -77,6 +77,14 @@ def freshness_by_entity(sync_state: DataFrame, now: Column, stale_after_ms: int
     return last.withColumn("state", freshness_state(F.col("last_sync_at"), now, stale_after_ms))
 
 
+def freshness_of_commits(ledger: DataFrame, scope: list[str], now: Column, stale_after_ms: int = STALE_AFTER_MS) -> DataFrame:
+    """State of a streamed mirror from its commit ledger: per ``scope`` and entity the newest commit, its batch and the rows of all commits."""
+    newest = F.max(F.struct("committed_at", "batch"))
+    found = ledger.groupBy(*scope, "entity").agg(newest.alias("_newest"), F.sum("rows").alias("rows"))
+    last = F.col("_newest.committed_at")
+    return found.select(*scope, "entity", "rows", F.col("_newest.batch").alias("batch"), last.alias("last_commit_at"), relative_time(last, now).alias("last_commit"), freshness_state(last, now, stale_after_ms).alias("state"))
+
+
 def list_sync_state(sync_state: DataFrame) -> DataFrame:
     return with_columns_of(sync_state, SYNC_STATE_FIELDS).select(*SYNC_STATE_KEYS, *SYNC_STATE_FIELDS).orderBy(*SYNC_STATE_KEYS)
 

@@ -64,6 +64,16 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_names(spark: SparkSession, folder: str, mark: str | None = None) -> list[str]:
+    """Names of the folders in a folder, of those that hold a file ``mark`` if one is named; none if the folder is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [entry.getPath() for entry in files.listStatus(path) if entry.isDirectory()]
+    return [p.getName() for p in found if mark is None or files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, mark))]
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all staged data of this application."""
     remove_folder(spark, scratch_folder(spark))
