@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import strip_slashes
-from boardlake.functions.timing import instant
+from boardlake.functions.timing import duration_ms, instant, millis
 from boardlake.operators.grouping import latest_per_key
 from boardlake.schemas import ACTIVE_STATUSES, SYNC_STATE_FIELDS, SYNC_STATE_KEYS
 
@@ -121,6 +121,13 @@ def drop_orphans(comments: DataFrame, issues: DataFrame, companies: DataFrame) -
     return comments.join(scope, "company_id", "left_anti").select(*comments.columns).unionByName(checked.select(*comments.columns))
 
 
+def orphaned(comments: DataFrame, issues: DataFrame, companies: DataFrame) -> DataFrame:
+    """The comments that ``drop_orphans`` drops."""
+    scope = companies.select("company_id").distinct()
+    alive = issues.join(scope, "company_id", "left_semi").select(F.col("id").alias("issue_id"), "company_id")
+    return comments.join(scope, "company_id", "left_semi").join(alive, ["issue_id", "company_id"], "left_anti")
+
+
 def replace_threads(
     comments: DataFrame, hydrated: DataFrame, fetched: DataFrame, order: list[Column | str] | None = None, protected: DataFrame | None = None
 ) -> DataFrame:
@@ -207,19 +214,38 @@ def dedupe_targets(targets: DataFrame) -> DataFrame:
     return latest_per_key(usable, ["api_base", "company_id"], ["position"], first=True)
 
 
-def plan_sync(targets: DataFrame, sync_state: DataFrame, full: bool = False, since: str | None = None) -> DataFrame:
+def plan_sync(
+    targets: DataFrame,
+    sync_state: DataFrame,
+    full: bool = False,
+    since: str | None = None,
+    skip_younger_than: str | None = None,
+    now: Column | None = None,
+    by_target: bool = False,
+) -> DataFrame:
     """Mode and lower bound per target: full without a stored cursor or on request, else incremental.
 
     ``since`` beats the cursor. A bounded pull is recorded as incremental, since it never sees the
-    older rows.
+    older rows. ``skip_younger_than`` (a duration) adds ``skipped``: whether the newest good step of the whole state, or with
+    ``by_target`` that of the target, is younger than that at ``now``. A state without a good step is never fresh.
     """
     cursors = sync_state.filter(F.col("entity") == "issues").select("profile", "company_id", "cursor")
     planned = targets.join(cursors, ["profile", "company_id"], "left")
     wants_full = F.lit(full) | F.col("cursor").isNull() | (F.col("cursor") == "")
     if since is not None:
-        return planned.withColumn("mode", F.lit("incremental")).withColumn("since", F.lit(since))
-    mode = F.when(wants_full, F.lit("full")).otherwise(F.lit("incremental"))
-    return planned.withColumn("mode", mode).withColumn("since", F.when(~wants_full, F.col("cursor")))
+        planned = planned.withColumn("mode", F.lit("incremental")).withColumn("since", F.lit(since))
+    else:
+        mode = F.when(wants_full, F.lit("full")).otherwise(F.lit("incremental"))
+        planned = planned.withColumn("mode", mode).withColumn("since", F.when(~wants_full, F.col("cursor")))
+    if skip_younger_than is None:
+        return planned
+    keys = ["profile", "company_id"] if by_target else []
+    good = F.max(F.when(F.col("last_status") == "ok", F.col("last_sync_at"))).alias("_last")
+    newest = sync_state.groupBy(*keys).agg(good)
+    last = F.col("_last") if by_target else newest.scalar()
+    known = planned.join(newest, keys, "left") if by_target else planned
+    age = F.unix_millis(now if now is not None else F.current_timestamp()) - millis(last)
+    return known.withColumn("skipped", F.coalesce(age < duration_ms(F.lit(skip_younger_than)), F.lit(False))).drop("_last")
 
 
 def fallback_rows(primary: DataFrame, fallback: DataFrame, key: str = "id") -> DataFrame:

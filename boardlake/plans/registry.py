@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from boardlake.plans.views import with_views
 from boardlake.session import ship_package
 
-_MODULES = ["read_queries", "sync_queries", "search_queries", "audit_queries", "stream_queries"]
+_MODULES = ["read_queries", "sync_queries", "delta_queries", "search_queries", "audit_queries", "stream_queries"]
 
 
 def _loaded():

@@ -266,14 +266,33 @@ SELECT 'p-' || c_custkey AS profile, 'us-' || c_custkey AS company_id, u.cursor,
 FROM customer LEFT JOIN cursors u ON u.user_id = c_custkey""",
 )
 def sync_plan(spark, sf):
+    return U.plan_sync(*_plan_input(spark, sf))
+
+
+@register(
+    "sync_plan_fresh",
+    f"""WITH users AS (SELECT user_id, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%gZ') AS cursor, max(ts) FILTER (WHERE event_type <> 'error') AS good FROM events GROUP BY user_id)
+SELECT 'p-' || c_custkey AS profile, 'us-' || c_custkey AS company_id, u.cursor, CASE WHEN u.cursor IS NULL THEN 'full' ELSE 'incremental' END AS mode,
+  u.cursor AS since, coalesce(epoch_ms(TIMESTAMP '{NOW[:19]}') - epoch_ms(date_trunc('milliseconds', good)) < 14 * 86400000, false) AS skipped
+FROM customer LEFT JOIN users u ON u.user_id = c_custkey""",
+)
+def sync_plan_fresh(spark, sf):
+    """The plan with the targets that a run may leave out, as their newest good step is younger than two weeks."""
+    targets, state = _plan_input(spark, sf)
+    return U.plan_sync(targets, state, skip_younger_than="14d", now=instant(F.lit(NOW)), by_target=True)
+
+
+def _plan_input(spark, sf):
     def target(column):
         number = F.col(column).cast("string")
         return F.concat(F.lit("p-"), number).alias("profile"), F.concat(F.lit("us-"), number).alias("company_id")
 
     targets = table(spark, sf, "customer").select(*target("c_custkey"))
-    newest = table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("ts"))
-    state = newest.select(*target("user_id"), F.lit("issues").alias("entity"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("cursor"))
-    return U.plan_sync(targets, state)
+    good = F.max(F.when(F.col("event_type") != "error", F.col("ts")))
+    newest = table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("ts"), good.alias("good"))
+    text = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+    step = [F.date_format("ts", text).alias("cursor"), F.date_format("good", text).alias("last_sync_at"), F.when(F.col("good").isNotNull(), "ok").alias("last_status")]
+    return targets, newest.select(*target("user_id"), F.lit("issues").alias("entity"), *step)
 
 
 @register(
@@ -443,14 +462,14 @@ def _run(spark, sf) -> SyncResult:
     return _done[key]
 
 
-def _sync(spark, sf) -> SyncResult:
+def _sync(spark, sf, **options) -> SyncResult:
     path = scratch_path(spark, "landed")
     upstream_pages(spark, sf).write.json(path)
     targets = view(spark, sf, "companies").select(
         F.substring_index("id", "-", -1).cast("bigint").alias("position"), F.concat(F.lit("p-"), "id").alias("profile"),
         F.concat("api_base", F.lit("/")).alias("api_base"), F.col("id").alias("company_id"),
     )
-    return sync_run(stored_tables(spark, sf), read_pages(spark, path), targets, NOW, full=True)
+    return sync_run(stored_tables(spark, sf), read_pages(spark, path), targets, NOW, full=True, **options)
 
 
 _RUN_SQL = f"""current AS (
@@ -514,6 +533,13 @@ def run_results(spark, sf):
     return _run(spark, sf).results.select("company_id", "mode", "status", "issues_changed", "comments_hydrated")
 
 
+@register("sync_run_skipping", f"SELECT * FROM ({ORACLES['sync_run_results']}) AS results WHERE company_id IN (SELECT id FROM companies WHERE 1 + length(name) % 9 <= 7)")
+def run_skipping(spark, sf):
+    """Results of a run that leaves out the companies with a good step in the last two days."""
+    results = _sync(spark, sf, skip_younger_than="2d", by_target=True).results
+    return results.select("company_id", "mode", "status", "issues_changed", "comments_hydrated")
+
+
 @register(
     "sync_run_steps",
     f"""WITH {_RUN_SQL}

@@ -17,6 +17,7 @@ from boardlake.operators.upsert import (
     detect_changes,
     drop_orphans,
     hydration_candidates,
+    orphaned,
     partial_upsert,
     plan_sync,
     prune_stale,
@@ -28,7 +29,7 @@ from boardlake.operators.upsert import (
     upsert,
     upsert_issues,
 )
-from boardlake.schemas import DIRECTORY_ENTITIES, META, SYNC_RUNS
+from boardlake.schemas import DIRECTORY_ENTITIES, ENTITIES, META, SYNC_RUNS
 from boardlake.session import staged
 from boardlake.sources.landing import company_records, page_errors, page_records, with_shape
 
@@ -39,12 +40,16 @@ ARRIVAL = ["position", "page_no", "item"]
 
 @dataclass(frozen=True)
 class SyncResult:
-    """New tables, entity steps, company results and quarantined records of a run, as frames over the staged batches."""
+    """New tables, entity steps, company results and quarantined records of a run, as frames over the staged batches.
+
+    ``changes`` has, per board table, the rows the run wrote and the keys it removed (``deltas.write_changes`` takes them).
+    """
 
     tables: dict[str, DataFrame]
     entities: DataFrame
     results: DataFrame
     quarantine: DataFrame
+    changes: dict[str, tuple[DataFrame, DataFrame]]
 
 
 def _control(pages: DataFrame, plan: DataFrame) -> DataFrame:
@@ -133,6 +138,8 @@ def sync_run(
     since: str | None = None,
     comments: str = "changed",
     finished_at: str | None = None,
+    skip_younger_than: str | None = None,
+    by_target: bool = False,
 ) -> SyncResult:
     """Apply landed pages to the mirror.
 
@@ -142,18 +149,32 @@ def sync_run(
     A response of unknown shape counts as failed: taking it for an empty listing would prune everything.
     Records without a required id are returned in ``quarantine``, and the stored rows of their ids stay.
 
+    ``skip_younger_than`` leaves out targets that are fresh at ``started_at`` (see ``plan_sync``): their pages are not read, and results
+    and state know nothing of them. If all are left out the tables stay as they are, without a ledger row.
+
     Pages are staged by entity, so that each step reads its own pages instead of all JSON text. The
     control rows and the projected batches are staged too: payloads are parsed and redacted once
     although upserts, counts, cursors and threads all need them. The stored tables are not.
     """
     stamp = F.lit(started_at)
-    pages = staged(pages.filter(F.col("entity").isin("companies", *LISTINGS, "comments")), "pages", "entity")
-    plan = plan_sync(dedupe_targets(targets), tables["sync_state"], full, since)
+    pages = pages.filter(F.col("entity").isin("companies", *LISTINGS, "comments"))
+    plan = plan_sync(dedupe_targets(targets), tables["sync_state"], full, since, skip_younger_than, instant(stamp), by_target)
+    if skip_younger_than is not None:
+        plan = staged(plan.filter("NOT skipped").drop("skipped"), "plan")
+        pages = pages.join(plan.select(*TARGET), TARGET, "left_semi")
+        if plan.isEmpty():
+            return _unchanged(tables, plan, started_at)
+    pages = staged(pages, "pages", "entity")
     control = staged(_control(pages, plan), "control")
     landed = pages.join(control, TARGET)
     arrived = ["profile", "target_company", *ARRIVAL]
     new = dict(tables)
+    changes = {}
     steps = []
+
+    def written(entity: str, rows: DataFrame) -> DataFrame:
+        return rows.select(*tables[entity].columns)
+
     records = company_records(landed.filter(F.col("entity") == "companies"))
     records = records.join(control.select(*TARGET, "api_base", "position"), TARGET).withColumnRenamed("company_id", "target_company")
     lists = {entity: _listed(landed, entity) for entity in DIRECTORY_ENTITIES}
@@ -167,6 +188,7 @@ def sync_run(
     # Company records: of several targets with one company the last in order counts.
     batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company", "position"]), "companies")
     new["companies"] = upsert(tables["companies"], batch.drop("profile", "target_company"), ["id"], ["position"])
+    changes["companies"] = (written("companies", latest_per_key(batch, ["id"], ["position"])), tables["companies"].select("id").limit(0))
     steps.append(_step(control, "companies", _count_by_target(batch)))
 
     # Directory tables: complete listings, stale rows pruned.
@@ -175,6 +197,7 @@ def sync_run(
         merged = upsert(tables[entity], _unique(batch), ["id"])
         runs = _runs(control, _good(entity), stamp)
         new[entity] = prune_stale(merged, runs, protected(entity))
+        changes[entity] = (written(entity, _unique(batch)), stale_rows(merged, runs, protected(entity)).select("id"))
         steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(merged, runs, protected(entity))))
 
     # Issues: the changed ones are told from the stored rows before these are replaced.
@@ -208,6 +231,13 @@ def sync_run(
     apart = apart.unionByName(left_out)
     new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched), protected=left_out.filter(F.col("id").isNotNull()))
     new["issues"] = stamp_threads(issues, hydrated)
+    touched = batch.select("id").unionByName(hydrated.select(F.col("issue_id").alias("id")))
+    changes["issues"] = (new["issues"].join(touched, "id", "left_semi"), stale_rows(merged, runs, protected("issues")).select("id"))
+    # Comments go with their issue, or because their thread was read again without them.
+    orphans = orphaned(tables["comments"], issues, pruned.select("company_id"))
+    replaced = tables["comments"].join(hydrated.select("issue_id"), "issue_id", "left_semi")
+    gone = orphans.select("id").unionByName(replaced.select("id").join(left_out.select("id"), "id", "left_anti"))
+    changes["comments"] = (written("comments", _unique(fetched)), gone)
     tally = read.groupBy(*TARGET).agg(
         F.count_if(F.col("error").isNull()).alias("hydrated"), F.count_if(F.col("error").isNotNull()).alias("failed")
     )
@@ -240,7 +270,20 @@ def sync_run(
     new["sync_state"] = partial_upsert(tables["sync_state"], _state_patches(entities, tally, cursors, control, started_at))
     new["sync_runs"] = tables["sync_runs"].unionByName(_ledger(tables["sync_runs"], results, started_at, finished_at or started_at, full))
     new["meta"] = put_values(tables["meta"], pages.sparkSession.createDataFrame([("last_sync_at", finished_at or started_at)], META))
-    return SyncResult(new, entities, results, apart)
+    return SyncResult(new, entities, results, apart, changes)
+
+
+def _unchanged(tables: dict[str, DataFrame], plan: DataFrame, started_at: str) -> SyncResult:
+    """The result of a run that had nothing to do."""
+    none = plan.limit(0)
+
+    def empty(*columns: str) -> DataFrame:
+        return none.select(*TARGET, *[F.lit(None).cast("bigint" if c in ("count", "pruned") else "string").alias(c) for c in columns])
+
+    counts = [F.lit(0).cast("bigint").alias(c) for c in ("issues_changed", "comments_hydrated", "quarantined")]
+    results = none.select(*TARGET, "api_base", "mode", "position", F.lit("ok").alias("status"), *counts, F.lit(started_at).alias("started_at"))
+    changes = {e: (tables[e].limit(0), tables[e].select("id").limit(0)) for e in ENTITIES}
+    return SyncResult(dict(tables), empty("entity", "count", "pruned", "status", "error"), results, empty("entity", "id", "raw"), changes)
 
 
 def _ledger(runs: DataFrame, results: DataFrame, started_at: str, finished_at: str, full: bool) -> DataFrame:

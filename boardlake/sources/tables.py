@@ -1,13 +1,15 @@
 """Board tables on storage.
 
-A run writes whole new table versions next to the old ones and then lists them in one commit file.
+``write_version`` writes whole new table versions next to the old ones and then lists them in one commit file.
 Readers take the newest committed version, so they never see half a run, and a failed run leaves
-no trace in what they read.
+no trace in what they read. ``write_run`` does the same for the small tables of a sync run and adds only its changes to the
+large ones (see ``deltas``).
 """
 
 from __future__ import annotations
 
 import re
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardlake.schemas import ENTITIES, META, SYNC_RUNS, SYNC_STATE, entity_schema
+from boardlake.sources import deltas
+
+if TYPE_CHECKING:
+    from boardlake.plans.sync_run import SyncResult
 
 COMMIT = "table string, version string"
 TABLE_SCHEMAS: dict[str, T.StructType] = {
@@ -70,6 +76,27 @@ def read_tables(spark: SparkSession, root: str, schemas: dict[str, T.StructType]
     return tables
 
 
+def write_run(root: str, run: str, result: SyncResult) -> None:
+    """Write what a sync run changed. Board tables get the run's changed rows on top of what is stored; state, ledger and values are small and written whole."""
+    for entity, (rows, deleted) in result.changes.items():
+        deltas.write_changes(f"{root}/{entity}", run, rows, deleted)
+    # The commit of the small tables ends the run: until then readers take the runs up to the one before.
+    write_version(root, run, {name: result.tables[name] for name in ("sync_state", "meta", "sync_runs")})
+
+
+def read_mirror(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All board tables after the newest run that was written to its end."""
+    small = read_tables(spark, root, {name: TABLE_SCHEMAS[name] for name in ("sync_state", "meta", "sync_runs")})
+    last = max(committed_versions(spark, root).values(), default="")
+    return {**{e: deltas.read_keyed(spark, f"{root}/{e}", TABLE_SCHEMAS[e], upto=last) for e in ENTITIES}, **small}
+
+
+def fold_mirror(spark: SparkSession, root: str) -> None:
+    """Fold the board tables where it is due. Not while a run is being written."""
+    for entity in ENTITIES:
+        deltas.fold_changes(spark, f"{root}/{entity}", TABLE_SCHEMAS[entity])
+
+
 def register_views(tables: dict[str, DataFrame], prefix: str = "") -> None:
     for name, frame in tables.items():
         frame.createOrReplaceTempView(f"{prefix}{name}")
