@@ -20,7 +20,8 @@ def _typed(parsed: Column, key: str, rule: str, default: str | None = None) -> C
 def _parsed(records: DataFrame, entity: str, raw: str) -> DataFrame:
     """Records with their text redacted and parsed: every typed column comes from the redacted text."""
     redacted = records.withColumn(raw, redact_json(F.col(raw), entity))
-    return redacted.withColumn("_record", F.from_json(F.col(raw), payload_ddl(entity)))
+    # Taken out of a list of one, a record is parsed once: filters on its fields are not moved below, where they would parse it again.
+    return redacted.withColumn("_record", F.explode_outer(F.array(F.from_json(F.col(raw), payload_ddl(entity)))))
 
 
 def _has_ids(entity: str) -> Column:

@@ -79,12 +79,16 @@ def _encodes(text: str) -> bool:
 
 
 def _may_change(raw: Column, withheld: tuple[str, ...]) -> Column:
-    """Whether a text may hold something to withhold: a key-like word, an escape that could hide one, deep nesting, or no JSON."""
-    named = raw.rlike(f"(?i){SECRET_KEY_PATTERN}") | raw.contains("\\u")
-    for key in withheld:
-        named = named | raw.contains(f'"{key}"')
-    opened = F.length(raw) - F.length(F.translate(raw, "{[", ""))
-    return named | (opened > MAX_SWEEP_DEPTH) | F.try_parse_json(raw).isNull()
+    """Whether a text may hold something to withhold, from the shape of its parsed value: all keys and types, however they are nested.
+
+    So texts are parsed once and only keys are matched. Lists whose items differ in type hide their keys in the shape, a doubled key or
+    no JSON gives no shape: such texts may hold something. The whole test names ``raw`` once, since every mention would parse it again.
+    """
+    doubtful = ["VARIANT", f"(?i:{SECRET_KEY_PATTERN})", f"(?:<[^<]*){{{MAX_SWEEP_DEPTH},}}"]
+    if withheld:
+        doubtful.append(rf"\b(?:{'|'.join(map(re.escape, withheld))})\b")
+    shape = F.schema_of_variant(F.try_parse_json(raw))
+    return F.coalesce(shape.rlike("|".join(doubtful)), F.lit(True))
 
 
 def redact_json(raw: Column, entity: str) -> Column:
@@ -96,8 +100,8 @@ def redact_json(raw: Column, entity: str) -> Column:
     def redacted(batch: pd.Series) -> pd.Series:
         return batch.map(lambda raw: redact_text(raw, withheld))
 
-    doubtful = _may_change(raw, keys)
-    return F.coalesce(redacted(F.when(doubtful, raw)), F.when(~doubtful, raw))
+    # The function gives null for null only, so what it gives replaces the text.
+    return F.coalesce(redacted(F.when(_may_change(raw, keys), raw)), raw)
 
 
 def redact_typed(value: Column, dtype: T.DataType, withheld: tuple[str, ...] = (), depth: int = 0) -> Column:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boardlake.operators.audit import parity_diff, redaction_audit, secret_scan
+from boardlake.operators.projection import project_records
 from boardlake.operators.redaction import is_secret_key, redact_columns, redact_json, redact_text
 from boardlake.plans.sql import ReadOnlyError, run_sql
 from boardlake.schemas import REDACTED, WITHHELD_KEYS
@@ -48,6 +49,24 @@ def test_random_documents_hold_no_secret(spark):
             assert list(after) == list(before)
 
 
+def test_texts_left_in_the_jvm_are_those_the_text_form_leaves(spark):
+    rng = random.Random(8)
+    hidden = ['[{"token":1},5]', '[[{"a":{"secret":1}}],{"b":2}]', '{"a":[{"k":1},{"k":{"cookie":"x"}}]}', '[{"apiKey":1},null]', '{"`token`":1}', '{"a b":{"x: token<":1}}', '{"secret":1,"secret":null}', '{"env":1}', '{"environment":{"env":2}}', '"token"', "null", "", " ", "{", '{"a":NaN}', '{"tok\\u0065n":"x"}', '{"a":"\\ud800"}', "[" * 32 + "1" + "]" * 32, "[" * 33 + "1" + "]" * 33, '{"a":1e400}', '{"n":123456789012345678901234567890123456789012}']
+    texts = hidden + [json.dumps(random_json(rng), ensure_ascii=rng.random() < 0.5) for _ in range(500)]
+    withheld = frozenset(WITHHELD_KEYS["projects"])
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "raw string").coalesce(1)
+    found = [r.clean for r in frame.select(redact_json(F.col("raw"), "projects").alias("clean")).collect()]
+    assert found == [redact_text(t, withheld) for t in texts] + [None]
+
+
+def test_projection_redacts_and_parses_each_text_once(spark):
+    records = spark.createDataFrame([('{"id":"a","companyId":"c","apiToken":"x"}',)], "raw string")
+    rows = project_records(records, "issues", "2031-05-01T00:00:00.000Z")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert [plan.count(x) for x in ("ArrowEvalPython", "parseJson", "from_json(", "RLIKE(")] == [1, 1, 1, 1]
+    assert [json.loads(r.raw_json) for r in rows.collect()] == [{"id": "a", "companyId": "c", "apiToken": REDACTED}]
+
+
 def test_redaction_details():
     none = frozenset()
     assert json.loads(redact_text('{"Authorization":{"a":1},"token":null,"tokenId":"x","body":"my password is 1"}', none)) == {
