@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
+from boardlake.operators import blocks as B
 from boardlake.operators import search as S
 from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, TextIndex, build_index, index_stats, store_index, term_stats, update_index
 from boardlake.plans.views import table, view, views
@@ -48,6 +49,17 @@ def stored_index(spark, sf: str, corpus: str) -> TextIndex:
     return _stored[key]
 
 
+_blocks: dict[tuple[str, str], B.BlockIndex] = {}
+
+
+def stored_blocks(spark, sf: str) -> B.BlockIndex:
+    """Blocks and dictionary of the issues' index, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _blocks:
+        _blocks[key] = B.store_blocks(stored_index(spark, sf, "issues"), scratch_path(spark, "issues-blocks"))
+    return _blocks[key]
+
+
 # --- tokens and index ---
 
 
@@ -90,6 +102,12 @@ def index_terms(spark, sf):
     return term_stats(stored_index(spark, sf, "issues"))
 
 
+@register("index_dictionary", ORACLES["index_terms"])
+def index_dictionary(spark, sf):
+    """The same counts from the stored dictionary."""
+    return stored_blocks(spark, sf).terms
+
+
 @register(
     "index_stats",
     "SELECT count(*) AS docs, CAST(sum(len(identifier) + len(title) + len(description)) AS BIGINT) AS tokens, "
@@ -187,6 +205,23 @@ def search_prefix(spark, sf):
     return S.phrase_hits(request.postings, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
 
 
+@register(
+    "prefix_expansion",
+    "WITH terms AS (SELECT token, count(DISTINCT doc_id) AS docs, count(*) AS hits FROM issue_postings GROUP BY token) "
+    + " UNION ALL ".join(f"SELECT '{term}*' AS word, * FROM terms WHERE starts_with(token, '{term}')" for term in ("there", "eleaux", "que")),
+)
+def prefix_expansion(spark, sf):
+    return B.expand_terms(stored_blocks(spark, sf), {q: QUERY_TEXTS[q] for q in ("one", "two")})
+
+
+@register("prefix_postings", found_sql({q: QUERY_WORDS[q] for q in ("one", "two")}))
+def prefix_postings(spark, sf):
+    """Occurrences of prefix words, from a scan that was given the dictionary's tokens."""
+    index, texts = stored_index(spark, sf, "issues"), {q: QUERY_TEXTS[q] for q in ("one", "two")}
+    found = S.match_terms(B.expanded_postings(index, stored_blocks(spark, sf), texts), S.prepare(index, texts).terms)
+    return found.groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
+
+
 @register("bm25_rank", f"WITH {rank_sql('issue', QUERY_WORDS)} SELECT query_id, doc_id, rank FROM issue_ranked")
 def bm25_rank(spark, sf):
     return S.rank_matches(stored_index(spark, sf, "issues"), QUERY_TEXTS)
@@ -228,6 +263,16 @@ def search_deep(spark, sf):
     return hits.select("query_id", "issue_id", "rank")
 
 
+@register(
+    "search_top",
+    f"WITH {rank_sql('issue', {q: QUERY_WORDS[q] for q in ('one', 'two', 'rare')})} SELECT query_id, issue_id, rank FROM ({_ISSUE_LEG}) AS leg WHERE place <= 25",
+)
+def search_top(spark, sf):
+    """The best issues of each query, from the blocks that can hold them."""
+    hits = B.search_top(stored_blocks(spark, sf), {q: QUERY_TEXTS[q] for q in ("one", "two", "rare")}, 25).hits
+    return hits.select("query_id", F.col("doc_id").alias("issue_id"), "rank")
+
+
 @register(
     "search_comments",
     f"WITH {rank_sql('comment', _SEARCHED_WORDS)} SELECT {_HIT} FROM ({_COMMENT_LEG} WHERE i.status IN ('todo', 'done')) AS leg WHERE place <= 25",
