@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from boardlake.operators.audit import parity_diff, redaction_audit, secret_scan
+from boardlake.operators.audit import parity_by_digests, parity_diff, redaction_audit, secret_scan, secret_scan_many
 from boardlake.operators.redaction import redact_columns, redact_json
 from boardlake.plans.views import table, view, views
 from boardlake.schemas import PARITY_FIELDS
@@ -113,6 +113,21 @@ def secrets(spark, sf):
     return secret_scan({name: (rows, "record") for name, rows in texts.items()}, _TOKENS)
 
 
+@register(
+    "secret_scan_many",
+    """WITH sought AS (SELECT lower(t) AS token, row_number() OVER (ORDER BY t) - 1 AS token_no FROM (SELECT DISTINCT substr(text, 5, 16) AS t FROM benchmark WHERE strlen(text) = length(text)) AS s),
+records AS (SELECT 'issues' AS "table", lower(description) AS record FROM issues UNION ALL SELECT 'comments', lower(body) FROM comments)
+SELECT n."table", token_no, CAST(count(record) AS BIGINT) AS leaks FROM sought CROSS JOIN (SELECT unnest(['issues', 'comments']) AS "table") AS n
+LEFT JOIN records r ON r."table" = n."table" AND contains(record, token) GROUP BY n."table", token_no""",
+)
+def many_secrets(spark, sf):
+    """A piece of every benchmark item as a credential, sought in issues and comments at once."""
+    items = table(spark, sf, "benchmark").filter(F.octet_length("text") == F.length("text"))
+    tokens = [r.t for r in items.select(F.substring("text", 5, 16).alias("t")).distinct().collect()]
+    issues, comments = views(spark, sf, "issues", "comments")
+    return secret_scan_many({"issues": (issues, "description"), "comments": (comments, "body")}, tokens)
+
+
 @register(
     "redaction_audit",
     """SELECT 'issues' AS entity, count(*) AS rows, count(*) FILTER (WHERE lang = 'en') AS unredacted FROM documents
@@ -145,6 +160,13 @@ def parity(spark, sf):
     return parity_diff(mirror, live, ["id", "company_id", "status", "updated_at"])
 
 
+@register("parity_digests", ORACLES["parity_diff"])
+def parity_digests(spark, sf):
+    """The same differences, found by digests first."""
+    mirror, live = views(spark, sf, "orders_stored", "orders_listed")
+    return parity_by_digests(mirror, live, ["id", "company_id", "status", "updated_at"])
+
+
 @register(
     "parity_issues",
     """SELECT i.id, 'priority' AS field, i.priority AS mirror, CAST(NULL AS VARCHAR) AS live FROM issues i WHERE i.priority = 'low'

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.operators.grouping import latest_per_key
+from boardlake.operators.upsert import detect_changes
 from boardlake.plans.views import STAMP_1, views
 from boardlake.session import scratch_path
 from boardlake.sources import deltas
@@ -75,3 +76,17 @@ def run_costs(spark, sf):
     root, rows = _runs(spark, sf)
     log = deltas.commit_log(spark, root, rows.schema).filter("action = 'add'")
     return log.groupBy("run").agg(F.sum("rows").alias("rows"), F.sum("deletes").alias("deletes"))
+
+
+@register(
+    "delta_changes",
+    """SELECT l.id, l.company_id, l.status, l.updated_at, l.synced_at, s.id IS NULL OR s.updated_at IS DISTINCT FROM l.updated_at AS changed
+FROM orders_listed l LEFT JOIN orders_stored s ON s.id = l.id""",
+)
+def changes_of_stored_files(spark, sf):
+    """Listed orders against the stored ones, looked up in the files that hold their keys."""
+    stored, listed = views(spark, sf, "orders_stored", "orders_listed")
+    root = scratch_path(spark, "delta-orders")
+    deltas.write_changes(root, "run-1", stored.select(*COLUMNS))
+    incoming = listed.select(*COLUMNS)
+    return detect_changes(deltas.read_keys(spark, root, stored.select(*COLUMNS).schema, incoming), incoming)

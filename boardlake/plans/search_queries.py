@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
 from boardlake.operators import blocks as B
 from boardlake.operators import search as S
+from boardlake.operators import trigrams
 from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, TextIndex, build_index, index_stats, store_index, term_stats, update_index
 from boardlake.plans.views import table, view, views
 from boardlake.session import scratch_path
@@ -313,3 +316,20 @@ def search_many(spark, sf):
     """Every benchmark passage as one query: all of its words, in one job."""
     queries = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("query_id"), "text")
     return S.rank_matches(stored_index(spark, sf, "issues"), queries).select("query_id", "doc_id")
+
+
+_PATTERNS = {"word": "ther", "inner": "e, a", "mixed": "Re ", "none": "zqzqzq", "wild": "the_re", "short": "a"}
+
+
+@register(
+    "match_indexed",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS pattern, id FROM issues WHERE lower(title) LIKE '%{text.lower()}%' OR lower(description) LIKE '%{text.lower()}%'" for name, text in _PATTERNS.items()
+    ),
+)
+def match_indexed(spark, sf):
+    """Issues whose title or description holds a pattern, from the index of three-letter pieces where it can serve."""
+    issues, columns = view(spark, sf, "issues"), ["title", "description"]
+    index = trigrams.store_pieces(issues, columns, scratch_path(spark, "issues-pieces"))
+    found = [trigrams.match_indexed(index, issues, text, columns).select(F.lit(name).alias("pattern"), "id") for name, text in _PATTERNS.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), found)

@@ -15,11 +15,14 @@ One writer at a time; keys are not null and, within a run, unique. Runs order as
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 import re
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +159,38 @@ def read_keyed(spark: SparkSession, root: str, schema: T.StructType, key: str =
     return (merged if len(met) == len(base) else merged.unionByName(apart)).select(*schema.names)
 
 
+def files_of_keys(files: list[TableFile], keys: DataFrame) -> list[TableFile]:
+    """The files whose key range holds one of the keys. Each task sends the files it found, however many keys it has."""
+    ordered = sorted(files, key=lambda f: f.low)
+    lows = [f.low for f in ordered]
+    ends = list(itertools.accumulate((f.high for f in ordered), max))  # no range up to a place reaches further
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        touched: set[int] = set()
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                at = bisect.bisect_right(lows, value) - 1
+                while at >= 0 and ends[at] >= value:
+                    if ordered[at].high >= value:
+                        touched.add(at)
+                    at -= 1
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(touched), pa.int64())], names=["file"])
+
+    numbers = keys.filter(F.col(keys.columns[0]).isNotNull()).mapInArrow(found, "file bigint").distinct().collect() if files else []
+    return [ordered[r.file] for r in numbers]
+
+
+def read_keys(spark: SparkSession, root: str, schema: T.StructType, keys: DataFrame, key: str = "id") -> DataFrame:
+    """The table's rows of the given keys, from the files whose ranges hold one of them: what a lookup reads follows the keys, not the table.
+
+    Beyond Spark's broadcast threshold the join gets a Bloom filter of the keys from Spark itself, once the files are over 10 GB.
+    """
+    files = live_files(spark, root, schema, key)
+    base, runs = (files_of_keys([f for f in files if f.base == part], keys.select(key)) for part in (True, False))
+    rows = _merged(spark, base, runs, schema, key) if runs else _read(spark, base, schema)
+    return rows.select(*schema.names).join(keys.select(key), key, "left_semi")
+
+
 def _size_class(size: int, fan: int) -> int:
     return int(math.log(max(1, size), fan))
 
