@@ -203,11 +203,17 @@ def held_out(id_column: Column) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """``id``, ``text``, ``toxic`` of the sample: rows with a label that may be learned. Several labels of an id: the largest."""
+    """``id``, ``text``, ``toxic`` of the sample: at most ``rows`` ids with a label that may be learned, each with one text.
+
+    Several labels of an id: the largest. Several texts of an id: that of the smallest hash, found in each task before the shuffle, so an
+    id that fills the table does not grow the sample.
+    """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).filter(~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(known, "id")
+    # At most ``rows`` ids with a label each are broadcast.
+    found = texts.join(F.broadcast(known), "id").groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    return found.select("id", F.col("one.text").alias("text"), "toxic")
 
 
 def _terms(sample: DataFrame) -> DataFrame:

@@ -76,3 +76,12 @@ def test_quotation():
     inside = toxicity.Scorer._in_quotes
     assert inside('he said "you nasty one" again', 12, 17) and not inside("you nasty one", 4, 9)
     assert not inside('"a quote". you nasty one "b"', 15, 20) and not inside("don't be nasty, isn't it", 9, 14)
+
+
+def test_sample_has_one_text_of_an_id_that_fills_the_table(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(500)] + [(i, f"own {i}") for i in range(2, 40)] + [(None, "x")], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in [1, 1, *range(2, 40)]] + [(None, 0, 1)], "doc_id bigint, quality int, toxic int")
+    free = {r.doc_id for r in docs.filter(~toxicity.held_out(docs.doc_id)).filter("doc_id IS NOT NULL").collect()}
+    for rows in (1000, 10):
+        sample = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", rows).collect()
+        assert len({r.id for r in sample}) == len(sample) == min(rows, len(free)) and {r.id for r in sample} <= free
