@@ -25,7 +25,7 @@ from boardlake.session import staged
 
 BLOCK_DOCS = 1024
 FIRST_BLOCKS = 8  # blocks of a query read at first
-SALTS = 64
+SALTS = 16
 EXPANDED = 1_000  # tokens of a prefix that are named to the postings scan; beyond, the prefix is
 
 

@@ -12,6 +12,7 @@ from boardlake.operators import search as S
 from boardlake.operators import trigrams
 from boardlake.operators.index import COMMENT_TEXT, ISSUE_TEXT, TextIndex, build_index, index_stats, store_index, term_stats, update_index
 from boardlake.plans.views import table, view, views
+from boardlake.schemas import SNIPPET_TOKENS
 from boardlake.session import scratch_path
 
 QUERIES = {}
@@ -298,7 +299,42 @@ def search_all(spark, sf):
     return S.in_order(hits).drop("snippet")
 
 
-@register("search_snippet")
+def _snippet_sql(queries: dict[str, list], size: int) -> str:
+    """Snippets of the final hits: every window that starts at a hit or at the sentence before it is scored in sets, then one is written out."""
+    words = " UNION ALL ".join(f"SELECT '{q}' AS query_id, {no} AS no, {terms} AS terms, {str(prefix).lower()} AS is_prefix" for q, listed in queries.items() for no, (terms, prefix) in enumerate(listed))
+    raw = r"[\p{L}\p{N}\p{Co}][\p{L}\p{N}\p{Co}\p{M}]*"
+    matched = "len(list_filter(range(len(terms)), lambda k: CASE WHEN is_prefix AND k = len(terms) - 1 THEN coalesce(starts_with(folded[p + k + 1], terms[k + 1]), false) ELSE coalesce(folded[p + k + 1] = terms[k + 1], false) END)) = len(terms)"
+    ended = r"regexp_matches(seps[t + 1], '[.:][ \t\r\n]+$')"
+
+    def scored(start: str, first: str) -> str:
+        inside = f"list_filter(all_hits, lambda h: h.i >= {first} AND h.p < {start} + {size})"
+        return f"999 * len(list_distinct(list_transform({inside}, lambda h: h.no))) + len({inside})"
+
+    return f"""WITH words AS ({words}),
+final AS ({ORACLES['search_all']}),
+texts AS (SELECT f.query_id, f.kind, f.issue_id, f.comment_id, row_number() OVER () AS hit, coalesce(c.body, i.description) AS text
+  FROM final f JOIN issues i ON i.id = f.issue_id LEFT JOIN comments c ON f.kind = 'comment' AND c.id = f.comment_id),
+cut AS (SELECT *, regexp_extract_all(text, '{raw}') AS raw, {TOKENS.format('text')} AS folded, regexp_split_to_array(text, '{raw}') AS seps, len(regexp_extract_all(text, '{raw}')) AS count FROM texts),
+found AS (SELECT hit, p, no, p + len(terms) - 1 AS stop FROM cut JOIN words USING (query_id), unnest(range(0, least(count, len(folded)) - len(terms) + 1)) AS u(p) WHERE {matched}),
+placed AS (SELECT *, row_number() OVER (PARTITION BY hit ORDER BY p, no, stop) AS i FROM found),
+every AS (SELECT hit, list({{'i': i, 'p': p, 'no': no, 'stop': stop}} ORDER BY i) AS all_hits FROM placed GROUP BY hit),
+begun AS (SELECT f.*, count, all_hits, coalesce(list_max(list_filter(range(1, p + 1), lambda t: {ended})), 0) AS sentence FROM placed f JOIN cut USING (hit) JOIN every USING (hit)),
+firsts AS (SELECT *, list_min(list_transform(list_filter(all_hits, lambda h: h.p >= sentence), lambda h: h.i)) AS first FROM begun),
+windows AS (SELECT hit, i, 0 AS turn, {scored('p', 'i')} AS value,
+    greatest(0, least(p - ({size} - (list_max(list_transform(list_filter(all_hits, lambda h: h.i = last_i), lambda h: h.stop)) + 1 - p)) // 2, count - {size})) AS begin
+  FROM (SELECT *, list_max(list_transform(list_filter(all_hits, lambda h: h.i >= i AND h.p < p + {size}), lambda h: h.i)) AS last_i FROM firsts) AS ends
+  UNION ALL SELECT hit, i, 1, {scored('sentence', 'first')} + CASE WHEN sentence > 0 THEN 100 ELSE 120 END, sentence FROM firsts WHERE count > {size} AND sentence < p),
+best AS (SELECT hit, arg_max(begin, (value, -i, -turn)) AS begin FROM windows GROUP BY hit),
+islands AS (SELECT *, sum(CASE WHEN p <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY hit ORDER BY i) AS island FROM (SELECT *, coalesce(max(stop) OVER (PARTITION BY hit ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS reach FROM placed)),
+spans AS (SELECT hit, list({{'a': a, 'z': z}}) AS marks FROM (SELECT hit, min(p) AS a, max(stop) AS z FROM islands GROUP BY hit, island) GROUP BY hit),
+shown AS (SELECT cut.*, coalesce(begin, 0) AS begin, least(count, coalesce(begin, 0) + {size}) AS halt, coalesce(marks, []) AS marks FROM cut LEFT JOIN best USING (hit) LEFT JOIN spans USING (hit))
+SELECT query_id, kind, issue_id, comment_id, (CASE WHEN begin > 0 AND count > 0 THEN '…' ELSE seps[1] END) || array_to_string(list_transform(range(begin, halt), lambda t:
+  (CASE WHEN len(list_filter(marks, lambda m: m.a = t OR (t = begin AND m.a < begin AND begin <= m.z))) > 0 THEN '[' ELSE '' END) || raw[t + 1]
+  || (CASE WHEN len(list_filter(marks, lambda m: m.z = t OR (t = halt - 1 AND m.a <= t AND t < m.z))) > 0 THEN ']' ELSE '' END)
+  || (CASE WHEN t + 1 < halt OR halt = count THEN seps[t + 2] ELSE '…' END)), '') AS snippet FROM shown"""
+
+
+@register("search_snippet", _snippet_sql(_SEARCHED_WORDS, SNIPPET_TOKENS))
 def search_snippet(spark, sf):
     issues, comments = views(spark, sf, "issues", "comments")
     hits = S.search_all(stored_index(spark, sf, "issues"), stored_index(spark, sf, "comments"), issues, comments, SEARCHED)
