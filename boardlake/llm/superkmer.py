@@ -5,14 +5,15 @@ windows that share a minimiser's place travel as one packed string to the bucket
 are unpacked and sorted, so equal ones lie side by side and the smallest document id of each is exact.
 
 What keeps it bounded: equal texts are one from the start; only minimisers that two texts or more have are
-packed; a bucket is read as a stream of groups sorted by minimiser. A minimiser of more than ``group_limit`` texts
-(a passage a large share of all documents has) is spread instead: each of its windows becomes a row keyed by a
+packed; a bucket is read as a stream of groups sorted by minimiser. A minimiser of more than ``group_limit`` windows
+(of a passage a large share of all documents has, or of a phrase that one text repeats very often) is spread instead: each of its windows becomes a row keyed by a
 128-bit digest of its words, of which an aggregate, reduced in each task before the shuffle, finds the smallest id.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -26,7 +27,7 @@ from boardlake.session import staged
 
 WINDOW = 50
 MINIMISER_WORDS = 8
-GROUP_LIMIT = 5_000
+GROUP_LIMIT = 100_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
@@ -62,15 +63,17 @@ def super_kmers(words: list[bytes], window: int, k: int) -> Iterator[tuple[int,
 
 
 def _profiles(docs: DataFrame, window: int, k: int, kind: str) -> DataFrame:
-    """Per row its id, number of words, SHA-256 of the words joined by spaces, and its distinct minimisers."""
+    """Per row its id, number of words, SHA-256 of the words joined by spaces, and its distinct minimisers with their windows."""
 
     def run(batches):
         for batch in batches:
             for key, text in zip(batch["id"], batch["text"]):
-                words = text.split()
-                yield key, len(words), hashlib.sha256(b" ".join(words)).digest(), list({m for m, _, _ in super_kmers(words, window, k)})
+                words, windows = text.split(), Counter()
+                for m, start, end in super_kmers(words, window, k):
+                    windows[m] += end - start
+                yield key, len(words), hashlib.sha256(b" ".join(words)).digest(), [{"minimiser": m, "windows": n} for m, n in windows.items()]
 
-    return map_rows(docs, run, f"id {kind}, n_words bigint, digest binary, minimisers array<bigint>", size=512)
+    return map_rows(docs, run, f"id {kind}, n_words bigint, digest binary, minimisers array<struct<minimiser:bigint,windows:bigint>>", size=512)
 
 
 def _pack(texts: DataFrame, window: int, k: int, kind: str) -> DataFrame:
@@ -185,12 +188,13 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = MINI
     # Equal word sequences are one text, standing for its smallest id.
     texts = rows.filter(F.col("id").isNotNull() & (F.size("minimisers") > 0)).groupBy("digest").agg(F.min("id").alias("id"), F.any_value("minimisers").alias("minimisers"))
     texts = staged(texts, "superkmer-texts")
-    held = texts.select("digest", "id", F.explode("minimisers").alias("minimiser"))
-    shared = held.groupBy("minimiser").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = texts.select("digest", "id", F.inline("minimisers"))
+    # What a task would hold of a minimiser are its windows, in however many texts they are.
+    shared = held.groupBy("minimiser").agg(F.count(F.lit(1)).alias("texts"), F.sum("windows").alias("n")).filter("texts > 1").drop("texts")
     # Written first, so that the join below has plain exchanges on both sides and a hot key can be split.
     shared = staged(shared, "superkmer-shared")
     hot = F.col("n") > group_limit
-    wanted = held.join(shared, "minimiser").groupBy("digest", "id").agg(
+    wanted = held.drop("windows").join(shared, "minimiser").groupBy("digest", "id").agg(
         F.collect_list(F.when(~hot, F.col("minimiser"))).alias("wanted"), F.collect_list(F.when(hot, F.col("minimiser"))).alias("hot")
     )
     joined = picked.join(wanted, "id")

@@ -67,3 +67,15 @@ def test_long_text_and_no_rows(spark):
     assert [r[:3] for r in got] == [(1, 100_000, 0), (2, 100_001, 100_000)]
     assert got[1][3] == hashlib.sha256(b"start").hexdigest()
     assert superkmer.remove_repeated_windows(docs.limit(0)).collect() == []
+
+
+def test_phrase_that_one_text_repeats_is_not_held_in_one_group(spark, monkeypatch):
+    """Two texts share a phrase that one of them has thousands of times: its windows are counted, not its texts."""
+    phrase = [f"w{i}" for i in range(60)]
+    odd = [w for i in range(400) for w in [*phrase, f"mark{i}"]]
+    rows = [(1, " ".join(odd)), (2, "own start " + " ".join(phrase) + " own end"), (3, " ".join(f"u{i}" for i in range(80)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # The bucket has nothing left to count: all of its windows are rows of their own.
+    monkeypatch.setattr(superkmer, "_count", lambda packs, window: packs.filter("false").selectExpr("digest", "0 AS start", "0 AS end"))
+    got = sorted(map(tuple, superkmer.remove_repeated_windows(docs, group_limit=500).collect()), key=str)
+    assert got == brute(rows, 50) and got[1][2] == 60
