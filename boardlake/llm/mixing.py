@@ -5,8 +5,9 @@ shards, by the highest quotients target / (2 s + 1). In a shard, documents lie e
 the blocks cut from that line are taken: whole passes first, then as many more as the quota asks, spaced evenly
 from a seeded start. A document's share is what the taken blocks cover of it.
 
-Only DataFrame functions run. Per source and per shard totals are aggregates; a source is dealt over as many
-shards as its rows need, so no task holds more than a shard, whatever a source's share.
+Only DataFrame functions run. Rows that agree in id, source and size are counted before anything is laid out, and
+lie in the line as parts of many copies each; a source is dealt over as many shards as its parts and words need.
+So no task holds more than a shard, whatever the share of a source or an id: one id adds its distinct sizes at most.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 SEED = 20_240
 BLOCK_TOKENS = 16
 SHARD_ROWS = 16_384
+SHARD_WORDS = 2**30
+# Copies of a row that are laid out as one: as many as hold about so many words, within these bounds.
+PART_WORDS = 2**22
+PART_COPIES = (64, 65_536)
 
 
 def word_count(text: Column) -> Column:
@@ -52,6 +57,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), share
     return levelled.select("source", "source_size", "rows", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def _entries(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``id``, ``source``, ``size``, ``copies``, ``words`` and ``key``: rows alike, in parts of so many copies.
+
+    The key orders the line and picks the shard. It depends on seed and id, and on the number of the part from the second on.
+    """
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    alike = sized.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    least, most = PART_COPIES
+    full = F.least(F.greatest(F.floor(F.lit(PART_WORDS) / (F.col("size") + 1)), F.lit(least)), F.lit(most)).cast("bigint")
+    parts = alike.withColumn("full", full).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / F.col("full")))))
+    copies = F.least(F.col("full"), F.col("n") - F.col("part") * F.col("full"))
+    name = F.coalesce(F.col("id").cast("string"), F.lit("-"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), name, F.when(F.col("part") > 0, F.col("part").cast("string"))))
+    return parts.select("id", "source", "size", copies.alias("copies"), (copies * F.col("size")).alias("words"), key.alias("key"))
+
+
 def sainte_lague(parties: DataFrame, group: list[str], party: list[str], weight: str, seats: Column, cap: str) -> DataFrame:
     """Add ``seats``: ``seats`` (constant in a group) dealt to a group's parties by the highest quotients weight / (2 s + 1).
 
@@ -83,12 +104,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
 
     ``size`` is the number of words, ``target`` that of the row's source, ``taken`` the words the mix takes of the
     document, repeats counted, never over ``limit`` times its size. Null and empty texts have size 0 and give
-    nothing. A null source is a source of its own. Null ids and repeated rows are rows like any other. The order in
-    a shard depends on seed and id only, so reruns agree. An empty table gives no rows. Other columns are not read.
+    nothing. A null source is a source of its own. Null ids and repeated rows are rows like any other; rows alike in
+    id, source and size share what their part was given evenly, up to one word. The order in a shard depends on seed
+    and id only, so reruns agree. An empty table gives no rows. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _order_key(seed, id_col).alias("key"))
-    mixed = _mixed(staged(rows, "mix-sizes"), weights, share, limit, block, shard_rows, seed)
-    return mixed.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+    entries = staged(_entries(docs, id_col, text_col, source_col, seed), "mix-sizes")
+    mixed = _mixed(entries, weights, share, limit, block, shard_rows, seed)
+    own = mixed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    taken = _div((F.col("copy") + 1) * F.col("taken"), F.col("copies")) - _div(F.col("copy") * F.col("taken"), F.col("copies"))
+    return own.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
 
 
 def with_taken(docs: DataFrame, size_col: str, taken_col: str, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -97,34 +121,35 @@ def with_taken(docs: DataFrame, size_col: str, taken_col: str, seed: int = SEED,
     The mix is that of :func:`mix_sources` with its defaults; the shares are found on small rows and joined to
     the texts by id, source and size, which are all a share depends on.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _order_key(seed, id_col).alias("key"))
-    mixed = _mixed(staged(rows, "mix-sizes"), (3, 1, 2), 1.5, 2, BLOCK_TOKENS, SHARD_ROWS, seed)
+    entries = staged(_entries(docs, id_col, text_col, source_col, seed), "mix-sizes")
+    mixed = _mixed(entries, (3, 1, 2), 1.5, 2, BLOCK_TOKENS, SHARD_ROWS, seed)
     # Rows that agree in id, source and size share what they were given evenly, up to one word.
-    own = mixed.groupBy("id", "source", "size").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
+    own = mixed.groupBy("id", "source", "size").agg(F.sum("taken").alias("taken"), F.sum("copies").alias("n"))
     left = docs.withColumn(size_col, word_count(F.col(text_col))).alias("d")
     agrees = F.col(f"d.{id_col}").eqNullSafe(F.col("m.id")) & F.col(f"d.{source_col}").eqNullSafe(F.col("m.source")) & (F.col(f"d.{size_col}") == F.col("m.size"))
     joined = left.join(own.alias("m"), agrees)
     return joined.select("d.*", F.least(F.round(F.col("m.taken") / F.col("m.n")), 2 * F.col("m.size")).cast("bigint").alias(taken_col))
 
 
-def _order_key(seed: int, id_col: str) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
+def _div(a: Column, b: Column) -> Column:
+    """The whole quotient, in integers throughout."""
+    return F.call_function("div", a, b)
 
 
 def _mixed(rows: DataFrame, weights: Sequence[float], share: float, limit: int, block: int, shard_rows: int, seed: int) -> DataFrame:
-    """``id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` of rows with ``id``, ``source``, ``size`` and ``key``."""
-    sources = source_targets(rows, weights, share, limit)
+    """``id``, ``source``, ``size``, ``copies``, ``source_size``, ``target`` and ``taken`` (of all copies) of the rows of :func:`_entries`."""
+    sources = source_targets(rows.select("source", F.col("words").alias("size")), weights, share, limit)
     # Names stand for sources from here on, null included, so that joins and windows meet no null.
-    sources = sources.withColumn("name", _name(F.col("source"))).withColumn("shards", F.ceil(F.col("rows") / shard_rows).cast("bigint"))
+    sources = sources.withColumn("name", _name(F.col("source"))).withColumn("shards", F.ceil(F.greatest(F.col("rows") / shard_rows, F.col("source_size") / SHARD_WORDS)).cast("bigint"))
     sources = staged(sources.drop("source"), "mix-sources")
     shard = F.pmod(F.conv(F.substring("key", 1, 12), 16, 10).cast("bigint"), F.col("shards"))
     placed = rows.withColumn("name", _name(F.col("source"))).join(sources.drop("rows"), "name").withColumn("shard", shard)
-    shards = placed.groupBy("name", "shard").agg(F.sum("size").alias("shard_size"))
+    shards = placed.groupBy("name", "shard").agg(F.sum("words").alias("shard_size"))
     shards = shards.withColumn("blocks", F.ceil(F.col("shard_size") / block).cast("bigint")).withColumn("cap", limit * F.col("blocks"))
     quotas = _quotas(sources, shards, block)
     line = Window.partitionBy("name", "shard").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    laid = placed.withColumn("end", F.sum("size").over(line)).join(quotas, ["name", "shard"])
-    return laid.select("id", "source", "size", "source_size", "target", F.least(_taken(block, seed), limit * F.col("size")).alias("taken"))
+    laid = placed.withColumn("end", F.sum("words").over(line)).join(quotas, ["name", "shard"])
+    return laid.select("id", "source", "size", "copies", "source_size", "target", F.least(_taken(block, seed), limit * F.col("words")).alias("taken"))
 
 
 def _name(source: Column) -> Column:
@@ -142,17 +167,22 @@ def _quotas(sources: DataFrame, shards: DataFrame, block: int) -> DataFrame:
 
 
 def _taken(block: int, seed: int) -> Column:
-    """Words of a document that lie in taken blocks: whole passes, and its part of the blocks spaced over the shard."""
-    begin = F.col("end") - F.col("size")
-    passes = F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(F.lit(0))
-    more = F.when(F.col("blocks") > 0, F.col("quota") % F.col("blocks")).otherwise(F.lit(0))
-    start = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "name", "shard")), 1, 12), 16, 10).cast("bigint"), F.col("blocks"))
-
-    def part(sum_: Column, j: Column) -> Column:
-        at = F.pmod(j + start, F.col("blocks"))
-        chosen = F.floor((at + 1) * more / F.col("blocks")) - F.floor(at * more / F.col("blocks"))
-        return sum_ + chosen * (F.least(F.col("end"), (j + 1) * block) - F.greatest(begin, j * block))
-
-    first, last = F.floor(begin / block), F.floor((F.col("end") - 1) / block)
-    extra = F.when((F.col("size") > 0) & (more > 0), F.aggregate(F.sequence(first, last), F.lit(0).cast("bigint"), part)).otherwise(F.lit(0))
-    return (passes * F.col("size") + extra).cast("bigint")
+    """Words of an entry that lie in taken blocks: whole passes, and its part of the blocks spaced over the shard.
+
+    Of the first x blocks from the seeded start, x * more / blocks are taken, rounded down. So the blocks that an entry
+    touches are counted by a difference, however many they are; the first and the last count by what is the entry's.
+    """
+    begin, end, blocks = F.col("end") - F.col("words"), F.col("end"), F.col("blocks")
+    passes = F.when(blocks > 0, _div(F.col("quota"), blocks)).otherwise(F.lit(0))
+    more = F.when(blocks > 0, F.col("quota") % blocks).otherwise(F.lit(0))
+    start = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "name", "shard")), 1, 12), 16, 10).cast("bigint"), blocks)
+    first, last = _div(begin, F.lit(block)), _div(end - 1, F.lit(block))
+
+    def before(j: Column) -> Column:
+        return _div((j + start) * more, blocks)
+
+    taken = F.lit(block) * (before(last + 1) - before(first))
+    ahead = (before(first + 1) - before(first)) * (begin - first * block)
+    after = (before(last + 1) - before(last)) * ((last + 1) * block - end)
+    extra = F.when((F.col("words") > 0) & (more > 0), taken - ahead - after).otherwise(F.lit(0))
+    return (passes * F.col("words") + extra).cast("bigint")

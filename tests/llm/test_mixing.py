@@ -78,3 +78,17 @@ def test_empty(spark):
     assert mixing.mix_sources(spark.createDataFrame([], "doc_id bigint, text string, source string")).collect() == []
     one = mixing.mix_sources(spark.createDataFrame([(1, None, None)], "doc_id bigint, text string, source string")).collect()
     assert [(r.size, r.target, r.taken) for r in one] == [(0, 0.0, 0)]
+
+
+def test_one_id_in_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART_COPIES", (3, 10))
+    rows = [(None, "w " * (i % 4), "a") for i in range(700)] + [(7, "two words", "a")] * 500 + [(i, "w " * 30, "a") for i in range(100)] + [(7, "b", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    entries = mixing._entries(docs, "doc_id", "text", "source", 1).collect()
+    assert sum(e.copies for e in entries) == len(rows) and max(e.copies for e in entries) <= 10 and len({e.key for e in entries}) > 150
+    got = mixing.mix_sources(docs, shard_rows=20).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sources(docs.repartition(5), shard_rows=20).collect()))
+    assert len(got) == len(rows) and all(0 <= r.taken <= 2 * r.size for r in got)
+    target = {r.source_size: r.target for r in got}
+    for size, wanted in target.items():
+        assert abs(sum(r.taken for r in got if r.source_size == size) - wanted) <= 16 * 12
