@@ -1,8 +1,9 @@
 """WARC archives of pages, and the transaction assembly that turns their records into captures.
 
 Writing: every page becomes a request, a response or revisit, and a metadata record. Equal payloads are stored
-once, with the smallest page id; the others are revisits that refer to it. Archives are gzip files written by
-Spark's text writer, one record per row; the blank lines that end a record are the writer's line separator.
+once, with the smallest page id; the others are revisits that refer to it. Identifiers come from a capture's content
+and its number among repeated rows, so a retried task writes the same ones. Captures are packed into archives by their
+running bytes; Spark's text writer makes a gzip file of each.
 
 Reading: archives are parsed by content length into record rows, and the records of a capture are joined through
 their concurrent-to identifiers into one nested row.
@@ -11,6 +12,7 @@ their concurrent-to identifiers into one nested row.
 from __future__ import annotations
 
 import base64
+import functools
 import gzip
 import hashlib
 import io
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.llm.batches import map_rows
+from boardlake.session import staged
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -30,12 +33,14 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 ARCHIVE_BYTES = 8 * 2**20
 CAPTURE_DATE = "2020-01-01T00:00:00Z"
+# Repeated rows are counted, and numbered anew in parts of so many.
+REPEATS = 4096
 
 
-def _record_id(kind: str, capture: Column | None = None, page_id: Column | None = None) -> Column:
-    """Identifier of a capture's record, the same in every run over the same files."""
-    capture, page_id = (F.col("capture"), F.col("page_id")) if capture is None else (capture, page_id)
-    digest = F.md5(F.concat_ws(":", F.lit(kind), capture.cast("string"), page_id.cast("string")))
+def _record_id(kind: str, page_id: str = "page_id", url: str = "url", copy: Column | None = None) -> Column:
+    """Identifier of a capture's record: of its page id, URL, payload and number among rows alike."""
+    named = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (page_id, url)]
+    digest = F.md5(F.concat_ws("\n", F.lit(kind), "same", (F.col("copy") if copy is None else copy).cast("string"), *named))
     cut = [F.substring(digest, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -52,33 +57,60 @@ def _header_value(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
+CAPTURE = ("page_id", "url", "same", "copy", "payload", "length", "sha1", "refers_to", "refers_url")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` as often as ``n`` says, with ``copy`` from 0; a row of very many is dealt over tasks in parts before that."""
+    begin = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(REPEATS).cast("bigint")))
+    parts = rows.filter(F.col("n") > 0).withColumn("_begin", begin).repartition("same", "page_id", "url", "_begin")
+    return parts.withColumn("copy", F.explode(F.sequence("_begin", F.least(F.col("n"), F.col("_begin") + REPEATS) - 1))).drop("_begin", "n")
+
+
 def stored_payloads(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Add ``capture`` (a number per row), ``payload``, ``sha1`` and ``refers_to`` / ``refers_capture`` (null where stored)."""
+    """A row per page: those whose payload is stored have it, the others have null there and ``refers_to`` and ``refers_url``.
+
+    Payloads move only where they are stored, and equal ones meet before the shuffle. The revisits come from counts of
+    small rows (payload digest, page id, URL), so a page that very many others repeat is no group of payloads anywhere.
+    """
     named = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
-    # Taken right at the scan, where a retried task reads the same rows again.
-    numbered = named.withColumn("capture", F.monotonically_increasing_id())
-    keyed = numbered.withColumn("sha1", F.sha1(F.encode("payload", "UTF-8"))).withColumn("same", F.sha2("payload", 256))
-    order = F.struct(F.col("page_id").isNull(), "page_id", "capture")
-    firsts = keyed.filter(F.octet_length("payload") >= least_bytes).groupBy("same").agg(F.min(order).alias("first"))
-    joined = keyed.join(firsts, "same", "left")
-    again = F.col("first.capture") != F.col("capture")
-    return joined.select("page_id", "url", "payload", "capture", "sha1", F.when(again, F.col("first.page_id")).alias("refers_to"), F.when(again, F.col("first.capture")).alias("refers_capture"))
+    keyed = named.withColumn("length", F.octet_length("payload").cast("bigint")).withColumn("same", F.sha2("payload", 256))
+    shared = keyed.filter(F.col("length") >= least_bytes)
+    order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url"))
+    sha1 = F.sha1(F.encode("payload", "UTF-8"))
+
+    stored = shared.groupBy("same").agg(F.first("payload").alias("payload"), F.first("length").alias("length"), F.min(order).alias("first"))
+    stored = stored.select("same", "payload", "length", F.col("first.page_id").alias("page_id"), F.col("first.url").alias("url"), sha1.alias("sha1"), F.lit(0).cast("bigint").alias("copy"))
+
+    small = shared.groupBy("same", "page_id", "url").agg(F.count(F.lit(1)).alias("n"), F.first("length").alias("length"), F.first(sha1).alias("sha1"))
+    small = staged(small, "warc-rows")
+    firsts = small.groupBy("same").agg(F.min(order).alias("first"))
+    leads = F.when(order.eqNullSafe(F.col("first")), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    rest = small.join(firsts, "same").withColumn("lead", leads).withColumn("n", F.col("n") - F.col("lead"))
+    again = _numbered(rest).withColumn("copy", F.col("copy") + F.col("lead"))
+    again = again.withColumn("refers_to", F.col("first.page_id")).withColumn("refers_url", F.col("first.url"))
+    none = {"payload": F.lit(None).cast("string"), "refers_to": F.lit(None).cast(pages.schema["page_id"].dataType), "refers_url": F.lit(None).cast("string")}
+    rows = [stored, again]
+    if least_bytes > 0:
+        short = keyed.filter(F.col("length") < least_bytes).groupBy("same", "page_id", "url").agg(F.count(F.lit(1)).alias("n"), F.first("payload").alias("payload"), F.first("length").alias("length"))
+        rows.append(_numbered(short).withColumn("sha1", sha1))
+    full = [r.select(*[F.col(c) if c in r.columns else none[c].alias(c) for c in CAPTURE]) for r in rows]
+    return functools.reduce(DataFrame.unionByName, full)
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write the records of all pages (``page_id``, ``url``, ``html``) below ``path``.
 
     Null html is an empty payload, a null url an empty target, a null page id is kept as one and sorts last.
-    Repeated rows are captures of their own; of equal ones the first in the scan is the response. Payloads under
-    ``least_bytes`` are never revisits. An empty table writes no records. An archive holds about ``archive_bytes``
-    of payload (pages of mean size up to that), so that a reader can take it whole.
+    Repeated rows are captures of their own; of equal ones one is the response. Payloads under ``least_bytes`` are
+    never revisits. An empty table writes no records. An archive ends before the capture that would take it over
+    ``archive_bytes`` (before compression); only a capture larger than that fills one alone, so a reader can take any whole.
     """
     rows = stored_payloads(pages, least_bytes)
-    mean = pages.agg(F.avg(F.octet_length("html")).alias("n")).first()["n"] or 0
-    repeat = F.col("refers_capture").isNotNull()
+    repeat = F.col("payload").isNull()
     main = _record_id("main")
     date, target = ("WARC-Date", F.lit(CAPTURE_DATE)), ("WARC-Target-URI", _header_value(F.coalesce("url", F.lit(""))))
-    earlier = F.when(repeat, _record_id("main", F.col("refers_capture"), F.col("refers_to")))
+    earlier = F.when(repeat, _record_id("main", "refers_to", "refers_url", F.lit(0)))
     head = F.lit(HTTP_HEAD)
     response = _record(
         [
@@ -93,10 +125,28 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     request = _record([("WARC-Type", F.lit("request")), ("WARC-Record-ID", _record_id("request")), date, target, ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/http; msgtype=request"))], ask)
     known = F.concat_ws("", *[F.concat(F.lit(f"{name}: "), F.col(column).cast("string"), F.lit(CRLF)) for name, column in (("page-id", "page_id"), ("refers-to-page", "refers_to"), ("payload-length", "length"))])
     metadata = _record([("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _record_id("metadata")), date, target, ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))], known)
-    records = rows.withColumn("length", F.octet_length("payload")).select(F.explode(F.array(request, response, metadata)).alias("value"))
-    per_archive = 3 * max(1, int(archive_bytes // (mean + len(HTTP_HEAD))))
-    writer = records.select("value").write.option("lineSep", CRLF * 2).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", per_archive).text(path)
+    whole = rows.select(F.concat_ws(CRLF * 2, request, response, metadata).alias("value"))
+    packed = map_rows(whole.select("value", F.octet_length("value").alias("size")), _Packer(archive_bytes), "value string", size=1)
+    packed.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+
+
+class _Packer:
+    """Joins captures to archives of so many bytes at most, a larger capture alone."""
+
+    def __init__(self, archive_bytes: int):
+        self.archive_bytes = archive_bytes
+
+    def __call__(self, batches):
+        held, size = [], 0
+        for batch in batches:
+            for value, n in zip(batch["value"], batch["size"]):
+                if held and size + n > self.archive_bytes:
+                    yield (CRLF * 2).join(held),
+                    held, size = [], 0
+                held.append(value)
+                size += n
+        if held:
+            yield (CRLF * 2).join(held),
 
 
 def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -39,6 +39,34 @@ def test_round_trip(spark, tmp_path):
     assert all(r.request and r.main and r.metadata for r in captures.collect())
 
 
+def test_archives_end_by_bytes(spark, tmp_path):
+    sizes = [200_000] * 6 + [10] * 300 + [3_000_000] + [70_000] * 9
+    rows = [(i, f"http://a/{i}", f"{i} " + "é" * (n // 2)) for i, n in enumerate(sizes)]
+    path = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA.split(", capture")[0]).coalesce(1), path, archive_bytes=500_000)
+    held = []
+    for file in (tmp_path / "w").glob("*.gz"):
+        content = gzip.decompress(file.read_bytes())
+        held.append((len(content), sum(h["warc-type"] == "response" for h, _ in warc.parse_archive(content))))
+    assert sum(n for _, n in held) == len(rows)
+    assert all(size <= 501_000 or n == 1 for size, n in held) and max(n for _, n in held) > 50 and len(held) < 40
+    assert warc.read_records(spark, path).count() == 3 * len(rows)
+
+
+def test_rows_alike_and_shuffled_pages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "REPEATS", 7)
+    rows = [(1, "u", "hot")] * 40 + [(1, None, "hot"), (None, "1", "hot"), (1, "v", "hot"), (2, None, ""), (None, "u", "")] + [(3, "u", "x")] * 2
+    pages = spark.createDataFrame(rows, SCHEMA.split(", capture")[0])
+    for least in (0, 2):
+        path = str(tmp_path / f"w{least}")
+        warc.write_archives(pages.repartition(5), path, least_bytes=least)
+        captures = warc.assemble(warc.read_records(spark, path)).collect()
+        assert len(captures) == len(rows) and all(c.request and c.main and c.metadata for c in captures)
+        stored = {c.main.record_id for c in captures if c.main.type == "response"}
+        again = [c.main for c in captures if c.main.type == "revisit"]
+        assert len(stored) == (3 if least == 0 else 5) and all(m.refers_to in stored for m in again)
+
+
 def test_plain_and_many_member_archives():
     record = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 3\r\n\r\na\r\n\r\n\r\n"
     many = gzip.compress(record) + gzip.compress(record)
