@@ -1,9 +1,9 @@
 """Toxicity scores: a lexicon trie read through Levenshtein automata, and context windows around the hits.
 
 The lexicon is learned from labelled documents: words, and stems of four to eight letters, that toxic documents have and
-clean ones hardly do. Its entries form a trie. A word of a text is run through the product of that trie with the
-Levenshtein automaton of each entry's edit allowance (one edit from five letters on, two from nine; stems take none),
-whose states are made deterministic as they are met and kept, so that a letter costs one look-up and misspelled
+clean ones hardly do. Its entries form a trie. A word of a text (letters, and digits between letters) is run through
+the product of that trie with the Levenshtein automaton of each entry's edit allowance (one edit from five letters on,
+two from nine; stems take none, but the learned words below a stem stay entries, so their misspellings are found), whose states are made deterministic as they are met and kept, so that a letter costs one look-up and misspelled
 entries are found without trying any entry by itself.
 
 A hit weighs by its entry. Its window tells quotation from abuse: quotation marks around it or a reporting verb near
@@ -30,7 +30,7 @@ LEXICON_ENTRIES = 2_000
 LEAST_TOXIC = 3
 LEAST_WEIGHT = 2.0
 STEMS = range(4, 9)
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+(?:\d+[^\W\d_]+)*")
 THRESHOLD = 0.3
 REMEMBERED_WORDS = 500_000
 REMEMBERED_STATES = 200_000
@@ -244,12 +244,17 @@ def _significant(terms: DataFrame, toxic: int, clean: int) -> list:
 
 
 def _pruned(rows: list[tuple[str, int, float]]) -> dict[str, float]:
-    """Of words and stems that stand for the same documents one is kept: a word if it has nearly all of them, else the shortest stem."""
+    """Of words and stems that stand for the same documents one is kept: a word if it has nearly all of them, else the shortest stem.
+
+    Words below a kept stem that are long enough for an edit are kept too: the stem finds them as they are, they their misspellings.
+    """
     kept: dict[str, float] = {}
     counts = {term: n for term, n, _ in rows}
     for term, n, weight in sorted(rows, key=lambda r: (len(r[0].rstrip("*")), r[0])):
         own = term.rstrip("*")
         if any(own[:k] + "*" in kept for k in range(1, len(own) + (not term.endswith("*")))):
+            if allowance(term):
+                kept[term] = weight
             continue
         longer = [t for t in counts if t.startswith(own) and t != term] if term.endswith("*") else []
         if any(counts[t] >= 0.9 * n for t in longer):

@@ -1,5 +1,6 @@
 """The automaton against edit distances, and held-out accuracy."""
 
+import math
 import random
 import zlib
 
@@ -85,3 +86,55 @@ def test_sample_has_one_text_of_an_id_that_fills_the_table(spark):
     for rows in (1000, 10):
         sample = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", rows).collect()
         assert len({r.id for r in sample}) == len(sample) == min(rows, len(free)) and {r.id for r in sample} <= free
+
+
+def test_words_below_a_stem_keep_their_misspellings():
+    kept = toxicity._pruned([("grozz*", 40, 5.0), ("grozzanly", 5, 4.0), ("grozzly*", 6, 4.0), ("nasty", 9, 3.0), ("gro", 30, 2.5)])
+    assert set(kept) == {"grozz*", "grozzanly", "nasty", "gro"}
+    automaton = toxicity.LexiconAutomaton(kept)
+    assert automaton.match("grozzanly") == (5.0, 0) and automaton.match("grozly") is None
+    assert automaton.match("gozzanly") == (4.0, 1) and automaton.match("grrozzanlly") == (4.0, 2)
+    assert toxicity.WORD.findall("na5ty 12 n4s7y x9") == ["na5ty", "n4s7y", "x"] and automaton.match("na5ty") == (3.0, 1)
+
+
+def plain_features(text, weights):
+    """The features by comparing every word with every entry."""
+    lowered = text.lower()
+    found = list(toxicity.WORD.finditer(lowered))
+    words = [m.group() for m in found]
+    exact = fuzzy = quoted = strongest = direct = 0.0
+    for i, m in enumerate(found):
+        near = [(distance(words[i], e), -w) for e, w in weights.items() if not e.endswith("*") and distance(words[i], e) <= toxicity.allowance(e)]
+        near += [(0, -w) for e, w in weights.items() if e.endswith("*") and words[i].startswith(e[:-1])]
+        if not near:
+            continue
+        edits, weight = min(near)[0], -min(near)[1]
+        window = words[max(0, i - toxicity.WINDOW_WORDS) : i + toxicity.WINDOW_WORDS + 1]
+        if toxicity.Scorer._in_quotes(lowered, *m.span()) or set(window) & toxicity.REPORTING:
+            quoted += weight
+            continue
+        weight /= 1 + edits
+        strongest, direct = max(strongest, weight), direct + bool(set(window) & toxicity.ADDRESS)
+        exact, fuzzy = exact + weight * (not edits), fuzzy + weight * bool(edits)
+    return [math.log1p(exact + fuzzy), math.log1p(fuzzy), math.log1p(quoted), strongest, math.log1p(direct)]
+
+
+def test_scores_against_brute_force(spark):
+    rows, marks = made(300)
+    rng = random.Random(5)
+    rows += [(5000 + i, " ".join(rng.choice(["you", "said", '"nasty"', "horribel", "wickd", "n4sty", "grozzanly", "grozanly", "plain", ".", "the"]) for _ in range(rng.randint(0, 30))), "x", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string, held_out int")
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id bigint, toxic int, quality int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert model.weights and len(got) == len(rows)
+    for doc_id, text, *_ in rows:
+        z = model.coefficients[0] + sum(c * f for c, f in zip(model.coefficients[1:], plain_features(text, model.weights)))
+        assert abs(got[doc_id] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_a_labelled_id_in_many_rows(spark):
+    rows = [(8, f"text {i} nasty", "x", 1) for i in range(3000)] + [(i, "fine", "x", 1) for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string, held_out int")
+    labels = spark.createDataFrame([(8, 1)] + [(i, 0) for i in range(100, 140)], "doc_id bigint, toxic int")
+    sample = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", 20).collect()
+    assert len(sample) <= 20 and len({r.id for r in sample}) == len(sample)
