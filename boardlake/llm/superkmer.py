@@ -156,6 +156,8 @@ def _spread(texts: DataFrame, window: int, k: int, kind: str) -> DataFrame:
 
     rows = map_rows(texts, run, f"window binary, id {kind}, digest binary, start int")
     firsts = rows.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("window", "first")
+    # Written first: the join below then has plain exchanges on both sides, and a window of very many texts can be split.
+    firsts = staged(firsts, "superkmer-firsts")
     later = rows.join(firsts, "window").filter(F.col("id") > F.col("first"))
     return later.select("digest", "start", (F.col("start") + window).alias("end"))
 
