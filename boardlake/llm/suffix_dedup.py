@@ -252,6 +252,8 @@ def _spread_spans(sources: DataFrame, window: int, gram: int) -> DataFrame:
 
     rows = map_rows(sources, run, "key binary, digest binary, start int").distinct()
     again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # Written first: the join below then has plain exchanges on both sides, and a window of very many texts can be split.
+    again = staged(again, "suffix-again")
     return rows.join(again, "key").select("digest", "start", (F.col("start") + window).alias("end"))
 
 
