@@ -1,6 +1,6 @@
 """Ranked top-k that reads only the blocks of postings which can hold a hit, and a stored dictionary of terms.
 
-Documents are numbered by length and cut into blocks of ``BLOCK_DOCS``. A row of ``blocks`` is one token in one block: the documents' places
+Documents are sorted by length and cut into blocks of at most ``BLOCK_DOCS``, fewer where these are long. A row of ``blocks`` is one token in one block: the documents' places
 (0 to ``BLOCK_DOCS`` - 1, which Parquet stores as bit-packed differences), weighted occurrences and lengths, and beside these lists the largest
 weight and the smallest length in it. With idf these bound the score of every document of the block. A search first reads the bounds alone (for a
 prefix of several tokens also their lists, as a document's weight is the sum of theirs). The blocks with the best bounds give a k-th score; a block
@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boardlake.operators import search as S
-from boardlake.operators.grouping import with_positions
-from boardlake.operators.index import TextIndex, index_stats, postings_of
+from boardlake.operators.index import TextIndex, index_stats
+from boardlake.operators.pieces import blocked_documents, joined_fields
 from boardlake.session import staged
 
 BLOCK_DOCS = 1024
@@ -42,27 +42,17 @@ class BlockIndex:
 def store_blocks(index: TextIndex, path: str) -> BlockIndex:
     """Write blocks, dictionary and document numbers of an index and read them back."""
     spark = index.forward.sparkSession
-    # Documents of one length are numbered in parts, so that no task holds all of them.
-    salted = index.forward.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    numbered = with_positions(salted, [], [F.col("doc_id")], F.struct("doc_tokens", "salt"))
-    place = F.col("position") % BLOCK_DOCS
-    numbered = numbered.withColumns({"block": F.floor(F.col("position") / BLOCK_DOCS), "place": place.cast("int")}).select("doc_id", "doc_tokens", "fields", "block", "place")
-    numbered.write.parquet(f"{path}/numbered")
-    numbered = spark.read.parquet(f"{path}/numbered")
-    weight = reduce(lambda w, item: w.when(F.col("col") == item[0], F.lit(item[1])), index.weights.items(), F)
-    number = F.struct("block", "place")
-    found = postings_of(numbered.select(number.alias("doc_id"), "doc_tokens", "fields"))
-    per_doc = found.groupBy("token", "doc_id").agg(F.sum(weight).alias("f"), F.max("doc_tokens").alias("length"), F.count(F.lit(1)).alias("hits"))
-    entry = F.struct(F.col("doc_id.place").alias("place"), "f", "length")
-    grouped = per_doc.groupBy("token", F.col("doc_id.block").alias("block")).agg(
-        F.array_sort(F.collect_list(entry)).alias("e"), F.sum("hits").alias("hits"), F.max("f").alias("max_f"), F.min("length").alias("min_tokens")
-    )  # at most BLOCK_DOCS entries
-    lists = [F.col("e.place").alias("places"), F.col("e.f").alias("f"), F.col("e.length").alias("lengths")]
-    rows = grouped.select("token", "block", F.size("e").alias("n"), "hits", "max_f", "min_tokens", *lists)
+    # The order is total: the range cuts documents of one length as well, so that no task gets all of them.
+    order = ["doc_tokens", "salt", "doc_id"]
+    salted = joined_fields(index.forward).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    ordered = salted.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "fields", F.spark_partition_id().alias("part"))
+    blocked = staged(blocked_documents(ordered, BLOCK_DOCS, index.weights), "block-pieces")
+    rows = blocked.filter("token IS NOT NULL").drop("docs")
     rows.repartitionByRange("token", "block").sortWithinPartitions("token", "block").write.option("parquet.writer.version", "v2").parquet(f"{path}/blocks")
     terms = spark.read.parquet(f"{path}/blocks").groupBy("token").agg(F.sum("n").alias("docs"), F.sum("hits").alias("hits"))
     terms.repartitionByRange("token").sortWithinPartitions("token").write.parquet(f"{path}/terms")
-    numbered.select("block", "place", "doc_id").repartitionByRange("block", "place").sortWithinPartitions("block", "place").write.parquet(f"{path}/names")
+    names = blocked.filter("token IS NULL").select("block", F.posexplode("docs").alias("place", "doc_id"))
+    names.repartitionByRange("block", "place").sortWithinPartitions("block", "place").write.parquet(f"{path}/names")
     index_stats(index).write.parquet(f"{path}/stats")
     return load_blocks(spark, path)
 
@@ -91,7 +81,7 @@ def expanded_postings(index: TextIndex, blocks: BlockIndex, queries: str | dict[
 
     A prefix of more than ``EXPANDED`` tokens is given to the scan as it is: its tokens are neighbours there.
     """
-    rows = S.word_terms(S.keyed_words(S.parse_queries(S.query_frame(index.postings.sparkSession, queries)))).collect()
+    rows = S.word_terms(S.keyed_words(S.parse_queries(S.query_frame(index.forward.sparkSession, queries)))).collect()
     admits = []
     for row in rows:
         near = blocks.terms.filter(_admitted([row])).select("token").limit(EXPANDED + 1).collect() if row.is_prefix else []

@@ -1,4 +1,4 @@
-"""Text index: forward token lists per document, and postings sorted by token."""
+"""Text index: forward token lists per document, and packed postings sorted by token."""
 
 from __future__ import annotations
 
@@ -8,24 +8,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
+from boardlake.operators.pieces import counted, entries_of, packed_documents
+from boardlake.session import staged
 
 # Indexed columns with their ranking weights (fixed values).
 ISSUE_TEXT = {"identifier": 5.0, "title": 3.0, "description": 1.0}
 COMMENT_TEXT = {"body": 1.0}
+ROW_GROUP = 4 << 20  # bytes of a row group of postings, the least a search reads of a file
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``postings``: (token, doc_id, col, pos, doc_tokens).
+    """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``entries``: (token, doc_id, col, doc_tokens, hits, places).
 
-    ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
+    ``terms``: (token, docs, hits) of every token. ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
     """
 
     forward: DataFrame
-    postings: DataFrame
+    entries: DataFrame
+    terms: DataFrame
     weights: dict[str, float]
     totals: DataFrame | None = None
 
+    @property
+    def postings(self) -> DataFrame:
+        """One row per token occurrence: (token, doc_id, col, pos, doc_tokens)."""
+        placed = self.entries.select("token", "doc_id", "col", F.explode("places").alias("pos"), "doc_tokens")
+        return placed.withColumn("pos", F.col("pos").cast("bigint"))
+
 
 def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
     """Tokens of every text column per document; a NULL column has none."""
@@ -35,26 +45,18 @@ def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> Data
     return listed.select("doc_id", length.alias("doc_tokens"), "fields")
 
 
-def postings_of(forward: DataFrame) -> DataFrame:
-    """One row per token occurrence; ``doc_tokens`` rides along so that ranking needs no join for it."""
-    # The outer form: for the inner one Spark would compute the tokens once more to filter empty arrays.
-    field = forward.select("doc_id", "doc_tokens", F.explode_outer("fields").alias("field"))
-    placed = field.select("doc_id", "doc_tokens", "field.col", F.posexplode("field.tokens").alias("pos", "token"))
-    return placed.select("token", "doc_id", "col", F.col("pos").cast("bigint").alias("pos"), "doc_tokens")
-
-
 def build_index(rows: DataFrame, weights: dict[str, float], key: str = "id") -> TextIndex:
     """Index as lazy frames; use ``store_index`` before asking many queries."""
     forward = forward_tokens(rows, list(weights), key)
-    return TextIndex(forward, postings_of(forward), weights)
+    return TextIndex(forward, entries_of(packed_documents(forward)), counted(packed_documents(forward, whole_ids=True)), weights)
 
 
 def store_index(rows: DataFrame, weights: dict[str, float], path: str, key: str = "id") -> TextIndex:
     """Write the index and read it back.
 
-    Text is tokenised once, for the forward table. The postings are then ranged by (token, doc_id):
-    the documents of a frequent token spread over several files, and a search for a token or prefix
-    reads only the row groups whose minimum and maximum admit it.
+    Text is tokenised once, for the forward table. Each task then packs the postings of its documents and writes them sorted by
+    token, without a shuffle: the documents of a frequent token spread over all files, and a search for a token or prefix
+    reads only the row groups of each file whose minimum and maximum admit it.
     """
     return _store(forward_tokens(rows, list(weights), key), path, weights)
 
@@ -73,9 +75,15 @@ def _store(forward: DataFrame, path: str, weights: dict[str, float]) -> TextInde
 
 
 def write_postings(forward: DataFrame, path: str) -> None:
-    order = ["token", "doc_id", "col", "pos"]
-    postings = postings_of(forward).repartitionByRange("token", "doc_id").sortWithinPartitions(*order)
-    postings.write.mode("errorifexists").parquet(path)
+    # Only rows whose id repeats have to be brought together to be counted as one document.
+    repeated = staged(forward.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id")), "repeated-ids")
+    if repeated.isEmpty():
+        packed = packed_documents(forward)
+    else:
+        same = F.col("doc_id").eqNullSafe(F.col("_id"))
+        packed = packed_documents(forward.join(repeated, same, "left_anti"))
+        packed = packed.unionByName(packed_documents(forward.join(repeated, same, "left_semi"), whole_ids=True))
+    packed.sortWithinPartitions("token").write.option("parquet.block.size", str(ROW_GROUP)).mode("errorifexists").parquet(path)
 
 
 def load_forward(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +91,8 @@ def load_forward(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_index(spark: SparkSession, path: str, weights: dict[str, float]) -> TextIndex:
-    return TextIndex(load_forward(spark, path), spark.read.parquet(f"{path}/postings"), weights, spark.read.parquet(f"{path}/totals"))
+    packed = spark.read.parquet(f"{path}/postings")
+    return TextIndex(load_forward(spark, path), entries_of(packed), counted(packed), weights, spark.read.parquet(f"{path}/totals"))
 
 
 def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key: str = "id") -> TextIndex:
@@ -96,8 +105,18 @@ def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key:
 def replace_documents(index: TextIndex, gone: DataFrame, new: DataFrame) -> TextIndex:
     """Index without the documents of ``gone`` and with the forward rows of ``new``."""
     forward = index.forward.join(gone, "doc_id", "left_anti").unionByName(new)
-    postings = index.postings.join(gone, "doc_id", "left_anti").unionByName(postings_of(new))
-    return TextIndex(forward, postings.select(*index.postings.columns), index.weights)
+    entries = index.entries.join(gone, "doc_id", "left_anti").unionByName(entries_of(packed_documents(new)))
+    # Only documents that are touched are counted anew: what they held is taken off, what they hold is added. Rows without an id are one document.
+    ids = gone.select("doc_id").unionByName(new.select("doc_id")).distinct()
+    touched = ids.select(F.col("doc_id").alias("_id")).unionByName(index.forward.sparkSession.createDataFrame([(None,)], "_id string").select(F.col("_id").cast(ids.schema[0].dataType))).distinct()
+
+    def held(rows: DataFrame, sign: int) -> DataFrame:
+        part = counted(packed_documents(rows.join(touched, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), whole_ids=True))
+        return part.select("token", (F.col("docs") * sign).alias("docs"), (F.col("hits") * sign).alias("hits"))
+
+    parts = index.terms.unionByName(held(index.forward, -1)).unionByName(held(forward, 1))
+    terms = parts.groupBy("token").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits")).filter("hits > 0")
+    return TextIndex(forward, entries.select(*index.entries.columns), terms, index.weights)
 
 
 def _count(forward: DataFrame) -> DataFrame:
@@ -111,6 +130,5 @@ def index_stats(index: TextIndex) -> DataFrame:
 
 
 def term_stats(index: TextIndex) -> DataFrame:
-    """Occurrences and documents per token; reduced per document before documents are counted."""
-    per_doc = index.postings.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("hits"))
-    return per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
+    """Occurrences and documents per token, added up from the pieces of the index."""
+    return index.terms

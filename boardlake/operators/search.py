@@ -80,7 +80,7 @@ def word_terms(words: DataFrame) -> DataFrame:
 
 
 def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings that satisfy a term: equal tokens, or tokens that start with a prefix term.
+    """Postings or entries that satisfy a term: equal tokens, or tokens that start with a prefix term.
 
     Prefixes become an equality join: a token is offered once per distinct term length, cut to
     that length. Spark broadcasts the terms while they are small; otherwise both sides are
@@ -94,21 +94,29 @@ def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     return offered.join(terms, fits).drop("_cut", "_lengths")
 
 
-def phrase_hits(postings: DataFrame, terms: DataFrame) -> DataFrame:
+def phrase_hits(entries: DataFrame, terms: DataFrame) -> DataFrame:
     """Phrase occurrences: (word, doc_id, col, start, doc_tokens).
 
-    A phrase of n terms starts where n consecutive positions each satisfy their term, so counting
-    matches per start position replaces a self-join. Rows spread by document, whatever the
-    frequency of a token.
+    A phrase of n terms starts where n consecutive positions each satisfy their term: each term's positions in a document
+    are moved back to the start, and starts that come n times are kept. Rows spread by document, whatever the
+    frequency of a token, and hold the positions of a term as a list.
     """
-    return (
-        match_terms(postings, terms)
-        .groupBy("word", "doc_id", "col", (F.col("pos") - F.col("term_no")).alias("start"))
-        .agg(F.count(F.lit(1)).alias("_found"), F.max("n_terms").alias("_needed"), F.max("doc_tokens").alias("doc_tokens"))
-        .filter("_found = _needed")
-        .drop("_found", "_needed")
+    starts = F.transform("places", lambda p: p - F.col("term_no"))
+    found = (
+        match_terms(entries, terms)
+        .groupBy("word", "doc_id", "col")
+        .agg(F.array_sort(F.flatten(F.collect_list(starts))).alias("_all"), F.max("n_terms").alias("_needed"), F.max("doc_tokens").alias("doc_tokens"))
     )
 
+    def whole(start: Column, at: Column) -> Column:
+        """The first of exactly as many equal starts as the phrase has terms."""
+        first = F.coalesce(F.get("_all", at - 1) != start, F.lit(True))
+        ended = F.coalesce(F.get("_all", at + F.col("_needed")) != start, F.lit(True))
+        return first & ended & F.coalesce(F.get("_all", at + F.col("_needed") - 1) == start, F.lit(False))
+
+    kept = found.select("word", "doc_id", "col", "doc_tokens", F.explode(F.filter("_all", whole)).alias("start"))
+    return kept.select("word", "doc_id", "col", F.col("start").cast("bigint").alias("start"), "doc_tokens")
+
 
 def word_frequency(index: TextIndex, request: Request) -> DataFrame:
     """Weighted occurrences of each word per document: (word, doc_id, f, doc_tokens).
@@ -118,14 +126,14 @@ def word_frequency(index: TextIndex, request: Request) -> DataFrame:
     """
     weight = reduce(lambda w, item: w.when(F.col("col") == item[0], F.lit(item[1])), index.weights.items(), F)
 
-    def counted(hits: DataFrame) -> DataFrame:
-        return hits.groupBy("word", "doc_id").agg(F.sum(weight).alias("f"), F.max("doc_tokens").alias("doc_tokens"))
+    def counted(hits: DataFrame, number: Column) -> DataFrame:
+        return hits.groupBy("word", "doc_id").agg(F.sum(weight * number).alias("f"), F.max("doc_tokens").alias("doc_tokens"))
 
     legs = []
     if request.has_single:
-        legs.append(counted(match_terms(request.postings, request.terms.filter("n_terms = 1"))))
+        legs.append(counted(match_terms(request.entries, request.terms.filter("n_terms = 1")), F.col("hits")))
     if request.has_phrase:
-        legs.append(counted(phrase_hits(request.postings, request.terms.filter("n_terms > 1"))))
+        legs.append(counted(phrase_hits(request.entries, request.terms.filter("n_terms > 1")), F.lit(1)))
     # True for every row. It makes each use of the frame need the same columns, so that Spark
     # matches and shuffles once and reuses the exchange.
     whole = "f > 0 AND doc_tokens > 0 AND word IS NOT NULL AND doc_id IS NOT NULL"
@@ -166,9 +174,9 @@ def rank_documents(index: TextIndex, request: Request) -> DataFrame:
 
 @dataclass(frozen=True)
 class Request:
-    """Queries ready to run: the postings to read, distinct terms, words per query, parsed texts."""
+    """Queries ready to run: the entries to read, distinct terms, words per query, parsed texts."""
 
-    postings: DataFrame
+    entries: DataFrame
     terms: DataFrame
     words: DataFrame
     parsed: DataFrame
@@ -177,11 +185,11 @@ class Request:
 
 
 def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Request:
-    """Parse queries. The tokens of literal queries are pushed into the postings scan."""
-    parsed = parse_queries(query_frame(index.postings.sparkSession, queries))
+    """Parse queries. The tokens of literal queries are pushed into the scan of the entries."""
+    parsed = parse_queries(query_frame(index.forward.sparkSession, queries))
     if isinstance(queries, DataFrame):
         words = keyed_words(parsed)
-        return Request(index.postings, word_terms(words), words, parsed)
+        return Request(index.entries, word_terms(words), words, parsed)
     # Texts the caller typed: a few rows, kept as local frames.
     spark = parsed.sparkSession
     parsed = spark.createDataFrame(parsed.collect(), parsed.schema)
@@ -189,9 +197,9 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     rows = word_terms(words).collect()
     terms = spark.createDataFrame(rows, word_terms(words).schema)
     admits = [F.col("token").startswith(r.term) if r.is_prefix else F.col("token") == r.term for r in rows]
-    postings = index.postings.filter(reduce(lambda a, b: a | b, admits, F.lit(False)))
+    entries = index.entries.filter(reduce(lambda a, b: a | b, admits, F.lit(False)))
     single, phrase = any(r.n_terms == 1 for r in rows), any(r.n_terms > 1 for r in rows)
-    return Request(postings, terms, words, parsed, single or not phrase, phrase)
+    return Request(entries, terms, words, parsed, single or not phrase, phrase)
 
 
 def rank_matches(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> DataFrame:

@@ -200,13 +200,13 @@ def found_sql(queries: dict[str, list]) -> str:
 @register("search_phrase", found_sql({"phrase": QUERY_WORDS["phrase"], "exact": [(["en", "7"], False)]}))
 def search_phrase(spark, sf):
     request = S.prepare(stored_index(spark, sf, "issues"), {"phrase": '"of the"', "exact": '"EN-7"'})
-    return S.phrase_hits(request.postings, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
+    return S.phrase_hits(request.entries, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
 
 
 @register("search_prefix", found_sql({q: QUERY_WORDS[q] for q in ("one", "two", "prefix")}))
 def search_prefix(spark, sf):
     request = S.prepare(stored_index(spark, sf, "issues"), {q: QUERY_TEXTS[q] for q in ("one", "two", "prefix")})
-    return S.phrase_hits(request.postings, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
+    return S.phrase_hits(request.entries, request.terms).groupBy("word", "doc_id", "col").agg(F.count(F.lit(1)).alias("hits"))
 
 
 @register(
