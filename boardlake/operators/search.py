@@ -15,6 +15,7 @@ from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
 from boardlake.operators.index import TextIndex, index_stats
 from boardlake.operators.reads import equals, keep_if, status_in
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
+from boardlake.session import staged
 
 # Fixed values of the ranking formula: saturation, length share, floor of the inverse document frequency.
 HIT_PARTS = 64
@@ -79,13 +80,16 @@ def word_terms(words: DataFrame) -> DataFrame:
     return term.withColumn("is_prefix", F.col("_prefix") & last).drop("_prefix")
 
 
-def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+def match_terms(postings: DataFrame, terms: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     """Postings or entries that satisfy a term: equal tokens, or tokens that start with a prefix term.
 
     Prefixes become an equality join: a token is offered once per distinct term length, cut to
     that length. Spark broadcasts the terms while they are small; otherwise both sides are
-    shuffled by the cut token and AQE splits frequent ones.
+    shuffled by the cut token and AQE splits frequent ones. With ``tokens``, the index's distinct ones, these are matched
+    first and once, and postings meet only what their whole token was found to satisfy.
     """
+    if tokens is not None:
+        return postings.join(staged(match_terms(tokens.select("token"), terms), "matched-tokens"), "token")
     lengths = terms.agg(F.collect_set(F.length("term")).alias("lengths")).scalar()
     measured = postings.withColumn("_lengths", lengths)
     fitting = F.filter("_lengths", lambda n: n <= F.length("token"))
@@ -94,7 +98,7 @@ def match_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
     return offered.join(terms, fits).drop("_cut", "_lengths")
 
 
-def phrase_hits(entries: DataFrame, terms: DataFrame) -> DataFrame:
+def phrase_hits(entries: DataFrame, terms: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     """Phrase occurrences: (word, doc_id, col, start, doc_tokens).
 
     A phrase of n terms starts where n consecutive positions each satisfy their term: each term's positions in a document
@@ -103,7 +107,7 @@ def phrase_hits(entries: DataFrame, terms: DataFrame) -> DataFrame:
     """
     starts = F.transform("places", lambda p: p - F.col("term_no"))
     found = (
-        match_terms(entries, terms)
+        match_terms(entries, terms, tokens)
         .groupBy("word", "doc_id", "col")
         .agg(F.array_sort(F.flatten(F.collect_list(starts))).alias("_all"), F.max("n_terms").alias("_needed"), F.max("doc_tokens").alias("doc_tokens"))
     )
@@ -131,9 +135,9 @@ def word_frequency(index: TextIndex, request: Request) -> DataFrame:
 
     legs = []
     if request.has_single:
-        legs.append(counted(match_terms(request.entries, request.terms.filter("n_terms = 1")), F.col("hits")))
+        legs.append(counted(match_terms(request.entries, request.terms.filter("n_terms = 1"), request.tokens), F.col("hits")))
     if request.has_phrase:
-        legs.append(counted(phrase_hits(request.entries, request.terms.filter("n_terms > 1")), F.lit(1)))
+        legs.append(counted(phrase_hits(request.entries, request.terms.filter("n_terms > 1"), request.tokens), F.lit(1)))
     # True for every row. It makes each use of the frame need the same columns, so that Spark
     # matches and shuffles once and reuses the exchange.
     whole = "f > 0 AND doc_tokens > 0 AND word IS NOT NULL AND doc_id IS NOT NULL"
@@ -174,7 +178,7 @@ def rank_documents(index: TextIndex, request: Request) -> DataFrame:
 
 @dataclass(frozen=True)
 class Request:
-    """Queries ready to run: the entries to read, distinct terms, words per query, parsed texts."""
+    """Queries ready to run: the entries to read, distinct terms, words per query, parsed texts; for a frame of queries the tokens to match first."""
 
     entries: DataFrame
     terms: DataFrame
@@ -182,6 +186,7 @@ class Request:
     parsed: DataFrame
     has_single: bool = True
     has_phrase: bool = True
+    tokens: DataFrame | None = None
 
 
 def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Request:
@@ -189,7 +194,7 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     parsed = parse_queries(query_frame(index.forward.sparkSession, queries))
     if isinstance(queries, DataFrame):
         words = keyed_words(parsed)
-        return Request(index.entries, word_terms(words), words, parsed)
+        return Request(index.entries, word_terms(words), words, parsed, tokens=index.terms)
     # Texts the caller typed: a few rows, kept as local frames.
     spark = parsed.sparkSession
     parsed = spark.createDataFrame(parsed.collect(), parsed.schema)

@@ -45,3 +45,14 @@ def test_phrases_of_lists_are_those_of_positions(spark):
     request = S.prepare(index, {"two": '"of the"', "same": '"the the"'})
     found = sorted((r.word, r.doc_id, r.col, r.start) for r in S.phrase_hits(request.entries, request.terms).collect())
     assert found == [("of the", "a", "body", 0), ("of the", "a", "body", 2), ("of the", "b", "body", 1), ("the the", "a", "title", 0), ("the the", "a", "title", 1)]
+
+
+def test_queries_of_a_frame_match_distinct_tokens_first(spark, rows):
+    index = build_index(rows, WEIGHTS)
+    frame = spark.createDataFrame([("q", "mo f"), ("r", '"moss fern"')], "query_id string, text string")
+    request = S.prepare(index, frame)
+    found = S.match_terms(request.entries, request.terms, request.tokens)
+    assert "substr" not in found._jdf.queryExecution().optimizedPlan().toString()
+    columns = ["token", "doc_id", "col", "word", "term_no"]
+    plain = S.match_terms(request.entries, request.terms).select(columns)
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, plain.collect())) != []
