@@ -15,6 +15,7 @@ from boardlake.session import staged
 ISSUE_TEXT = {"identifier": 5.0, "title": 3.0, "description": 1.0}
 COMMENT_TEXT = {"body": 1.0}
 ROW_GROUP = 4 << 20  # bytes of a row group of postings, the least a search reads of a file
+TASK_BYTES = 32 << 20  # bytes of the forward table whose postings one task sorts
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def fold_index(index: TextIndex, path: str) -> TextIndex:
 
 def _store(forward: DataFrame, path: str, weights: dict[str, float]) -> TextIndex:
     spark = forward.sparkSession
-    forward.write.mode("errorifexists").parquet(f"{path}/forward")
+    forward.write.option("parquet.block.size", str(TASK_BYTES // 2)).mode("errorifexists").parquet(f"{path}/forward")
     write_postings(load_forward(spark, path), f"{path}/postings")
     _count(load_forward(spark, path)).write.mode("errorifexists").parquet(f"{path}/totals")
     return load_index(spark, path, weights)
@@ -83,7 +84,14 @@ def write_postings(forward: DataFrame, path: str) -> None:
         same = F.col("doc_id").eqNullSafe(F.col("_id"))
         packed = packed_documents(forward.join(repeated, same, "left_anti"))
         packed = packed.unionByName(packed_documents(forward.join(repeated, same, "left_semi"), whole_ids=True))
-    packed.sortWithinPartitions("token").write.option("parquet.block.size", str(ROW_GROUP)).mode("errorifexists").parquet(path)
+    # A task holds what it sorts, so it reads less than Spark's usual share of the files.
+    conf, name = forward.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
+    usual = conf.get(name)
+    conf.set(name, str(TASK_BYTES))
+    try:
+        packed.sortWithinPartitions("token").write.option("parquet.block.size", str(ROW_GROUP)).mode("errorifexists").parquet(path)
+    finally:
+        conf.set(name, usual)
 
 
 def load_forward(spark: SparkSession, path: str) -> DataFrame:
