@@ -19,6 +19,18 @@ def latest_per_key(frame: DataFrame, keys: list[str], order: list[Column | str],
     return best.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in frame.columns])
 
 
+def repeated_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that more than one row has."""
+    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(*keys)
+
+
+def latest_of_repeated(frame: DataFrame, keys: list[str], order: list[Column | str], repeated: DataFrame) -> DataFrame:
+    """``latest_per_key`` that moves only the rows of ``repeated`` keys; keys are not null."""
+    once = frame.join(repeated, keys, "left_anti").select(*frame.columns)
+    more = latest_per_key(frame.join(repeated, keys, "left_semi").select(*frame.columns), keys, order)
+    return once.unionByName(more)
+
+
 def with_positions(frame: DataFrame, keys: list[str], order: list[Column], part: Column) -> DataFrame:
     """Add ``position``, the 0-based place of each row in its group. ``order`` must be total.
 

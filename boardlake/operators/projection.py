@@ -45,6 +45,19 @@ def project_records(
     Records without a required id are left out here and listed by ``quarantined``. ``keep`` names
     further input columns to carry along, such as the arrival order.
     """
+    projected = project_all(records, entity, synced_at, api_base, raw, keep)
+    return projected.filter("_whole").drop("_whole")
+
+
+def project_all(
+    records: DataFrame,
+    entity: str,
+    synced_at: Column | str,
+    api_base: Column | str | None = None,
+    raw: str = "raw",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The same for all records in one parse: ``_whole`` tells those with all required ids from those for quarantine."""
     stamp = F.lit(synced_at) if isinstance(synced_at, str) else synced_at
     fields = [_typed(F.col("_record"), key, rule, *default).alias(name) for name, key, rule, *default in ENTITY_FIELDS[entity]]
     if entity == "companies":
@@ -54,7 +67,7 @@ def project_records(
     if entity == "issues":
         fields.append(F.lit(None).cast("string").alias("comments_synced_at"))
     fields.append(F.col(raw).alias("raw_json"))
-    projected = _parsed(records, entity, raw).filter(_has_ids(entity)).select(*fields, *(keep or []))
+    projected = _parsed(records, entity, raw).select(*fields, *(keep or []), _has_ids(entity).alias("_whole"))
     assert projected.columns[: len(entity_schema(entity))] == entity_schema(entity).names
     return projected
 

@@ -103,7 +103,12 @@ def prune_stale(stored: DataFrame, runs: DataFrame, protected: DataFrame | None
     """
     if protected is None:
         return _stale_in(stored, runs, "left_anti")
-    return stored.join(stale_rows(stored, runs, protected).select("id"), "id", "left_anti").select(*stored.columns)
+    return drop_rows(stored, stale_rows(stored, runs, protected))
+
+
+def drop_rows(stored: DataFrame, stale: DataFrame) -> DataFrame:
+    """Drop the rows whose id is that of a stale one."""
+    return stored.join(stale.select("id"), "id", "left_anti").select(*stored.columns)
 
 
 def stale_rows(stored: DataFrame, runs: DataFrame, protected: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from boardlake.functions.timing import instant
 from boardlake.operators import rollups, upsert as U
+from boardlake.operators.grouping import with_positions
 from boardlake.plans.read_queries import _typed_sql, issue_pages, payloads
 from boardlake.plans.sync_run import SyncResult, sync_run
 from boardlake.plans.views import NOW, STAMP_1, STAMP_2, table, view, views
@@ -423,8 +424,15 @@ def upstream_pages(spark, sf) -> DataFrame:
         )
 
     def ended(entity: str, rows: DataFrame, owners: DataFrame, shape: str, *keys: str) -> DataFrame:
-        """One record per page in the order of ids, and an empty page that ends each owner's listing."""
-        records = payloads(entity, rows).withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("id")) - 1)
+        """One record per page in the order of ids, and an empty page that ends each owner's listing.
+
+        A company's listing may be a large share of the rows, so it is numbered in parts, by the first letters of the ids.
+        """
+        if "issue_id" in keys:
+            numbered = rows.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("id")) - 1)
+        else:
+            numbered = with_positions(rows, list(keys), [F.col("id")], F.substring("id", 1, 6)).withColumnRenamed("position", "number")
+        records = payloads(entity, numbered)
         count = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("number"))
         ends = owners.join(count, list(keys), "left").withColumn("number", F.coalesce("number", F.lit(0)))
         issue = F.col("issue_id") if "issue_id" in keys else nothing

@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardlake.functions.timing import instant
-from boardlake.operators.grouping import latest_per_key
-from boardlake.operators.projection import project_records, quarantined
+from boardlake.operators.grouping import latest_of_repeated, latest_per_key, repeated_keys
+from boardlake.operators.projection import project_all
 from boardlake.operators.rollups import comment_state_status, comment_step_status, run_ledger
 from boardlake.operators.upsert import (
     advance_cursor,
     dedupe_targets,
     detect_changes,
     drop_orphans,
+    drop_rows,
     hydration_candidates,
     orphaned,
     partial_upsert,
     plan_sync,
-    prune_stale,
     put_values,
     replace_threads,
     stale_rows,
@@ -31,7 +31,7 @@ from boardlake.operators.upsert import (
 )
 from boardlake.schemas import DIRECTORY_ENTITIES, ENTITIES, META, SYNC_RUNS
 from boardlake.session import staged
-from boardlake.sources.landing import company_records, page_errors, page_records, with_shape
+from boardlake.sources.landing import company_records, page_errors, record_rows, with_records
 
 TARGET = ["profile", "company_id"]
 LISTINGS = [*DIRECTORY_ENTITIES, "issues"]
@@ -57,11 +57,9 @@ def _control(pages: DataFrame, plan: DataFrame) -> DataFrame:
 
     A company record is there if any of its answers is good; a listing needs all of its pages, from the first to the
     marked end. What was not landed at all is an error as well, so no target and no listing can vanish. All of it takes
-    one pass over the pages.
+    one pass over the pages, which are parsed already.
     """
-    direct = F.col("entity").isin("companies", "comments")
-    shaped = with_shape(pages.filter(~direct)).unionByName(pages.filter(F.col("entity") == "companies"))
-    states = page_errors(shaped, [*TARGET, "entity"])
+    states = page_errors(pages.filter(F.col("entity") != "comments"), [*TARGET, "entity"])
     record = F.col("entity") == "companies"
     error = F.when(record, F.when(~F.col("answered"), F.col("page_error"))).otherwise(F.col("error"))
     facts = []
@@ -101,7 +99,7 @@ def _step(control: DataFrame, entity: str, counts: DataFrame, pruned: DataFrame
 def _listed(landed: DataFrame, entity: str, *more: str) -> DataFrame:
     """Records of a complete listing, with the target they came for."""
     pages = landed.filter((F.col("entity") == entity) & _good(entity))
-    return page_records(pages.select("profile", F.col("company_id").alias("target_company"), *more, "position", "page_no", "payload"))
+    return record_rows(pages.select("profile", F.col("company_id").alias("target_company"), *more, "position", "page_no", "records"))
 
 
 def _count_by_target(batch: DataFrame, *more: Column) -> DataFrame:
@@ -109,24 +107,31 @@ def _count_by_target(batch: DataFrame, *more: Column) -> DataFrame:
     return batch.groupBy(*target).agg(F.count(F.lit(1)).alias("count"), *more)
 
 
-def _unique(batch: DataFrame, *drop: str) -> DataFrame:
+def _unique(batch: DataFrame, repeated: DataFrame, *drop: str) -> DataFrame:
     """Last arrival per id, without the columns of the arrival."""
-    return latest_per_key(batch.drop("profile", "target_company", *drop), ["id"], ARRIVAL).drop(*ARRIVAL)
+    return latest_of_repeated(batch.drop("profile", "target_company", *drop), ["id"], ARRIVAL, repeated).drop(*ARRIVAL)
 
 
 def _runs(control: DataFrame, condition: Column, started_at: Column) -> DataFrame:
     return control.filter(condition).select("company_id").distinct().withColumn("started_at", started_at)
 
 
-def _set_aside(records: DataFrame, entity: str) -> DataFrame:
+def _set_aside(projected: DataFrame, entity: str) -> DataFrame:
     """Records that lack a required id, redacted: (profile, company_id, entity, id, raw)."""
-    return quarantined(records, entity).select(
-        "profile", F.col("target_company").alias("company_id"), F.lit(entity).alias("entity"), F.get_json_object("raw", "$.id").alias("id"), "raw"
+    return projected.filter("NOT _whole").select(
+        "profile", F.col("target_company").alias("company_id"), F.lit(entity).alias("entity"), F.get_json_object("raw_json", "$.id").alias("id"),
+        F.col("raw_json").alias("raw"),
     )
 
 
-def _stale_counts(merged: DataFrame, runs: DataFrame, protected: DataFrame) -> DataFrame:
-    return stale_rows(merged, runs, protected).groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
+def _stale(stored: DataFrame, batch: DataFrame, runs: DataFrame, protected: DataFrame) -> DataFrame:
+    """Id and company of the stored rows that a run prunes: rows the batch brings carry its stamp and are never among them."""
+    rows = stored.select("id", "company_id", "synced_at")
+    return staged(stale_rows(rows, runs, protected.unionByName(batch.select("id"))).select("id", "company_id"), "stale")
+
+
+def _stale_counts(stale: DataFrame) -> DataFrame:
+    return stale.groupBy("company_id").agg(F.count(F.lit(1)).alias("pruned"))
 
 
 def sync_run(
@@ -152,9 +157,10 @@ def sync_run(
     ``skip_younger_than`` leaves out targets that are fresh at ``started_at`` (see ``plan_sync``): their pages are not read, and results
     and state know nothing of them. If all are left out the tables stay as they are, without a ledger row.
 
-    Pages are staged by entity, so that each step reads its own pages instead of all JSON text. The
-    control rows and the projected batches are staged too: payloads are parsed and redacted once
-    although upserts, counts, cursors and threads all need them. The stored tables are not.
+    Pages are staged by entity with their lists parsed, so that each step reads its own records instead of all JSON text. The
+    control rows and the projected batches, with what is set aside, are staged too: records are parsed and redacted once
+    although upserts, counts, cursors and threads all need them. The stored tables are not; ids that are stale or came more than
+    once are, so that only rows of the latter are gathered and no stored row is compared twice.
     """
     stamp = F.lit(started_at)
     pages = pages.filter(F.col("entity").isin("companies", *LISTINGS, "comments"))
@@ -164,7 +170,7 @@ def sync_run(
         pages = pages.join(plan.select(*TARGET), TARGET, "left_semi")
         if plan.isEmpty():
             return _unchanged(tables, plan, started_at)
-    pages = staged(pages, "pages", "entity")
+    pages = staged(with_records(pages, F.col("entity") == "companies"), "pages", "entity")
     control = staged(_control(pages, plan), "control")
     landed = pages.join(control, TARGET)
     arrived = ["profile", "target_company", *ARRIVAL]
@@ -177,68 +183,75 @@ def sync_run(
 
     records = company_records(landed.filter(F.col("entity") == "companies"))
     records = records.join(control.select(*TARGET, "api_base", "position"), TARGET).withColumnRenamed("company_id", "target_company")
-    lists = {entity: _listed(landed, entity) for entity in DIRECTORY_ENTITIES}
-    issue_list = _listed(landed, "issues", "since")
-    apart = [_set_aside(records, "companies"), *[_set_aside(rows, entity) for entity, rows in lists.items()], _set_aside(issue_list, "issues")]
-    apart = staged(union_all(apart), "quarantine")
+    read = {"companies": staged(project_all(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company", "position"]), "companies")}
+    for entity in DIRECTORY_ENTITIES:
+        read[entity] = staged(project_all(_listed(landed, entity), entity, stamp, keep=arrived), entity)
+    projected = project_all(_listed(landed, "issues", "since"), "issues", stamp, keep=["since", *arrived])
+    moment, bound = instant(F.col("updated_at")), instant(F.col("since"))
+    read["issues"] = staged(projected.filter(~F.col("_whole") | bound.isNull() | moment.isNull() | (moment >= bound)), "issues")
+    apart = staged(union_all([_set_aside(rows, entity) for entity, rows in read.items()]), "quarantine")
+    batches = {entity: rows.filter("_whole").drop("_whole") for entity, rows in read.items()}
 
     def protected(entity: str) -> DataFrame:
         return apart.filter((F.col("entity") == entity) & F.col("id").isNotNull()).select("id")
 
     # Company records: of several targets with one company the last in order counts.
-    batch = staged(project_records(records, "companies", stamp, F.col("api_base"), keep=["profile", "target_company", "position"]), "companies")
+    batch = batches["companies"]
     new["companies"] = upsert(tables["companies"], batch.drop("profile", "target_company"), ["id"], ["position"])
     changes["companies"] = (written("companies", latest_per_key(batch, ["id"], ["position"])), tables["companies"].select("id").limit(0))
     steps.append(_step(control, "companies", _count_by_target(batch)))
 
     # Directory tables: complete listings, stale rows pruned.
     for entity in DIRECTORY_ENTITIES:
-        batch = staged(project_records(lists[entity], entity, stamp, keep=arrived), entity)
-        merged = upsert(tables[entity], _unique(batch), ["id"])
-        runs = _runs(control, _good(entity), stamp)
-        new[entity] = prune_stale(merged, runs, protected(entity))
-        changes[entity] = (written(entity, _unique(batch)), stale_rows(merged, runs, protected(entity)).select("id"))
-        steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(merged, runs, protected(entity))))
+        batch = batches[entity]
+        unique = _unique(batch, staged(repeated_keys(batch, ["id"]), "repeated"))
+        stale = _stale(tables[entity], batch, _runs(control, _good(entity), stamp), protected(entity))
+        new[entity] = upsert(drop_rows(tables[entity], stale), unique, ["id"])
+        changes[entity] = (written(entity, unique), stale.select("id"))
+        steps.append(_step(control, entity, _count_by_target(batch), _stale_counts(stale)))
 
     # Issues: the changed ones are told from the stored rows before these are replaced.
-    batch = project_records(issue_list, "issues", stamp, keep=["since", *arrived])
-    moment, bound = instant(F.col("updated_at")), instant(F.col("since"))
-    batch = batch.filter(bound.isNull() | moment.isNull() | (moment >= bound))
-    batch = staged(detect_changes(tables["issues"], batch), "issues")
-    listed = staged(_count_by_target(batch, F.count_if("changed").alias("issues_changed")), "listed")
-    merged = upsert_issues(tables["issues"], _unique(batch, "since", "changed"))
-    runs = _runs(control, _good("issues") & (F.col("mode") == "full"), stamp)
-    pruned = staged(_stale_counts(merged, runs, protected("issues")), "pruned")
-    issues = prune_stale(merged, runs, protected("issues"))
+    batch = batches["issues"]
+    flagged = staged(detect_changes(tables["issues"], batch.select("id", "company_id", "profile", "target_company", "updated_at")), "flagged")
+    listed = staged(_count_by_target(flagged, F.count_if("changed").alias("issues_changed")), "listed")
+    unique = _unique(batch, staged(repeated_keys(batch, ["id"]), "repeated"), "since")
+    stale = _stale(tables["issues"], batch, _runs(control, _good("issues") & (F.col("mode") == "full"), stamp), protected("issues"))
+    pruned = staged(_stale_counts(stale), "pruned")
+    issues = upsert_issues(drop_rows(tables["issues"], stale), unique)
+    # Steps that ask for an issue's company and status only do not need the stamps that an upsert keeps.
+    brief = ["id", "company_id", "status"]
+    present = upsert(drop_rows(tables["issues"].select(*brief), stale), unique.select(*brief), ["id"])
     steps.append(_step(control, "issues", listed.drop("issues_changed"), pruned))
-    kept_comments = drop_orphans(tables["comments"], issues, pruned.select("company_id"))
+    kept_comments = drop_orphans(tables["comments"], present, pruned.select("company_id"))
     seen = batch.select("profile", F.col("target_company").alias("company_id"), "updated_at")
     cursors = advance_cursor(control.filter(_good("issues")).select(*TARGET, "cursor"), seen, TARGET)
 
     # Threads of changed and active issues, of every issue in full runs.
     companies = control.filter(_good("issues")).groupBy("company_id").agg(F.bool_or(F.col("mode") == "full").alias("_full"))
-    changed = batch.filter("changed").select("id", "company_id")
-    wanted = hydration_candidates(issues.join(companies, "company_id"), changed, comments, F.col("_full"))
+    changed = flagged.filter("changed").select("id", "company_id")
+    wanted = hydration_candidates(present.join(companies, "company_id"), changed, comments, F.col("_full"))
     threads = landed.filter((F.col("entity") == "comments") & _good("issues"))
-    threads = threads.select(*TARGET, "issue_id", "position", "page_no", "payload", "error", "last")
-    asked = with_shape(threads).join(wanted.select("issue_id"), "issue_id", "left_semi")
-    read = staged(page_errors(asked, [*TARGET, "issue_id"]).select(*TARGET, "issue_id", "error"), "threads")
-    hydrated = read.filter(F.col("error").isNull()).select("issue_id").distinct().withColumn("at", stamp)
+    threads = threads.select(*TARGET, "issue_id", "position", "page_no", "records", "error", "last")
+    asked = threads.join(wanted.select("issue_id"), "issue_id", "left_semi")
+    answers = staged(page_errors(asked, [*TARGET, "issue_id"]).select(*TARGET, "issue_id", "error"), "threads")
+    hydrated = answers.filter(F.col("error").isNull()).select("issue_id").distinct().withColumn("at", stamp)
     good_pages = threads.withColumnRenamed("company_id", "target_company").join(hydrated, "issue_id", "left_semi")
-    sent = page_records(good_pages.select("profile", "target_company", "position", "page_no", "payload"))
-    fetched = staged(project_records(sent, "comments", stamp, keep=arrived), "comments")
+    sent = record_rows(good_pages.select("profile", "target_company", "position", "page_no", "records"))
+    sent = staged(project_all(sent, "comments", stamp, keep=arrived), "comments")
+    fetched = sent.filter("_whole").drop("_whole")
     left_out = staged(_set_aside(sent, "comments"), "quarantine")
     apart = apart.unionByName(left_out)
-    new["comments"] = replace_threads(kept_comments, hydrated, _unique(fetched), protected=left_out.filter(F.col("id").isNotNull()))
+    thread_rows = _unique(fetched, staged(repeated_keys(fetched, ["id"]), "repeated"))
+    new["comments"] = replace_threads(kept_comments, hydrated, thread_rows, protected=left_out.filter(F.col("id").isNotNull()))
     new["issues"] = stamp_threads(issues, hydrated)
     touched = batch.select("id").unionByName(hydrated.select(F.col("issue_id").alias("id")))
-    changes["issues"] = (new["issues"].join(touched, "id", "left_semi"), stale_rows(merged, runs, protected("issues")).select("id"))
+    changes["issues"] = (new["issues"].join(touched, "id", "left_semi"), stale.select("id"))
     # Comments go with their issue, or because their thread was read again without them.
-    orphans = orphaned(tables["comments"], issues, pruned.select("company_id"))
+    orphans = orphaned(tables["comments"], present, pruned.select("company_id"))
     replaced = tables["comments"].join(hydrated.select("issue_id"), "issue_id", "left_semi")
     gone = orphans.select("id").unionByName(replaced.select("id").join(left_out.select("id"), "id", "left_anti"))
-    changes["comments"] = (written("comments", _unique(fetched)), gone)
-    tally = read.groupBy(*TARGET).agg(
+    changes["comments"] = (written("comments", thread_rows), gone)
+    tally = answers.groupBy(*TARGET).agg(
         F.count_if(F.col("error").isNull()).alias("hydrated"), F.count_if(F.col("error").isNotNull()).alias("failed")
     )
     message = F.when(F.col("failed") > 0, F.concat(F.col("failed").cast("string"), F.lit(" failed")))

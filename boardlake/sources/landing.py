@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardlake.functions.payload import envelope_records, is_known_envelope
+from boardlake.functions.payload import envelope_records, is_known_envelope, listed_records
 from boardlake.schemas import LANDED_PAGE
 
+UNKNOWN_SHAPE = "unknown response shape"
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages from JSON lines; the payload is the response as text."""
@@ -23,16 +25,36 @@ def stream_pages(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 def page_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per record of every page: the page's columns, ``raw`` and its place ``item`` on the page."""
-    rest = [c for c in pages.columns if c != payload]
-    # The outer form parses each payload once; an inner explode would parse it again to filter empty pages.
-    exploded = pages.select(*rest, F.posexplode_outer(envelope_records(F.col(payload))).alias("item", "raw"))
+    return _record_rows(pages, payload, envelope_records(F.col(payload)))
+
+
+def record_rows(pages: DataFrame) -> DataFrame:
+    """The same from pages whose payload is parsed already (``with_records``)."""
+    return _record_rows(pages, "records", F.col("records"))
+
+
+def _record_rows(pages: DataFrame, source: str, records: Column) -> DataFrame:
+    rest = [c for c in pages.columns if c != source]
+    # The outer form makes the list once; an inner explode would make it again to filter empty pages.
+    exploded = pages.select(*rest, F.posexplode_outer(records).alias("item", "raw"))
     return exploded.filter(F.col("raw").isNotNull())
 
 
+def with_records(pages: DataFrame, direct: Column) -> DataFrame:
+    """Pages with their ``records`` in place of the payload, parsed once for all steps that read them; no list is an error, as in ``with_shape``.
+
+    Pages that are ``direct`` answers keep their payload and have no records.
+    """
+    parsed = pages.withColumn("records", F.when(~direct, listed_records(F.col("payload"))))
+    unknown = ~direct & F.col("error").isNull() & F.col("records").isNull()
+    error = F.when(unknown, F.lit(UNKNOWN_SHAPE)).otherwise(F.col("error"))
+    return parsed.withColumn("error", error).withColumn("payload", F.when(direct, F.col("payload")))
+
+
 def with_shape(pages: DataFrame) -> DataFrame:
     """Give pages without a list an error, so that an unknown shape never passes for an empty listing."""
     unknown = F.col("error").isNull() & ~is_known_envelope(F.col("payload"))
-    return pages.withColumn("error", F.when(unknown, F.lit("unknown response shape")).otherwise(F.col("error")))
+    return pages.withColumn("error", F.when(unknown, F.lit(UNKNOWN_SHAPE)).otherwise(F.col("error")))
 
 
 def page_errors(pages: DataFrame, keys: list[str]) -> DataFrame:
