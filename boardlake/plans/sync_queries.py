@@ -12,7 +12,7 @@ from boardlake.plans.read_queries import _typed_sql, issue_pages, payloads
 from boardlake.plans.sync_run import SyncResult, sync_run
 from boardlake.plans.views import NOW, STAMP_1, STAMP_2, table, view, views
 from boardlake.schemas import ENTITIES, META, SYNC_STATE, entity_schema
-from boardlake.session import scratch_path
+from boardlake.session import scratch_path, staged
 from boardlake.sources.landing import read_pages
 from boardlake.sources.tables import TABLE_SCHEMAS
 
@@ -41,12 +41,14 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
 
 
 def line_comments(spark, sf) -> DataFrame:
-    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    rows = lines.join(orders.select("o_orderkey", "o_orderpriority"), F.col("o_orderkey") == F.col("l_orderkey"))
+    # Joined by the issue's id, the rows lie where joins with other tables of issues look for them.
+    lines = table(spark, sf, "lineitem").withColumn("issue_id", F.concat(F.lit("or-"), F.col("l_orderkey").cast("string")))
+    orders = table(spark, sf, "orders").select(F.concat(F.lit("or-"), F.col("o_orderkey").cast("string")).alias("issue_id"), "o_orderpriority")
+    rows = lines.join(orders, "issue_id")
     day = F.date_format("l_shipdate", "yyyy-MM-dd")
     return rows.select(
-        F.concat_ws("-", F.lit("ln"), "l_orderkey", "l_linenumber", "l_partkey", day).alias("id"),
-        F.concat(F.lit("or-"), F.col("l_orderkey").cast("string")).alias("issue_id"),
+        F.concat_ws("-", F.lit("ln"), F.substr("issue_id", F.lit(4)), "l_linenumber", "l_partkey", day).alias("id"),
+        "issue_id",
         F.concat(F.lit("co-"), F.substring("o_orderpriority", 1, 1)).alias("company_id"),
         F.col("l_returnflag").alias("author_type"), F.col("l_linestatus").alias("body"), F.lit(STAMP_1).alias("synced_at"),
     )
@@ -184,7 +186,8 @@ def thread_replace(spark, sf):
     hydrated = view(spark, sf, "orders_listed").filter("status = 'done'").select(F.col("id").alias("issue_id"))
     fetched = comments.filter("author_type <> 'N'").join(hydrated, "issue_id", "left_semi")
     fetched = fetched.withColumn("body", F.concat("body", F.lit("+"))).withColumn("synced_at", F.lit(STAMP_2))
-    return U.replace_threads(comments, hydrated, fetched).select("id", "issue_id", "body", "synced_at")
+    # The operator reads what was fetched twice, for its ids and its rows.
+    return U.replace_threads(comments, hydrated, staged(fetched, "fetched")).select("id", "issue_id", "body", "synced_at")
 
 
 @register(
