@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -79,6 +80,35 @@ def test_misleading_hashes_are_verified():
     assert suffix_dedup.common(b"abcd", b"abxd", [0, 1, 2, 3, 4], [0, 1, 2, 3, 4]) == 2
 
 
+def test_misleading_hashes_of_steps_are_verified():
+    x = bytes(range(100))
+    y = x[:40] + b"!" + x[41:]
+    own = suffix_dedup._prefix_hashes(x)
+    assert len(own) == 1 + 100 // suffix_dedup._STEP
+    assert suffix_dedup.common(x, y, own, own) == 40
+
+
+def test_common_prefixes_of_all_lengths():
+    rng = random.Random(6)
+    for size in range(150):
+        x = bytes(rng.choice(b"ab") for _ in range(size))
+        for n in range(0, size + 1, 7):
+            y = x[:n] + b"c" * rng.randint(0, 70)
+            assert suffix_dedup.common(x, y, suffix_dedup._prefix_hashes(x), suffix_dedup._prefix_hashes(y)) == n
+
+
+def test_a_large_group_takes_little_memory():
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abcdefghij ") for _ in range(736))
+    contexts = [(base[:at] + b"%07d" % i + base[at + 7 :], 336) for i, at in enumerate(rng.choice([*range(329), *range(400, 729)]) for _ in range(1500))]
+    tracemalloc.start()
+    spans = suffix_dedup.repeated_spans(contexts, 400)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(spans) > 700
+    assert peak / len(contexts) < 4_000
+
+
 def test_long_text_and_no_rows(spark):
     rng = random.Random(8)
     long = "".join(rng.choice("abcdefghij") for _ in range(900_000))
