@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
-from boardlake.operators.pieces import counted, entries_of, packed_documents
+from boardlake.operators.pieces import counted, entries_of, joined_fields, packed_documents, packed_lines
 from boardlake.session import staged
 
 # Indexed columns with their ranking weights (fixed values).
 ISSUE_TEXT = {"identifier": 5.0, "title": 3.0, "description": 1.0}
 COMMENT_TEXT = {"body": 1.0}
 ROW_GROUP = 4 << 20  # bytes of a row group of postings, the least a search reads of a file
-TASK_BYTES = 32 << 20  # bytes of the forward table whose postings one task sorts
+TASK_BYTES = 20 << 20  # bytes of the forward table whose postings one task sorts
+CODEC = "zstd"  # of the stored tables: token lists take two thirds of the space they take with Spark's usual one
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class TextIndex:
     """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``entries``: (token, doc_id, col, doc_tokens, hits, places).
 
     ``terms``: (token, docs, hits) of every token. ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
+    ``packed``: the entries as ``pieces`` packs them, with lists of documents; None likewise.
     """
 
     forward: DataFrame
@@ -30,6 +32,7 @@ class TextIndex:
     terms: DataFrame
     weights: dict[str, float]
     totals: DataFrame | None = None
+    packed: DataFrame | None = None
 
     @property
     def postings(self) -> DataFrame:
@@ -49,7 +52,8 @@ def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> Data
 def build_index(rows: DataFrame, weights: dict[str, float], key: str = "id") -> TextIndex:
     """Index as lazy frames; use ``store_index`` before asking many queries."""
     forward = forward_tokens(rows, list(weights), key)
-    return TextIndex(forward, entries_of(packed_documents(forward)), counted(packed_documents(forward, whole_ids=True)), weights)
+    packed = packed_documents(forward)
+    return TextIndex(forward, entries_of(packed), counted(packed_documents(forward, whole_ids=True)), weights, packed=packed)
 
 
 def store_index(rows: DataFrame, weights: dict[str, float], path: str, key: str = "id") -> TextIndex:
@@ -69,7 +73,7 @@ def fold_index(index: TextIndex, path: str) -> TextIndex:
 
 def _store(forward: DataFrame, path: str, weights: dict[str, float]) -> TextIndex:
     spark = forward.sparkSession
-    forward.write.option("parquet.block.size", str(TASK_BYTES // 2)).mode("errorifexists").parquet(f"{path}/forward")
+    forward.write.option("compression", CODEC).option("parquet.block.size", str(TASK_BYTES // 2)).mode("errorifexists").parquet(f"{path}/forward")
     write_postings(load_forward(spark, path), f"{path}/postings")
     _count(load_forward(spark, path)).write.mode("errorifexists").parquet(f"{path}/totals")
     return load_index(spark, path, weights)
@@ -89,7 +93,7 @@ def write_postings(forward: DataFrame, path: str) -> None:
     usual = conf.get(name)
     conf.set(name, str(TASK_BYTES))
     try:
-        packed.sortWithinPartitions("token").write.option("parquet.block.size", str(ROW_GROUP)).mode("errorifexists").parquet(path)
+        packed.sortWithinPartitions("token").write.option("compression", CODEC).option("parquet.block.size", str(ROW_GROUP)).mode("errorifexists").parquet(path)
     finally:
         conf.set(name, usual)
 
@@ -100,7 +104,26 @@ def load_forward(spark: SparkSession, path: str) -> DataFrame:
 
 def load_index(spark: SparkSession, path: str, weights: dict[str, float]) -> TextIndex:
     packed = spark.read.parquet(f"{path}/postings")
-    return TextIndex(load_forward(spark, path), entries_of(packed), counted(packed), weights, spark.read.parquet(f"{path}/totals"))
+    return TextIndex(load_forward(spark, path), entries_of(packed), counted(packed), weights, spark.read.parquet(f"{path}/totals"), packed)
+
+
+def holding(index: TextIndex, matched: DataFrame) -> DataFrame:
+    """Documents that hold a token of ``matched`` (token, word), without those that have no id: (word, doc_id), each once.
+
+    Lists of documents meet the tokens, so that a shuffle has a row per token, column and piece.
+    """
+    if index.packed is None:
+        found = index.entries.select("token", "doc_id").join(matched, "token").select("word", "doc_id")
+    else:
+        found = index.packed.select("token", "docs").join(matched, "token").select("word", F.explode("docs").alias("doc_id"))
+    return found.filter("doc_id IS NOT NULL").distinct()
+
+
+def only_documents(index: TextIndex, docs: DataFrame) -> TextIndex:
+    """The part of an index that has the documents of ``docs`` (doc_id), staged. Their texts are shuffled joined, if at all."""
+    lines = joined_fields(index.forward.select("doc_id", "doc_tokens", "fields")).join(docs, "doc_id", "left_semi")
+    packed = staged(packed_lines(lines), "chosen-postings")
+    return TextIndex(index.forward.join(docs, "doc_id", "left_semi"), entries_of(packed), counted(packed), index.weights, packed=packed)
 
 
 def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key: str = "id") -> TextIndex:

@@ -128,19 +128,24 @@ def packed_documents(forward: DataFrame, whole_ids: bool = False) -> DataFrame:
     lines = joined_fields(forward.select("doc_id", "doc_tokens", "fields"))
     if whole_ids:
         lines = lines.repartition("doc_id").sortWithinPartitions("doc_id")
-    kind = forward.schema["doc_id"].dataType.simpleString()
+    return packed_lines(lines, whole_ids)
+
+
+def packed_lines(lines: DataFrame, whole_ids: bool = False) -> DataFrame:
+    """``packed_documents`` of documents whose fields are joined; with ``whole_ids`` the rows of one id lie together."""
+    kind = lines.schema["doc_id"].dataType.simpleString()
     schema = f"token string, col string, first int, docs array<{kind}>, lengths array<int>, ends array<int>, places array<int>"
     return lines.mapInArrow(_mapper(PIECE_TOKENS, whole_ids), schema)
 
 
-def entries_of(packed: DataFrame) -> DataFrame:
-    """One row per token, document and column: (token, doc_id, col, doc_tokens, hits, places). Conditions on ``token`` reach the scan."""
-    one = packed.select("token", "col", "ends", "places", F.posexplode(F.arrays_zip("docs", "lengths")).alias("no", "doc"))
+def entries_of(packed: DataFrame, *more: str) -> DataFrame:
+    """One row per token, document and column: (token, doc_id, col, doc_tokens, hits, places), with the columns ``more``. Conditions on ``token`` reach the scan."""
+    one = packed.select("token", "col", "ends", "places", *more, F.posexplode(F.arrays_zip("docs", "lengths")).alias("no", "doc"))
     before = F.coalesce(F.get("ends", F.col("no") - 1), F.lit(0))
     hits: Column = F.get("ends", F.col("no")) - before
     return one.select(
         "token", F.col("doc.docs").alias("doc_id"), "col", F.col("doc.lengths").cast("bigint").alias("doc_tokens"),
-        hits.cast("bigint").alias("hits"), F.slice("places", before + 1, hits).alias("places"),
+        hits.cast("bigint").alias("hits"), F.slice("places", before + 1, hits).alias("places"), *more,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import pandas as pd
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardlake.functions.text import RAW_TOKEN, SPACE, strip, tokenize
-from boardlake.operators.index import TextIndex, index_stats
+from boardlake.operators.index import TextIndex, holding, index_stats, only_documents
+from boardlake.operators.pieces import entries_of
 from boardlake.operators.reads import equals, keep_if, status_in
 from boardlake.schemas import SEARCH_LIMIT, SNIPPET_TOKENS
 from boardlake.session import staged
@@ -23,6 +24,7 @@ K1 = 1.2
 B = 0.75
 IDF_FLOOR = 1e-6
 RANK_DIGITS = 9
+RARE_WORDS = 3  # words of a query that choose its candidates
 
 WORD_TYPE = "array<struct<terms:array<string>,is_prefix:boolean>>"
 HIT_COLUMNS = [
@@ -105,10 +107,13 @@ def phrase_hits(entries: DataFrame, terms: DataFrame, tokens: DataFrame | None =
     are moved back to the start, and starts that come n times are kept. Rows spread by document, whatever the
     frequency of a token, and hold the positions of a term as a list.
     """
+    return _phrases(match_terms(entries, terms, tokens))
+
+
+def _phrases(matched: DataFrame) -> DataFrame:
     starts = F.transform("places", lambda p: p - F.col("term_no"))
     found = (
-        match_terms(entries, terms, tokens)
-        .groupBy("word", "doc_id", "col")
+        matched.groupBy("word", "doc_id", "col")
         .agg(F.array_sort(F.flatten(F.collect_list(starts))).alias("_all"), F.max("n_terms").alias("_needed"), F.max("doc_tokens").alias("doc_tokens"))
     )
 
@@ -144,33 +149,78 @@ def word_frequency(index: TextIndex, request: Request) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [leg.filter(whole) for leg in legs])
 
 
+def _complete(words: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Words of queries with what is known of them, and the queries (query_id) of which every word is known."""
+    placed = words.select("query_id", "n_words", "word_no", "word").join(known, "word")
+    held = placed.groupBy("query_id").agg(F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
+    return placed, held.filter("_held = _needed").select("query_id")
+
+
+def rare_candidates(index: TextIndex, words: DataFrame, matched: DataFrame) -> DataFrame:
+    """Documents that hold the rarest words of a query, at most ``RARE_WORDS``: (query_id, doc_id). Only they can hold all of its words.
+
+    How rare a word is, is told by the dictionary: the documents of its tokens, added up, of a phrase's rarest term.
+    """
+    per_term = matched.groupBy("word", "term_no").agg(F.sum("docs").alias("docs"), F.max("n_terms").alias("n_terms"))
+    bound = per_term.groupBy("word").agg(
+        F.min(F.struct("docs", "term_no")).alias("least"), F.count(F.lit(1)).alias("_terms"), F.max("n_terms").alias("n_terms")
+    )
+    bound = bound.filter("_terms = n_terms").select("word", "least.docs", "least.term_no")
+    placed, complete = _complete(words, bound)
+    each = placed.join(complete, "query_id", "left_semi").select("query_id", "word", "docs", "term_no").distinct()
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("docs", "word"))
+    rare = staged(each.withColumn("_place", place).filter(F.col("_place") <= RARE_WORDS).select("query_id", "word", "term_no"), "rare-words")
+    wanted = matched.join(rare.select("word", "term_no").distinct(), ["word", "term_no"], "left_semi").select("token", "word")
+    found = holding(index, staged(wanted, "rare-tokens")).join(rare, "word").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("_held"))
+    needed = rare.groupBy("query_id").agg(F.count(F.lit(1)).alias("_needed"))
+    return found.join(needed, "query_id").filter("_held = _needed").select("query_id", "doc_id")
+
+
+def document_counts(index: TextIndex, matched: DataFrame, has_phrase: bool) -> DataFrame:
+    """Documents of each word in the whole index: (word, n)."""
+    columns = ["token", "word", "n_terms", "term_no"]
+    holders = holding(index, matched.filter("n_terms = 1").select("token", "word"))
+    if has_phrase:
+        wanted = staged(matched.filter("n_terms > 1").select(columns), "phrase-tokens")
+        met = index.entries.join(wanted, "token") if index.packed is None else entries_of(index.packed.join(wanted, "token"), *columns[1:])
+        holders = holders.unionByName(_phrases(met).select("word", "doc_id").filter("doc_id IS NOT NULL").distinct())
+    return holders.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rank_documents(index: TextIndex, request: Request) -> DataFrame:
     """BM25 rank of documents that hold every word of a query: (query_id, doc_id, rank); smaller is better.
 
     Document counts and lengths are those of the whole index, whatever filters come later. The
-    documents of a query's rarest word are its candidates: only for them are the other words looked
-    up, so frequent words never multiply queries by documents.
+    documents of a query's rarest words are its candidates: only for them are the other words looked
+    up, so frequent words never multiply queries by documents. For a frame of queries the candidates come first, and the
+    words are matched in their documents alone; ranks that are not asked for cost no count of documents per word.
     """
-    frequency = word_frequency(index, request)
+    if request.tokens is None:
+        frequency = word_frequency(index, request)
+        found = frequency.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        placed, complete = _complete(request.words, found)
+        rarest = placed.groupBy("query_id").agg(F.min_by("word", F.struct("n", "word")).alias("word")).join(complete, "query_id", "left_semi")
+        candidates = frequency.join(rarest, "word").select("query_id", "doc_id")
+    else:
+        matched = staged(match_terms(request.tokens.select("token", "docs"), request.terms), "matched-tokens")
+        phrases = not matched.filter("n_terms > 1").isEmpty()
+        candidates = staged(rare_candidates(index, request.words, matched), "candidates")
+        chosen = only_documents(index, staged(candidates.select("doc_id").distinct(), "candidate-ids"))
+        frequency = word_frequency(index, replace(request, entries=chosen.entries, tokens=chosen.terms, has_phrase=phrases))
+        asked = request.words.join(candidates, "query_id", "left_semi").select("word").distinct()
+        found = document_counts(index, matched.join(asked, "word", "left_semi"), phrases)
     totals = index_stats(index)
     docs = totals.select("docs").scalar().cast("double")
     average = totals.select("avg_tokens").scalar()
-    found = frequency.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     idf = F.ln((docs - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    weighed = (
-        request.words.select("query_id", "n_words", "word_no", "word")
-        .join(found, "word")
-        .withColumn("idf", F.when(idf > 0, idf).otherwise(F.lit(IDF_FLOOR)))
-    )
-    rarest = weighed.groupBy("query_id").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
-    rarest = rarest.filter("_held = _needed").select("query_id", "word")
-    candidates = frequency.join(rarest, "word").select("query_id", "doc_id")
+    weight = F.when(idf > 0, idf).otherwise(F.lit(IDF_FLOOR))
     saturated = F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("doc_tokens") / average))
     return (
-        candidates.join(weighed, "query_id")
+        candidates.join(request.words.select("query_id", "n_words", "word_no", "word"), "query_id")
         .join(frequency, ["word", "doc_id"])
+        .join(found, "word", "left")
         .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("idf") * saturated).alias("score"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
+        .agg(F.sum(weight * saturated).alias("score"), F.count(F.lit(1)).alias("_held"), F.max("n_words").alias("_needed"))
         .filter("_held = _needed")
         .select("query_id", "doc_id", F.round(-F.col("score"), RANK_DIGITS).alias("rank"))
     )
@@ -193,8 +243,9 @@ def prepare(index: TextIndex, queries: str | dict[str, str] | DataFrame) -> Requ
     """Parse queries. The tokens of literal queries are pushed into the scan of the entries."""
     parsed = parse_queries(query_frame(index.forward.sparkSession, queries))
     if isinstance(queries, DataFrame):
-        words = keyed_words(parsed)
-        return Request(index.entries, word_terms(words), words, parsed, tokens=index.terms)
+        # Staged, the words are parsed once, and Spark knows that they are few where they are.
+        words = staged(keyed_words(parsed), "query-words")
+        return Request(index.entries, staged(word_terms(words), "query-terms"), words, parsed, tokens=index.terms)
     # Texts the caller typed: a few rows, kept as local frames.
     spark = parsed.sparkSession
     parsed = spark.createDataFrame(parsed.collect(), parsed.schema)

@@ -56,3 +56,17 @@ def test_queries_of_a_frame_match_distinct_tokens_first(spark, rows):
     columns = ["token", "doc_id", "col", "word", "term_no"]
     plain = S.match_terms(request.entries, request.terms).select(columns)
     assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, plain.collect())) != []
+
+
+def test_words_of_a_frame_are_looked_up_in_documents_that_hold_the_rarest_ones(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"d{n}", "the moss", f"the of rare{n % 40} odd{n % 30} the") for n in range(120)], "id string, title string, body string")
+    queries = {"few": "the of rare7 odd7", "prefix": "th rare1", "phrase": 'x "of', "quoted": '"of rare3"', "none": "the absent"}
+    frame, frequency, asked = spark.createDataFrame(list(queries.items()), "query_id string, text string"), S.word_frequency, []
+    stored = store_index(texts, WEIGHTS, scratch_path(spark, "rare"))
+    merged = update_index(stored, texts.filter("id = 'd1'").withColumn("body", F.lit("the of rare7 odd7")), texts.filter("id = 'd10'"))
+    for index in (stored, merged):
+        literal = sorted(map(tuple, S.rank_matches(index, queries).collect()))
+        with monkeypatch.context() as patched:
+            patched.setattr(S, "word_frequency", lambda i, request: asked.append(request) or frequency(i, request))
+            assert sorted(map(tuple, S.rank_matches(index, frame).collect())) == literal != []
+        assert asked[-1].entries.select("doc_id").distinct().count() <= 40
