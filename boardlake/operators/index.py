@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardlake.functions.text import tokenize
 from boardlake.operators.pieces import counted, entries_of, joined_fields, packed_documents, packed_lines
-from boardlake.session import staged
+from boardlake.session import freeing_shuffles, staged
 
 # Indexed columns with their ranking weights (fixed values).
 ISSUE_TEXT = {"identifier": 5.0, "title": 3.0, "description": 1.0}
 COMMENT_TEXT = {"body": 1.0}
 ROW_GROUP = 4 << 20  # bytes of a row group of postings, the least a search reads of a file
 TASK_BYTES = 20 << 20  # bytes of the forward table whose postings one task sorts
+COUNT_ROUNDS = 2  # parts of the touched documents that are counted one after another
 CODEC = "zstd"  # of the stored tables: token lists take two thirds of the space they take with Spark's usual one
 
 
@@ -23,17 +26,21 @@ CODEC = "zstd"  # of the stored tables: token lists take two thirds of the space
 class TextIndex:
     """``forward``: (doc_id, doc_tokens, fields[col, tokens]). ``entries``: (token, doc_id, col, doc_tokens, hits, places).
 
-    ``terms``: (token, docs, hits) of every token. ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
+    ``dictionary`` gives ``terms``: (token, docs, hits) of every token. ``totals``: one row (docs, tokens) stored with the index; None while changes are merged on read.
     ``packed``: the entries as ``pieces`` packs them, with lists of documents; None likewise.
     """
 
     forward: DataFrame
     entries: DataFrame
-    terms: DataFrame
+    dictionary: Callable[[], DataFrame]
     weights: dict[str, float]
     totals: DataFrame | None = None
     packed: DataFrame | None = None
 
+    @functools.cached_property
+    def terms(self) -> DataFrame:
+        return self.dictionary()
+
     @property
     def postings(self) -> DataFrame:
         """One row per token occurrence: (token, doc_id, col, pos, doc_tokens)."""
@@ -41,19 +48,19 @@ class TextIndex:
         return placed.withColumn("pos", F.col("pos").cast("bigint"))
 
 
-def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
-    """Tokens of every text column per document; a NULL column has none."""
+def forward_tokens(rows: DataFrame, columns: list[str], key: str = "id", **more: Column) -> DataFrame:
+    """Tokens of every text column per document, with the columns ``more``; a NULL column has none."""
     fields = F.array(*[F.struct(F.lit(c).alias("col"), tokenize(F.col(c)).alias("tokens")) for c in columns])
-    listed = rows.select(F.col(key).alias("doc_id"), fields.alias("fields"))
+    listed = rows.select(F.col(key).alias("doc_id"), fields.alias("fields"), *[c.alias(n) for n, c in more.items()])
     length = F.aggregate("fields", F.lit(0).cast("bigint"), lambda total, f: total + F.size(f["tokens"]))
-    return listed.select("doc_id", length.alias("doc_tokens"), "fields")
+    return listed.select("doc_id", length.alias("doc_tokens"), "fields", *more)
 
 
 def build_index(rows: DataFrame, weights: dict[str, float], key: str = "id") -> TextIndex:
     """Index as lazy frames; use ``store_index`` before asking many queries."""
     forward = forward_tokens(rows, list(weights), key)
     packed = packed_documents(forward)
-    return TextIndex(forward, entries_of(packed), counted(packed_documents(forward, whole_ids=True)), weights, packed=packed)
+    return TextIndex(forward, entries_of(packed), lambda: counted(packed_documents(forward, whole_ids=True)), weights, packed=packed)
 
 
 def store_index(rows: DataFrame, weights: dict[str, float], path: str, key: str = "id") -> TextIndex:
@@ -80,14 +87,7 @@ def _store(forward: DataFrame, path: str, weights: dict[str, float]) -> TextInde
 
 
 def write_postings(forward: DataFrame, path: str) -> None:
-    # Only rows whose id repeats have to be brought together to be counted as one document.
-    repeated = staged(forward.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id")), "repeated-ids")
-    if repeated.isEmpty():
-        packed = packed_documents(forward)
-    else:
-        same = F.col("doc_id").eqNullSafe(F.col("_id"))
-        packed = packed_documents(forward.join(repeated, same, "left_anti"))
-        packed = packed.unionByName(packed_documents(forward.join(repeated, same, "left_semi"), whole_ids=True))
+    packed = packed_by_id(joined_fields(forward.select("doc_id", "doc_tokens", "fields")))
     # A task holds what it sorts, so it reads less than Spark's usual share of the files.
     conf, name = forward.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
     usual = conf.get(name)
@@ -98,13 +98,23 @@ def write_postings(forward: DataFrame, path: str) -> None:
         conf.set(name, usual)
 
 
+def packed_by_id(lines: DataFrame) -> DataFrame:
+    """``packed_lines`` in which an id that several rows have counts once. Only these rows have to be brought together."""
+    repeated = staged(lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id")), "repeated-ids")
+    if repeated.isEmpty():
+        return packed_lines(lines)
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    together = lines.join(repeated, same, "left_semi").repartition("doc_id").sortWithinPartitions("doc_id")
+    return packed_lines(lines.join(repeated, same, "left_anti")).unionByName(packed_lines(together, whole_ids=True))
+
+
 def load_forward(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/forward")
 
 
 def load_index(spark: SparkSession, path: str, weights: dict[str, float]) -> TextIndex:
     packed = spark.read.parquet(f"{path}/postings")
-    return TextIndex(load_forward(spark, path), entries_of(packed), counted(packed), weights, spark.read.parquet(f"{path}/totals"), packed)
+    return TextIndex(load_forward(spark, path), entries_of(packed), lambda: counted(packed), weights, spark.read.parquet(f"{path}/totals"), packed)
 
 
 def holding(index: TextIndex, matched: DataFrame) -> DataFrame:
@@ -123,7 +133,7 @@ def only_documents(index: TextIndex, docs: DataFrame) -> TextIndex:
     """The part of an index that has the documents of ``docs`` (doc_id), staged. Their texts are shuffled joined, if at all."""
     lines = joined_fields(index.forward.select("doc_id", "doc_tokens", "fields")).join(docs, "doc_id", "left_semi")
     packed = staged(packed_lines(lines), "chosen-postings")
-    return TextIndex(index.forward.join(docs, "doc_id", "left_semi"), entries_of(packed), counted(packed), index.weights, packed=packed)
+    return TextIndex(index.forward.join(docs, "doc_id", "left_semi"), entries_of(packed), lambda: counted(packed), index.weights, packed=packed)
 
 
 def update_index(index: TextIndex, changed: DataFrame, removed: DataFrame, key: str = "id") -> TextIndex:
@@ -137,17 +147,36 @@ def replace_documents(index: TextIndex, gone: DataFrame, new: DataFrame) -> Text
     """Index without the documents of ``gone`` and with the forward rows of ``new``."""
     forward = index.forward.join(gone, "doc_id", "left_anti").unionByName(new)
     entries = index.entries.join(gone, "doc_id", "left_anti").unionByName(entries_of(packed_documents(new)))
-    # Only documents that are touched are counted anew: what they held is taken off, what they hold is added. Rows without an id are one document.
-    ids = gone.select("doc_id").unionByName(new.select("doc_id")).distinct()
-    touched = ids.select(F.col("doc_id").alias("_id")).unionByName(index.forward.sparkSession.createDataFrame([(None,)], "_id string").select(F.col("_id").cast(ids.schema[0].dataType))).distinct()
+    return TextIndex(forward, entries.select(*index.entries.columns), lambda: _terms_after(index, gone, new), index.weights)
 
-    def held(rows: DataFrame, sign: int) -> DataFrame:
-        part = counted(packed_documents(rows.join(touched, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), whole_ids=True))
-        return part.select("token", (F.col("docs") * sign).alias("docs"), (F.col("hits") * sign).alias("hits"))
 
-    parts = index.terms.unionByName(held(index.forward, -1)).unionByName(held(forward, 1))
-    terms = parts.groupBy("token").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits")).filter("hits > 0")
-    return TextIndex(forward, entries.select(*index.entries.columns), terms, index.weights)
+def _terms_after(index: TextIndex, gone: DataFrame, new: DataFrame) -> DataFrame:
+    """The dictionary with documents replaced. Only those that are touched are counted anew: what they held is taken off, what they hold is added.
+
+    Rows without an id are one document; they are never gone. Texts are shuffled joined, and those of a round of ids are off the disk before
+    the next begins.
+    """
+    ids = new.select("doc_id").distinct()
+    missing = index.forward.sparkSession.createDataFrame([(None,)], "_id string").select(F.col("_id").cast(ids.schema[0].dataType).alias("doc_id"))
+    touched = gone.select("doc_id").unionByName(ids).unionByName(missing).distinct()
+    kept = ids.join(gone, "doc_id", "left_anti").unionByName(missing).distinct()
+
+    def stored(ids: DataFrame, label: str) -> DataFrame:
+        chosen = staged(ids.select(F.col("doc_id").alias("_id")), label)
+        return joined_fields(index.forward).join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+    def held(lines: DataFrame, sign: int, label: str) -> DataFrame:
+        parts = []
+        for turn in range(COUNT_ROUNDS):
+            part = counted(packed_by_id(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(COUNT_ROUNDS)) == turn)))
+            parts.append(staged(part.select("token", (F.col("docs") * sign).alias("docs"), (F.col("hits") * sign).alias("hits")), label))
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    with freeing_shuffles(index.forward.sparkSession):
+        before = held(stored(touched, "touched-ids"), -1, "terms-before")
+        after = held(stored(kept, "kept-ids").unionByName(joined_fields(new)), 1, "terms-after")
+    parts = index.terms.unionByName(before).unionByName(after)
+    return parts.groupBy("token").agg(F.sum("docs").alias("docs"), F.sum("hits").alias("hits")).filter("hits > 0")
 
 
 def _count(forward: DataFrame) -> DataFrame:

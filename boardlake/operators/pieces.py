@@ -26,6 +26,12 @@ def joined_fields(forward: DataFrame) -> DataFrame:
     return forward.withColumn("fields", lines)
 
 
+def split_fields(joined: DataFrame) -> DataFrame:
+    """The token lists that ``joined_fields`` has joined."""
+    tokens = F.transform("fields", lambda f: F.struct(f["col"].alias("col"), F.array_remove(F.split(f["line"], " "), "").alias("tokens")))
+    return joined.withColumn("fields", tokens)
+
+
 def _runs(batches: Iterator[pa.RecordBatch], tokens: int, docs: int, whole_ids: bool) -> Iterator[Table]:
     """Runs of neighbouring documents, cut where ``tokens`` or ``docs`` are reached; with ``whole_ids`` never between rows of one id."""
     held, size, count, last = [], 0, 0, None

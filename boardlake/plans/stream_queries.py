@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardlake.operators.index import ISSUE_TEXT, TextIndex, fold_index, term_stats
+from boardlake.operators.index import CODEC, ISSUE_TEXT, TextIndex, fold_index, term_stats
 from boardlake.plans.search_queries import ORACLE_VIEWS as TOKEN_VIEWS
 from boardlake.plans.search_queries import stored_index
 from boardlake.operators.rollups import freshness_of_commits
 from boardlake.plans.views import NOW, STAMP_1, STAMP_2, table, view
 from boardlake.schemas import ACTIVE_STATUSES
-from boardlake.session import scratch_path
+from boardlake.session import freeing_shuffles, remove_folder, scratch_path
 from boardlake.streaming.feeds import CANDIDATE, index_log_schema, merge_index, merge_newest, stream_candidates, stream_index, stream_upsert
 from boardlake.streaming.log import fold_log, ledger_schema, low_water_mark, read_log
 
@@ -175,15 +175,20 @@ def _indexed(spark, sf) -> TextIndex:
     """Labelled issues are renamed twice, toxic ones deleted; the older rows arrive last and must not count."""
     labels = table(spark, sf, "labels").select(F.concat(F.lit("is-"), F.col("doc_id").cast("string")).alias("id"), "quality", "toxic")
     issues = view(spark, sf, "issues").join(labels, "id").select("id", "identifier", "description", "quality", "toxic")
-    draft = issues.withColumns({"title": F.lit("draft"), "updated_at": F.lit(STAMP_1), "gone": F.lit(False)})
     final = issues.withColumns({"title": F.when(F.col("quality") == 1, "approved").otherwise("rejected"), "updated_at": F.lit(STAMP_2), "gone": F.col("toxic") == 1})
-    path = scratch_path(spark, "renames")
-    for rows in (final, draft):
-        rows.drop("quality", "toxic").coalesce(2).write.mode("append").parquet(path)
-    schema = draft.drop("quality", "toxic").schema
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    final = final.drop("quality", "toxic")
+    path, schema = scratch_path(spark, "renames"), final.schema
+    draft = {"title": F.lit("draft"), "updated_at": F.lit(STAMP_1), "gone": F.lit(False)}
+    with freeing_shuffles(spark):
+        # The older rows have the same texts, so these are joined once and read from what landed first.
+        final.write.option("compression", CODEC).parquet(path)
+        landed_first = spark.read.schema(schema).parquet(path)
+        files = len(landed_first.inputFiles())
+        landed_first.withColumns(draft).write.option("compression", CODEC).mode("append").parquet(path)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // 2)).parquet(path)
     log = scratch_path(spark, "token-log")
     stream_index(source, log, scratch_path(spark, "token-progress"), list(ISSUE_TEXT), ["updated_at"], deleted="gone").awaitTermination()
+    remove_folder(spark, path)  # the log has what the stream took
     base = stored_index(spark, sf, "issues")
     return merge_index(base, read_log(spark, log, index_log_schema(base)))
 

@@ -15,9 +15,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from boardlake.functions.timing import iso_text
 from boardlake.operators.grouping import latest_per_key
-from boardlake.operators.index import TextIndex, forward_tokens, replace_documents
+from boardlake.operators.index import CODEC, TextIndex, forward_tokens, replace_documents
+from boardlake.operators.pieces import joined_fields, split_fields
 from boardlake.operators.upsert import since_cursor
 from boardlake.schemas import ACTIVE_STATUSES
+from boardlake.session import freeing_shuffles, staged
 from boardlake.streaming import log as logs
 
 
@@ -114,10 +116,11 @@ def stream_index(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, [key], order)
+        rows = latest_per_key(batch, [key], order).filter(F.col(key).isNotNull())
         gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
-        versions = rows.select(F.col(key).alias("doc_id"), F.array(*[F.col(o).cast("string") for o in order]).alias("version"), gone.alias("gone"))
-        logs.append_batch(forward_tokens(rows, columns, key).join(versions, "doc_id"), log_path, batch_id)
+        version = F.array(*[F.col(o).cast("string") for o in order])
+        with freeing_shuffles(batch.sparkSession):
+            logs.append_batch(forward_tokens(rows, columns, key, version=version, gone=gone), log_path, batch_id, compression=CODEC)
 
     return (
         source.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -135,6 +138,7 @@ def merge_index(base: TextIndex, log: DataFrame) -> TextIndex:
 
     Versions compare as texts, like the stamps they hold; of equal versions the later batch counts.
     """
-    newest = log.groupBy("doc_id").agg(F.max(F.struct("version", "batch")).getField("batch").alias("batch"))
-    current = log.join(newest, ["doc_id", "batch"], "left_semi").filter(~F.col("gone")).select(*base.forward.columns)
-    return replace_documents(base, newest.select("doc_id"), current)
+    with freeing_shuffles(log.sparkSession):
+        newest = staged(log.groupBy("doc_id").agg(F.max(F.struct("version", "batch")).getField("batch").alias("batch")), "newest-versions")
+    current = joined_fields(log).filter(~F.col("gone")).join(newest, ["doc_id", "batch"], "left_semi").select(*base.forward.columns)
+    return replace_documents(base, newest.select("doc_id"), split_fields(current))

@@ -20,9 +20,9 @@ from boardlake.session import folder_names, remove_folder
 BATCH = T.StructField("batch", T.LongType())
 
 
-def append_batch(rows: DataFrame, log: str, batch_id: int) -> None:
+def append_batch(rows: DataFrame, log: str, batch_id: int, **options: str) -> None:
     """Write a micro-batch's rows, in place of what an earlier try left."""
-    rows.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+    rows.write.mode("overwrite").options(**options).parquet(f"{log}/batch={batch_id}")
 
 
 def _numbers(spark: SparkSession, folder: str, name: str) -> list[int]:

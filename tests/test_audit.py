@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from boardlake.operators.redaction import is_secret_key, redact_columns, redact_
 from boardlake.plans.sql import ReadOnlyError, run_sql
 from boardlake.schemas import REDACTED, WITHHELD_KEYS
 from boardlake.session import scratch_path
-from boardlake.operators.index import build_index
+from boardlake.operators.index import build_index, store_index
 from boardlake.streaming.feeds import index_log_schema, merge_index, merge_newest, read_log, stream_index, stream_upsert
 
 
@@ -185,6 +186,34 @@ def test_index_log_keeps_the_newest_text_and_drops_deleted_documents(spark):
     assert sorted((r.doc_id, r.token) for r in merged.postings.collect()) == [("a", "moss"), ("a", "new"), ("c", "reed"), ("d", "sedge")]
 
 
+def test_index_log_and_its_counts_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {name for name in files.split() if "/shuffle_" in name}
+
+    schema = "id string, body string, updated_at string, dead boolean"
+    base = store_index(spark.createDataFrame([(f"k{n}", f"moss w{n}", "1", False) for n in range(40)] + [("k3", "moss", "1", False), (None, "reed", "1", False)], schema), {"body": 1.0}, scratch_path(spark, "t-base"))
+    feed, log = scratch_path(spark, "t-feed"), scratch_path(spark, "t-tokens")
+    changed = [(f"k{n}", "fern" if n % 2 else None, "2", n % 5 == 0) for n in range(20)] + [("z", "fern  reed", "2", None), (None, "lost", "2", False)]
+    for stamp in ("2", "1"):
+        rows = spark.createDataFrame(changed, schema).withColumn("updated_at", F.lit(stamp))
+        (rows if stamp == "2" else rows.withColumn("body", F.lit("draft"))).coalesce(1).write.mode("append").parquet(feed)
+    before = shuffled()
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    stream_index(source, log, scratch_path(spark, "t-at"), ["body"], ["updated_at"], deleted="dead").awaitTermination()
+    merged = merge_index(base, read_log(spark, log, index_log_schema(base)))
+    terms = merged.terms
+    for _ in range(100):  # they are removed beside the jobs
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    per_doc = merged.postings.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("hits"))
+    expected = per_doc.groupBy("token").agg(F.count(F.lit(1)).alias("docs"), F.sum("hits").alias("hits"))
+    assert sorted(map(tuple, terms.collect())) == sorted(map(tuple, expected.collect()))
+    assert {r.token: (r.docs, r.hits) for r in terms.collect() if not r.token.startswith("w")} == {"moss": (20, 20), "fern": (9, 9), "reed": (2, 2)}
+
+
 def test_plans_do_not_show_credentials(spark, capsys):
     rows = spark.createDataFrame([("the Quince-Key-0042 here",), ("none",)], "raw string")
     found = secret_scan({"notes": (rows, F.col("raw"))}, ["quince-key-0042", "absent-key-77"])
